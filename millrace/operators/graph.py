@@ -76,21 +76,18 @@ def connected_actors(edges: DataFrame) -> DataFrame:
 def reached(edges: DataFrame, seed: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """Breadth-first ``actor_id, distance`` up to ``max_distance``.
 
-    Each round steps from the frontier to movies not opened before and on to
-    people not seen before, so all rounds together touch each edge a bounded
-    number of times. Rounds are checkpointed, which keeps plans short and lets
-    a lost executor cost one round. An empty frontier ends the search. ``edges``
-    holds distinct rows and is read every round, so pass a table or checkpoint.
+    Each round steps from the frontier to its movies and on to people not seen
+    before. The cast of a movie lies within two neighbouring distances, so every
+    movie is opened in at most two rounds. Each round is written out, which keeps
+    plans short and lets a lost executor cost one round. An empty frontier ends
+    the search. ``edges`` holds distinct rows and is read every round, so pass a
+    table rather than a query.
     """
-    frontier = checkpointed(edges.join(seed.select("actor_id"), "actor_id", "left_semi").select("actor_id").distinct())
+    start = edges.join(seed.select("actor_id"), "actor_id", "left_semi").select("actor_id").distinct()
+    frontier = checkpointed(start)
     seen = frontier.withColumn("distance", F.lit(0))
-    opened: DataFrame | None = None
     for distance in range(1, max_distance + 1):
         movies = edges.join(frontier, "actor_id", "left_semi").select("movie").distinct()
-        if opened is not None:
-            movies = movies.join(opened, "movie", "left_anti")
-        movies = checkpointed(movies)
-        opened = movies if opened is None else opened.unionAll(movies)
         near = edges.join(movies, "movie", "left_semi").select("actor_id").distinct()
         frontier = checkpointed(near.join(seen, "actor_id", "left_anti"))
         if frontier.isEmpty():

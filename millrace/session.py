@@ -24,6 +24,7 @@ def build_session(app_name: str = "millrace", cores: int | str | None = None) ->
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("MILLRACE_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -21,10 +21,13 @@ def decode_qualities(text: Column) -> Column:
     )
 
 
-def quality_score(qualities: Column) -> Column:
-    """Sum of the qualities that reach the scoring minimum."""
+def quality_score(text: Column) -> Column:
+    """Sum of the qualities in a printable string that reach the scoring minimum; 0 for ``*``."""
+    value = lambda c: F.ascii(c) - ASCII_BASE
     return F.aggregate(
-        F.filter(qualities, lambda q: q >= SCORING_MIN), F.lit(0).cast("bigint"), lambda total, q: total + q
+        F.split(text, ""),
+        F.lit(0).cast("bigint"),
+        lambda total, c: total + F.when(value(c) >= SCORING_MIN, value(c)).otherwise(0),
     )
 
 

@@ -97,11 +97,13 @@ def reached(edges: DataFrame, seed: DataFrame, max_distance: int = MAX_DISTANCE)
 
 
 def separation(edges: DataFrame, seed: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """Distance of everyone who has a co-actor; 100 where the search did not arrive."""
-    links = checkpointed(edges.select("actor_id", "movie").distinct())
-    found = reached(links, seed, max_distance)
+    """Distance of everyone who has a co-actor; 100 where the search did not arrive.
+
+    ``edges`` as for ``reached``.
+    """
+    found = reached(edges, seed, max_distance)
     return (
-        connected_actors(links)
+        connected_actors(edges)
         .join(found, "actor_id", "left")
         .select("actor_id", F.coalesce("distance", F.lit(UNREACHABLE)).alias("distance"))
     )

@@ -7,16 +7,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.cluster import broadcast_if_small, checkpointed
+from millrace.functions.text import clean_text
 
 PROFILE_SIZE = 300
 
 
 def trigrams(text: Column) -> Column:
-    """Overlapping trigrams of the letters of ``text``, words parted and framed by one blank.
+    """Overlapping trigrams of the letters of the cleaned text, words parted and framed by one blank.
 
     One regex pass with a lookahead, so time is linear in the text's length.
     """
-    framed = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " ")), F.lit(" "))
+    framed = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(clean_text(text)), r"[^\p{L}]+", " ")), F.lit(" "))
     return F.regexp_extract_all(framed, F.lit("(?=(...))"), 1)
 
 
@@ -47,7 +48,6 @@ def identify_language(texts: DataFrame, profiles: DataFrame, size: int = PROFILE
     profiles = checkpointed(profiles)
     known = broadcast_if_small(profiles.select("lang", "trigram", F.col("rank").alias("known_rank")))
     first_code = profiles.agg(F.min("lang").alias("lang")).scalar()
-    by_doc = W.partitionBy("doc_id")
     counted = (
         texts.select("doc_id", "text")
         .repartition("doc_id")
@@ -55,26 +55,25 @@ def identify_language(texts: DataFrame, profiles: DataFrame, size: int = PROFILE
         .groupBy("doc_id", "trigram")
         .agg(F.count("*").alias("n"))
     )
-    ranked = (
-        counted.withColumn("rank", F.row_number().over(by_doc.orderBy(F.desc("n"), "trigram")))
-        .where(F.col("rank") <= size)
-        .withColumn("grams", F.count("trigram").over(by_doc))
-    )
-    # Start from "all missing" and take back what matches: unmatched languages need no row.
-    distances = (
+    order = W.partitionBy("doc_id").orderBy(F.desc("n"), "trigram")
+    ranked = counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
+    # Start from "all missing" and take back what matches. A row without language
+    # stands for every language that shares no trigram with the text.
+    gains = (
         ranked.join(known, "trigram", "left")
         .groupBy("doc_id", "lang")
         .agg(
-            F.max("grams").alias("grams"),
+            F.max(F.when(F.col("trigram").isNotNull(), F.col("rank"))).alias("grams"),
             F.sum(F.abs(F.col("rank") - F.col("known_rank")) - size).alias("gain"),
         )
-        .select("doc_id", "lang", (F.col("grams") * size + F.coalesce("gain", F.lit(0))).alias("distance"))
+        .select("doc_id", "grams", F.coalesce("gain", F.lit(0)).alias("gain"), F.coalesce("lang", first_code).alias("code"))
     )
-    # A row without language stands for every language that shares no trigram.
-    code = F.coalesce("lang", first_code)
     return (
-        distances.withColumn("code", code)
-        .groupBy("doc_id")
-        .agg(F.min(F.struct("distance", "code")).alias("best"))
-        .select("doc_id", F.col("best.code").alias("language"), F.col("best.distance").alias("distance"))
+        gains.groupBy("doc_id")
+        .agg(F.min(F.struct("gain", "code")).alias("best"), F.coalesce(F.max("grams"), F.lit(0)).alias("grams"))
+        .select(
+            "doc_id",
+            F.col("best.code").alias("language"),
+            (F.col("grams") * size + F.col("best.gain")).alias("distance"),
+        )
     )

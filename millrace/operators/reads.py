@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.cluster import small_side
 from millrace.functions.cigar import alignment_end, soft_clip_to, unclipped_five_prime
-from millrace.functions.qualities import decode_qualities, guess_encoding, quality_score, to_phred
+from millrace.functions.qualities import guess_encoding, quality_score, to_phred
 
 # Flag bits of the SAM specification.
 UNMAPPED, REVERSE = 0x4, 0x10
@@ -80,54 +81,39 @@ def clean_reads(reads: DataFrame, seq_dict: DataFrame) -> DataFrame:
     )
 
 
-# Copies produced by one task when exact copies of a row are written out again.
-COPIES_PER_TASK = 1_000_000
+# Pieces a group of reads with one key is cut into; also the most rows of one
+# key that the second ranking sees together.
+DUPLICATE_PIECES = 1024
 
 
-def _repeat_rows(rows: DataFrame, times: str) -> DataFrame:
-    """Each row ``times`` times; long runs are cut into pieces that spread over tasks."""
-    pieces = F.explode(F.sequence(F.lit(0), F.floor((F.col(times) - 1) / COPIES_PER_TASK)))
-    left = F.col(times) - F.col("_piece") * COPIES_PER_TASK
-    spread = rows.withColumn("_piece", pieces).repartition("_piece", *[c for c in rows.columns if c != times])
-    copies = F.explode(F.sequence(F.lit(1), F.least(left, F.lit(COPIES_PER_TASK))))
-    return spread.withColumn("_copy", copies).drop("_piece", "_copy", times)
-
-
-def mark_duplicates(reads: DataFrame) -> DataFrame:
+def mark_duplicates(reads: DataFrame, pieces: int = DUPLICATE_PIECES) -> DataFrame:
     """Flag all but the best of reads that share chromosome, strand, 5' end and mate position.
 
-    Best = highest sum of good qualities, then name, then the rest of the row.
-    Exact copies are counted first, so they collapse before the shuffle. The best
-    row per key comes from an aggregate, which also combines on the map side; a
-    key holding a third of the reads is neither sorted nor held in one task, and
-    AQE splits it in the join back.
+    Best = highest sum of good qualities, then name, then the rest of the row; of
+    exact copies one counts as best. Ranking has two rounds: each key is first
+    cut into pieces by the partition a read comes from, which spreads a key, or a
+    heap of copies, holding a third of the reads. A read beaten inside its piece
+    is a duplicate for good. The pieces' winners then meet, at most one per piece.
     """
-    columns = reads.columns
     strand = has_flag(REVERSE)
-    keyed = (
-        reads.groupBy(*columns)
-        .agg(F.count("*").alias("_n"))
-        .withColumns(
-            {
-                "_strand": strand,
-                "_five_prime": unclipped_five_prime(F.col("pos"), F.col("cigar"), strand),
-                "_rank": F.struct(
-                    (-quality_score(decode_qualities(F.col("qual")))).alias("score"),
-                    "qname",
-                    *[c for c in columns if c != "qname"],
-                ),
-            }
-        )
-    )
     key = ["ref_index", "_strand", "_five_prime", "rnext", "pnext"]
-    best = keyed.groupBy(*[F.col(k).alias(f"_b{i}") for i, k in enumerate(key)]).agg(F.min("_rank").alias("_best"))
-    same_key = [F.col(k).eqNullSafe(F.col(f"_b{i}")) for i, k in enumerate(key)]
-    marked = keyed.join(best, same_key).select(
-        *columns, "_n", (~F.col("_rank").eqNullSafe(F.col("_best"))).alias("is_duplicate")
+    order = [F.desc("_score"), "qname", *[c for c in reads.columns if c != "qname"]]
+    keyed = reads.withColumns(
+        {
+            "_strand": strand,
+            "_five_prime": unclipped_five_prime(F.col("pos"), F.col("cigar"), strand),
+            "_score": quality_score(F.col("qual")),
+            "_piece": F.spark_partition_id() % pieces,
+        }
     )
-    # Further copies of a row are duplicates whether or not it is the best one.
-    further = marked.where("_n > 1").select(*columns, (F.col("_n") - 1).alias("_n"), F.lit(True).alias("is_duplicate"))
-    return marked.drop("_n").unionByName(_repeat_rows(further, "_n"))
+
+    def first_in(*group: str) -> Column:
+        return F.row_number().over(W.partitionBy(*group).orderBy(*order)) == 1
+
+    winners_meet = F.when(first_in(*key, "_piece"), -1).otherwise(F.col("_piece"))
+    regrouped = keyed.withColumn("_piece", winners_meet)
+    best = (F.col("_piece") == -1) & first_in(*key, "_piece")
+    return regrouped.withColumn("is_duplicate", ~best).select(*reads.columns, "is_duplicate")
 
 
 def duplicate_metrics(marked: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.cluster import shared_path
+from millrace.cluster import checkpointed, shared_path
 from millrace.functions.cigar import alignment_end
 from millrace.functions.text import clean_text, one_line, script_fix
 from millrace.operators import balance, graph, intervals, language_id, mates, pageviews, trends, variants
@@ -53,7 +53,7 @@ def q_scan_retweet_log(spark, sf_dir):
 
 @query
 def q_retweet_log_totals(spark, sf_dir):
-    return trends.log_totals(retweet_log.parse_retweet_log(t.retweet_log_lines(spark, sf_dir)))
+    return trends.log_totals(retweet_log.scan_retweet_log(spark, t.retweet_log_files(spark, sf_dir)))
 
 
 @query
@@ -142,14 +142,17 @@ def q_section_extract(spark, sf_dir):
 
 @query
 def q_filmography(spark, sf_dir):
-    people = filmography.parse_filmography(t.filmography_blocks(spark, sf_dir), "m")
+    blocks = filmography.scan_blocks(spark, t.filmography_files(spark, sf_dir))
+    people = filmography.parse_filmography(blocks, "m")
     return people.select("actor", "gender", F.array_join("movies", "|").alias("movies"))
 
 
 @query
 def q_actors_union(spark, sf_dir):
     lists = [
-        filmography.parse_filmography(t.filmography_blocks(spark, sf_dir, parity), gender)
+        filmography.parse_filmography(
+            filmography.scan_blocks(spark, t.filmography_files(spark, sf_dir, parity)), gender
+        )
         for parity, gender in ((0, "m"), (1, "f"))
     ]
     return graph.actors_union(*lists).select("actor", "gender", F.size("movies").alias("movies"))
@@ -176,30 +179,35 @@ def q_adjacency(spark, sf_dir):
     return graph.adjacency_sizes(t.movie_edges(spark, sf_dir))
 
 
+def _edge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search reads its edges once per round, so the join behind them runs once."""
+    return checkpointed(t.movie_edges(spark, sf_dir))
+
+
 def _distances(spark: SparkSession, sf_dir: str, edges: DataFrame) -> DataFrame:
     return graph.separation(edges, graph.seed_lookup(t.people(spark, sf_dir), t.SEED_NAME))
 
 
 @query
 def q_separation(spark, sf_dir):
-    return _distances(spark, sf_dir, t.movie_edges(spark, sf_dir))
+    return _distances(spark, sf_dir, _edge_table(spark, sf_dir))
 
 
 @query
 def q_separation_counts(spark, sf_dir):
-    distances = _distances(spark, sf_dir, t.movie_edges(spark, sf_dir))
+    distances = _distances(spark, sf_dir, _edge_table(spark, sf_dir))
     return graph.separation_counts(distances, t.people(spark, sf_dir))
 
 
 @query
 def q_separation_names(spark, sf_dir):
-    distances = _distances(spark, sf_dir, t.movie_edges(spark, sf_dir))
+    distances = _distances(spark, sf_dir, _edge_table(spark, sf_dir))
     return graph.separation_names(distances, t.people(spark, sf_dir))
 
 
 @query
 def q_separation_report(spark, sf_dir):
-    edges = t.movie_edges(spark, sf_dir)
+    edges = _edge_table(spark, sf_dir)
     distances = _distances(spark, sf_dir, edges)
     return graph.separation_report(distances, t.actors(spark, sf_dir, edges), edges)
 
@@ -368,7 +376,7 @@ def q_scan_vcf(spark, sf_dir):
 
 
 def _variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return genome.parse_vcf(t.variant_lines(spark, sf_dir))
+    return genome.scan_vcf(spark, t.variant_files(spark, sf_dir))
 
 
 @query
@@ -405,7 +413,7 @@ def q_script_fix(spark, sf_dir):
 
 @query
 def q_language_id(spark, sf_dir):
-    docs = t.table(spark, sf_dir, "documents").select("doc_id", "lang", clean_text(F.col("text")).alias("text"))
+    docs = t.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return language_id.identify_language(docs, language_id.language_profiles(docs))
 
 

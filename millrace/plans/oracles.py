@@ -114,7 +114,10 @@ FROM events"""
 # All events arrive in one batch, so nothing is late; windows past the watermark stay open.
 ORACLE_SQL["retweet_stream"] = f"WITH {NAMES}, {WINDOWS} SELECT * FROM windows WHERE window_end <= {CLOSED}"
 ORACLE_SQL["retweet_stream_log"] = f"""
-WITH {NAMES}, {WINDOWS} SELECT {LOG_LINE} FROM windows WHERE {WARM} AND window_end <= {CLOSED}"""
+WITH {NAMES}, {WINDOWS}
+SELECT 'Seconds,Language,Language-code,TotalLangCount,ID,MaxCount,MinCount,Count,Text' AS value
+UNION ALL
+SELECT {LOG_LINE} FROM windows WHERE {WARM} AND window_end <= {CLOSED}"""
 
 # People and movies --------------------------------------------------------
 

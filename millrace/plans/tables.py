@@ -134,10 +134,10 @@ def filmography_blocks(spark: SparkSession, sf_dir: str, parity: int | None = No
     return orders.select(block.alias("value"))
 
 
-def filmography_files(spark: SparkSession, sf_dir: str) -> str:
-    blocks = filmography_blocks(spark, sf_dir)
+def filmography_files(spark: SparkSession, sf_dir: str, parity: int | None = None) -> str:
+    blocks = filmography_blocks(spark, sf_dir, parity)
     return written(
-        spark, sf_dir, "filmography", lambda path: blocks.write.option("lineSep", "\n\n").text(path)
+        spark, sf_dir, f"filmography_{parity}", lambda path: blocks.write.option("lineSep", "\n\n").text(path)
     )
 
 

@@ -82,13 +82,13 @@ def scan_bed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def chrom_number(name: Column) -> Column:
-    digits = F.regexp_replace(name, "[^0-9]", "")
-    return (
-        F.when(name == "chrX", CHROM_X)
-        .when(name == "chrY", CHROM_Y)
-        .when(name == "chrM", CHROM_M)
-        .otherwise(digits.cast("int"))
-    )
+    """Number in a chromosome's name; names without digits other than X, Y, M are an error.
+
+    ``name`` is used once, so a filter on the number stays cheap wherever Spark moves it.
+    """
+    for letter, number in (("X", CHROM_X), ("Y", CHROM_Y), ("M", CHROM_M)):
+        name = F.regexp_replace(name, f"^chr{letter}$", str(number))
+    return F.regexp_replace(name, "[^0-9]", "").cast("int")
 
 
 def parse_vcf(lines: DataFrame) -> DataFrame:

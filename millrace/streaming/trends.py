@@ -15,6 +15,7 @@ from millrace.operators.trends import (
     window_order,
     with_language_totals,
 )
+from millrace.sources.retweet_log import LOG_HEADER
 
 
 def windowed_stream(statuses: DataFrame, window: str, slide: str, delay: str, mode: str = "floor_one") -> DataFrame:
@@ -84,7 +85,7 @@ def retweet_stream_log(
 
     The end of the first window, from which seconds count, is the smallest one of
     the first batch that closes any. It is kept beside the log, so a restarted job
-    counts on from the same moment.
+    counts on from the same moment. The header is written then, as batch -1.
     """
     state = f"{out}/_first_end"
 
@@ -97,6 +98,8 @@ def retweet_stream_log(
                 raise
         found = batch.agg(F.min("window_end").alias("first_end")).first()["first_end"]
         if found is not None:
+            header = spark.createDataFrame([(LOG_HEADER,)], "value string")
+            header.write.mode("overwrite").text(f"{out}/log/batch=-1")
             spark.createDataFrame([(found,)], "first_end timestamp").write.mode("overwrite").parquet(state)
         return found
 

@@ -8,54 +8,68 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.cluster import checkpointed
+
 # Fixed value: reads this close to the covered stretch still extend it.
 READ_GAP = 51
 
 
 def merge_intervals(
-    intervals: DataFrame, gap: int, by: Sequence[str] = ("chrom",), bin_width: int = 1 << 16
+    intervals: DataFrame,
+    gap: int,
+    by: Sequence[str] = ("chrom",),
+    bin_width: int = 1 << 16,
+    label: str | None = None,
 ) -> DataFrame:
     """Join intervals while ``start <= running end + gap``; output ``by, start, end, members``.
 
+    ``label`` names a column of which the merged interval keeps its first one's value.
+
     A chromosome is never sorted as one group. Intervals with equal start are
     combined first, so a bin holds at most ``bin_width`` rows however deep the
-    pile. Bins are then linked by two short per-chromosome tables, one row per
-    bin: the farthest end before a bin, and the last island opened before it.
+    pile. Each bin is merged by itself; what is left is written once. A table with
+    one row per bin then tells how far earlier bins reach: only islands starting
+    within that reach join the island open before the bin.
     """
     by = list(by)
     in_bin = [*by, "_bin"]
-    earlier_bins = W.partitionBy(*by).orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
     ordered = W.partitionBy(*in_bin).orderBy("start")
-    before, so_far = (ordered.rowsBetween(W.unboundedPreceding, end) for end in (-1, 0))
+    before = ordered.rowsBetween(W.unboundedPreceding, -1)
+    so_far = ordered.rowsBetween(W.unboundedPreceding, 0)
+    earlier_bins = W.partitionBy(*by).orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
+
+    def totals(members: Column) -> list[Column]:
+        first_label = [F.min_by("label", "start").alias("label")] if label else []
+        return [F.max("end").alias("end"), members.alias("members"), *first_label]
 
+    def opens(reach: str) -> Column:
+        return F.col(reach).isNull() | (F.col("start") > F.col(reach) + gap)
+
+    same_start = [F.min(label).alias("label")] if label else []
     starts = (
         intervals.groupBy(*by, "start")
-        .agg(F.max("end").alias("end"), F.count("*").alias("members"))
+        .agg(F.max("end").alias("end"), F.count("*").alias("members"), *same_start)
         .withColumn("_bin", F.floor(F.col("start") / bin_width))
     )
-    carried = (
-        starts.groupBy(*in_bin)
-        .agg(F.max("end").alias("_far"))
-        .select(*in_bin, F.max("_far").over(earlier_bins).alias("_carried_end"))
-    )
-    reach = F.greatest("_carried_end", F.max("end").over(before))
-    opened = (
-        starts.join(carried, in_bin)
-        .withColumn("_reach", reach)
-        .withColumn("_opens", F.when(F.col("_reach").isNull() | (F.col("start") > F.col("_reach") + gap), F.col("start")))
-        .withColumn("_island", F.last("_opens", ignorenulls=True).over(so_far))
+    local = checkpointed(
+        starts.withColumn("_reach", F.max("end").over(before))
+        .withColumn("_island", F.max(F.when(opens("_reach"), F.col("start"))).over(so_far))
+        .groupBy(*in_bin, "_island")
+        .agg(*totals(F.sum("members")))
+        .withColumnRenamed("_island", "start")
     )
-    open_before = (
-        opened.groupBy(*in_bin)
-        .agg(F.max("_opens").alias("_last_opened"))
-        .select(*in_bin, F.last("_last_opened", ignorenulls=True).over(earlier_bins).alias("_open_island"))
-    )
-    return (
-        opened.join(open_before, in_bin)
-        .groupBy(*by, F.coalesce("_island", "_open_island").alias("_first"))
-        .agg(F.max("end").alias("end"), F.sum("members").alias("members"))
-        .select(*by, F.col("_first").alias("start"), "end", "members")
+    bins = (
+        local.groupBy(*in_bin)
+        .agg(F.max("end").alias("_far"), F.max("start").alias("start"))
+        .withColumn("_carried_end", F.max("_far").over(earlier_bins))
+        .withColumn("_last_opened", F.when(opens("_carried_end"), F.col("start")))
+        .withColumn("_open_island", F.max("_last_opened").over(earlier_bins))
+        .select(*in_bin, "_carried_end", "_open_island")
     )
+    island = F.when(opens("_carried_end"), F.col("start")).otherwise(F.col("_open_island"))
+    merged = local.join(bins, in_bin).groupBy(*by, island.alias("_first")).agg(*totals(F.sum("members")))
+    kept_label = ["label"] if label else []
+    return merged.select(*by, F.col("_first").alias("start"), "end", "members", *kept_label)
 
 
 def covered_intervals(
@@ -68,14 +82,13 @@ def covered_intervals(
 def padded_intervals(intervals: DataFrame, overlap: int, bin_width: int = 1 << 16) -> DataFrame:
     """Widen starts by ``overlap`` (not below 1) and merge where ``start - overlap < running end``.
 
-    Chromosome names are compared without case; the name of the first interval is shown.
+    Chromosome names are compared without case; the name of the first interval is
+    shown, the smallest one where several start there.
     """
     folded = intervals.withColumn("_chrom", F.lower("chrom"))
-    merged = merge_intervals(folded, overlap - 1, ["_chrom"], bin_width)
-    # The first interval of a merged one is the one with its start; smallest name on ties.
-    shown = folded.groupBy("_chrom", "start").agg(F.min("chrom").alias("chrom"))
-    return merged.join(shown, ["_chrom", "start"]).select(
-        "chrom", F.greatest(F.col("start") - overlap, F.lit(1)).alias("start"), "end"
+    merged = merge_intervals(folded, overlap - 1, ["_chrom"], bin_width, label="chrom")
+    return merged.select(
+        F.col("label").alias("chrom"), F.greatest(F.col("start") - overlap, F.lit(1)).alias("start"), "end"
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.cluster import checkpointed
+
 
 def interleave_chunks(first: DataFrame, second: DataFrame, chunks: int) -> DataFrame:
     """Mates with the same ``record`` number follow each other; pairs go to ``chunks`` chunks in order.
@@ -15,16 +17,14 @@ def interleave_chunks(first: DataFrame, second: DataFrame, chunks: int) -> DataF
     def mate(reads: DataFrame, side: str) -> DataFrame:
         return reads.select("record", F.struct("name", "seq", "qual").alias(side))
 
-    pairs = mate(first, "one").join(mate(second, "two"), "record")
-    # Files run in step, so the partnered records are 0 .. total-1.
-    shorter = [side.agg(F.max("record").alias("last")).scalar() for side in (first, second)]
-    total = F.least(*shorter) + 1
+    pairs = checkpointed(mate(first, "one").join(mate(second, "two"), "record"))
+    total = pairs.count()  # answered from file footers
     both = F.array(
         F.struct(F.lit(1).alias("mate"), F.col("one").alias("read")),
         F.struct(F.lit(2).alias("mate"), F.col("two").alias("read")),
     )
     return pairs.select(
-        F.call_function("div", F.col("record") * chunks, total).cast("int").alias("chunk"),
+        F.call_function("div", F.col("record") * chunks, F.lit(total)).cast("int").alias("chunk"),
         F.col("record").alias("pair"),
         F.explode(both).alias("m"),
     ).select("chunk", "pair", "m.mate", "m.read.name", "m.read.seq", "m.read.qual")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.cluster import checkpointed, small_side
 from millrace.functions.counts import count_growth
 from millrace.functions.languages import with_language_name
 from millrace.functions.text import one_line
@@ -77,8 +78,13 @@ def language_totals(counted: DataFrame) -> DataFrame:
 
 
 def with_language_totals(counted: DataFrame) -> DataFrame:
-    """Language total back on every row: aggregate and join, so no language is sorted in one task."""
-    joined = counted.join(language_totals(counted), ["window_end", "language_code"])
+    """Language total back on every row.
+
+    The totals are few unless there are many windows; few ones are broadcast, so
+    no language of a window is gathered in one task, and many spread by window.
+    ``counted`` is read twice, so pass a table.
+    """
+    joined = counted.join(small_side(language_totals(counted)), ["window_end", "language_code"])
     return with_language_name(joined, "language_code").select(
         "window_start",
         "window_end",
@@ -93,12 +99,17 @@ def with_language_totals(counted: DataFrame) -> DataFrame:
     )
 
 
+def window_table(statuses: DataFrame, window: str, slide: str, mode: str) -> DataFrame:
+    """Every window of a bounded set of statuses, written once: statuses are scanned once."""
+    panes = pane_counts(retweet_filter(statuses), slide)
+    return checkpointed(add_growth(build_windows(panes, window, slide), mode))
+
+
 def retweet_windows(
     statuses: DataFrame, window: str = "60 seconds", slide: str = "5 seconds", mode: str = "floor_one"
 ) -> DataFrame:
     """Batch form of the trend job: every window, including those still open at the end."""
-    panes = pane_counts(retweet_filter(statuses), slide)
-    return with_language_totals(add_growth(build_windows(panes, window, slide), mode))
+    return with_language_totals(window_table(statuses, window, slide, mode))
 
 
 def window_order() -> list[Column]:
@@ -145,11 +156,10 @@ def skip_warmup(windows: DataFrame, first_end: Column, window: str) -> DataFrame
 
 
 def log_after_warmup(statuses: DataFrame, window: str, slide: str, mode: str = "floor_one") -> DataFrame:
-    """Batch form of the trend log."""
-    windows = retweet_windows(statuses, window, slide, mode)
-    earliest = retweet_filter(statuses).agg(F.min("ts").alias("ts"))
-    first_end = earliest.select(F.window("ts", slide)["end"].alias("first_end")).scalar()
-    return skip_warmup(windows, first_end, window)
+    """Batch form of the trend log; the smallest window end is the first slide boundary."""
+    counted = window_table(statuses, window, slide, mode)
+    first_end = counted.agg(F.min("window_end")).scalar()
+    return skip_warmup(with_language_totals(counted), first_end, window)
 
 
 def log_lines(logged: DataFrame) -> DataFrame:
@@ -180,7 +190,7 @@ def log_totals(log: DataFrame, mode: str = "diff", more_than: int = 1) -> DataFr
     """
     when = F.regexp_extract("seconds", r"(-?\d+)", 1).try_cast("bigint")
     first = F.min(F.struct(when.alias("seen_at"), "language_code", "text")).alias("first_seen")
-    posts = (
+    posts = checkpointed(
         log.groupBy("id")
         .agg(F.max("max_count").alias("max_count"), F.min("min_count").alias("min_count"), first)
         .select(
@@ -191,7 +201,7 @@ def log_totals(log: DataFrame, mode: str = "diff", more_than: int = 1) -> DataFr
         )
     )
     totals = posts.groupBy("language_code").agg(F.sum("count").alias("total_lang_count"))
-    kept = posts.join(totals, "language_code").where(F.col("count") > more_than)
+    kept = posts.join(small_side(totals), "language_code").where(F.col("count") > more_than)
     return (
         with_language_name(kept, "language_code")
         .select("language", "language_code", "total_lang_count", "id", "count", "text")

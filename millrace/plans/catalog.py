@@ -169,6 +169,11 @@ def q_seed_lookup(spark, sf_dir):
     return graph.seed_lookup(t.people(spark, sf_dir), t.SEED_NAME)
 
 
+def _edge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges that are read several times: the join behind them runs once."""
+    return checkpointed(t.movie_edges(spark, sf_dir))
+
+
 @query
 def q_coactors(spark, sf_dir):
     return graph.movie_casts(t.movie_edges(spark, sf_dir))
@@ -176,12 +181,7 @@ def q_coactors(spark, sf_dir):
 
 @query
 def q_adjacency(spark, sf_dir):
-    return graph.adjacency_sizes(t.movie_edges(spark, sf_dir))
-
-
-def _edge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The search reads its edges once per round, so the join behind them runs once."""
-    return checkpointed(t.movie_edges(spark, sf_dir))
+    return graph.adjacency_sizes(_edge_table(spark, sf_dir))
 
 
 def _distances(spark: SparkSession, sf_dir: str, edges: DataFrame) -> DataFrame:

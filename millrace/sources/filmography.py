@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.cluster import small_side
+from millrace.cluster import checkpointed, small_side
 from millrace.sources.lines import numbered_lines
 
 # The column-title line (blanks removed) and the footer rule.
@@ -20,19 +20,29 @@ def scan_blocks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def section_extract(spark: SparkSession, path: str) -> DataFrame:
-    """Lines between the title line (and the rule below it) and the footer, per file."""
+    """Lines between the title line (and the rule below it) and the footer, per file.
+
+    One pass notes where title lines and rules stand, a second one keeps the range.
+    """
     lines = numbered_lines(spark, path)
     is_title = F.regexp_replace("value", r"\s", "") == TITLE_LINE
-    titles = small_side(lines.where(is_title).groupBy("file").agg(F.min("line_no").alias("title_no")))
-    body = lines.join(titles, "file").where(F.col("line_no") > F.col("title_no") + 1)
-    footers = small_side(
-        body.where(F.col("value").startswith(FOOTER_RULE)).groupBy("file").agg(F.min("line_no").alias("footer_no"))
+    is_rule = F.col("value").startswith(FOOTER_RULE)
+    marks = checkpointed(
+        lines.where(is_title | is_rule).select("file", "line_no", is_title.alias("is_title"), is_rule.alias("is_rule"))
     )
-    return (
-        body.join(footers, "file", "left")
-        .where(F.col("footer_no").isNull() | (F.col("line_no") < F.col("footer_no")))
-        .select("file", "line_no", "value")
+    titles = marks.where("is_title").groupBy("file").agg(F.min("line_no").alias("title_no"))
+    footers = (
+        marks.where("is_rule")
+        .join(small_side(titles), "file")
+        .where(F.col("line_no") > F.col("title_no") + 1)
+        .groupBy("file")
+        .agg(F.min("line_no").alias("footer_no"))
+    )
+    bounds = small_side(titles.join(footers, "file", "left"))
+    inside = (F.col("line_no") > F.col("title_no") + 1) & (
+        F.col("footer_no").isNull() | (F.col("line_no") < F.col("footer_no"))
     )
+    return lines.join(bounds, "file").where(inside).select("file", "line_no", "value")
 
 
 def _up_to_bracket(title: Column) -> Column:

@@ -34,6 +34,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/millrace/{app}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_shared(spark: SparkSession) -> None:
+    """Delete the tables this application wrote to the shared folder; call it when the job is done."""
+    app = spark.sparkContext.applicationId
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark).rstrip('/')}/millrace/{app}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to a table in the shared folder and read it back.
 

@@ -77,14 +77,16 @@ def language_totals(counted: DataFrame) -> DataFrame:
     return counted.groupBy("window_end", "language_code").agg(F.sum("count").alias("total_lang_count"))
 
 
-def with_language_totals(counted: DataFrame) -> DataFrame:
+def with_language_totals(counted: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Language total back on every row.
 
     The totals are few unless there are many windows; few ones are broadcast, so
     no language of a window is gathered in one task, and many spread by window.
     ``counted`` is read twice, so pass a table.
     """
-    joined = counted.join(small_side(language_totals(counted)), ["window_end", "language_code"])
+    if totals is None:
+        totals = small_side(language_totals(counted))
+    joined = counted.join(totals, ["window_end", "language_code"])
     return with_language_name(joined, "language_code").select(
         "window_start",
         "window_end",

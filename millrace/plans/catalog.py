@@ -43,6 +43,13 @@ def q_pagecounts(spark, sf_dir):
     return pageviews.ranked_pageviews(t.pageviews(spark, sf_dir))
 
 
+@query
+def q_pagecounts_report(spark, sf_dir):
+    path = shared_path(spark, "pageview_report")
+    sinks.write_pageview_report(t.pageviews(spark, sf_dir), path)
+    return spark.read.text(path)
+
+
 # Posts --------------------------------------------------------------------
 
 
@@ -179,6 +186,12 @@ def q_coactors(spark, sf_dir):
     return graph.movie_casts(t.movie_edges(spark, sf_dir))
 
 
+@query
+def q_coactors_of_seed(spark, sf_dir):
+    seed = graph.seed_lookup(t.people(spark, sf_dir), t.SEED_NAME)
+    return graph.coactors(_edge_table(spark, sf_dir), seed)
+
+
 @query
 def q_adjacency(spark, sf_dir):
     return graph.adjacency_sizes(_edge_table(spark, sf_dir))
@@ -421,3 +434,8 @@ def q_language_id(spark, sf_dir):
 def q_fastq_interleave_chunks(spark, sf_dir):
     sides = [fastq.scan_fastq(spark, t.mate_files(spark, sf_dir, mate)) for mate in (0, 1)]
     return mates.interleave_chunks(*sides, chunks=8)
+
+
+@query
+def q_fastq_unpaired(spark, sf_dir):
+    return mates.unpaired_records(*(fastq.scan_fastq(spark, t.mate_files(spark, sf_dir, mate)) for mate in (0, 1)))

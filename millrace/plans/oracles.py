@@ -33,6 +33,13 @@ SELECT coalesce(iso_name, lower(code)) AS language, code AS language_code, total
 FROM totals JOIN ranked USING (code) LEFT JOIN names ON iso_code = lower(code)
 WHERE rn = 1"""
 
+ORACLE_SQL["pagecounts_report"] = f"""
+WITH report AS ({ORACLE_SQL["pagecounts"]})
+SELECT 'Language, Language-code, TotalViews, MostVisitedPage, MostVisitedPage_Views' AS value
+UNION ALL
+SELECT language || ', ' || language_code || ', ' || total_views || ', "' || top_title || '", ' || top_views
+FROM report"""
+
 # Posts --------------------------------------------------------------------
 
 K = "CAST(regexp_extract(props, '[0-9]+') AS INTEGER)"
@@ -174,6 +181,12 @@ WITH {PEOPLE} SELECT name, min(actor_id) AS actor_id FROM people WHERE name = 'C
 ORACLE_SQL["coactors"] = f"""
 WITH {EDGES}
 SELECT movie, count(*) AS cast_size, CAST(count(*) * (count(*) - 1) AS BIGINT) AS pairs FROM edges GROUP BY movie"""
+ORACLE_SQL["coactors_of_seed"] = f"""
+WITH {PEOPLE}, {EDGES},
+seed AS (SELECT actor_id FROM people WHERE name = 'Customer#000000000')
+SELECT DISTINCT actor_id FROM edges
+WHERE movie IN (SELECT movie FROM edges WHERE actor_id IN (SELECT actor_id FROM seed))
+  AND actor_id NOT IN (SELECT actor_id FROM seed)"""
 ORACLE_SQL["adjacency"] = f"""
 WITH {EDGES}
 SELECT a.actor_id, count(DISTINCT a.movie) AS movies,
@@ -520,3 +533,6 @@ pairs AS (
 SELECT CAST(pair * 8 // total AS INTEGER) AS chunk, CAST(pair AS BIGINT) AS pair, CAST(side + 1 AS INTEGER) AS mate,
        'c' || conv_id || '/' || turn AS name, seq, 'q' || length(seq) AS qual
 FROM turns JOIN pairs USING (conv_id, p)"""
+ORACLE_SQL["fastq_unpaired"] = """
+SELECT count(*) AS only_first, CAST(0 AS BIGINT) AS only_second
+FROM (SELECT conv_id, turn // 2 FROM conversations GROUP BY 1, 2 HAVING count(*) = 1)"""

@@ -17,19 +17,14 @@ PAGEVIEW_HEADER = "Language, Language-code, TotalViews, MostVisitedPage, MostVis
 def write_pageview_report(views: DataFrame, path: str) -> None:
     """Header and one line per language, most viewed first.
 
-    The header rides along as a first row. What is left is a row per language,
-    so a single output file is fine.
+    The header rides along as the first row of the global order.
     """
     ranked = language_pageviews(views)
     header = views.sparkSession.range(1).select(F.lit(0).alias("part"), F.lit(PAGEVIEW_HEADER).alias("value"))
     body = ranked.select(F.lit(1).alias("part"), report_line().alias("value"), "total_views", "language_code")
     lines = body.unionByName(header, allowMissingColumns=True)
     order = ["part", F.desc("total_views"), "language_code"]
-    lines.coalesce(1).sortWithinPartitions(*order).select("value").write.mode("overwrite").text(path)
-
-
-def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    df.write.mode("overwrite").csv(path, header=header)
+    lines.orderBy(*order).select("value").write.mode("overwrite").text(path)
 
 
 def write_bed(intervals: DataFrame, path: str, end_offset: int = 0) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.operators.trends import (
     add_growth,
     build_windows,
+    language_totals,
     log_lines,
     retweet_filter,
     skip_warmup,
@@ -63,7 +64,7 @@ def retweet_stream(
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = with_language_totals(batch).repartitionByRange("window_end", *window_order())
+        rows = with_language_totals(batch, language_totals(batch)).repartitionByRange("window_end", *window_order())
         rows.sortWithinPartitions("window_end", *window_order()).write.mode("overwrite").parquet(
             f"{out}/batch={batch_id}"
         )
@@ -107,7 +108,7 @@ def retweet_stream_log(
         start = first_end(batch)
         if start is None:
             return
-        logged = skip_warmup(with_language_totals(batch), F.lit(start), window)
+        logged = skip_warmup(with_language_totals(batch, language_totals(batch)), F.lit(start), window)
         order = ["window_end", *window_order()]
         lines = log_lines(logged.repartitionByRange(*order).sortWithinPartitions(*order)).select("value")
         lines.write.mode("overwrite").text(f"{out}/log/batch={batch_id}")

@@ -1,5 +1,6 @@
 import random
 
+from millrace import cluster
 from millrace.cluster import broadcast_if_small, shared_path
 from millrace.operators.ordering import with_ordinal
 
@@ -29,3 +30,10 @@ def test_shared_folder_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is not None:
         assert shared_path(spark, "x").startswith(root.rstrip("/"))
+
+
+def test_shared_tables_can_be_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cluster, "shared_root", lambda session: str(tmp_path))
+    spark.range(3).write.parquet(cluster.shared_path(spark, "x"))
+    cluster.drop_shared(spark)
+    assert not list((tmp_path / "millrace").iterdir())

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 def clean_text(text: Column) -> Column:
     """Drop the first ``RT``, every ``@name`` and every URL with one blank after it."""
-    no_marker = F.regexp_replace(text, r"(?s)^(.*?)RT", "$1")
+    rest = F.substring(text, F.instr(text, "RT") + 2, F.length(text))
+    no_marker = F.when(F.instr(text, "RT") > 0, F.concat(F.substring_index(text, "RT", 1), rest)).otherwise(text)
     no_names = F.regexp_replace(no_marker, r"@\p{L}+", "")
     return F.regexp_replace(no_names, r"https?://\S+\s?", "")
 

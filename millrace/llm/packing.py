@@ -23,7 +23,8 @@ SPECIAL = "<|endoftext|>"
 
 # The byte-level splitting rule, for characters on which this spelling and the original agree.
 _SPLIT = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-_OTHER = re.compile(r"[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbeɐ-‏ - ⁠-\U0010ffff]")
+_APART = ((0x1C, 0x1F), (0xB2, 0xB3), (0xB9, 0xB9), (0xBC, 0xBE), (0x250, 0x200F), (0x2028, 0x202F), (0x2060, 0x10FFFF))
+_OTHER = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _APART) + "]")
 
 
 class Encoder:

@@ -4,17 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm.decontaminate import contamination
 from millrace.llm.near_dup import near_duplicates
 from millrace.llm.packing import pack
+from millrace.llm.toxicity import fit, score_toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(doc_id: str = "doc_id") -> Column:
+    """Remainder by 5 of the checksum of the id's text."""
+    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    index = fit(docs, labels.where(fold() != 0))
+    scored = score_toxicity(docs, index)
+    return scored.select("doc_id", (fold() == 0).alias("held_out"), "score", "predicted", "evidence")
+
+
 def vocabulary() -> str:
     import public_tokenizers
 
@@ -35,6 +49,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,

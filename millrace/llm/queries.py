@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.ctw import ctw_scores
 from millrace.llm.decontaminate import contamination
 from millrace.llm.near_dup import near_duplicates
 from millrace.llm.packing import pack
@@ -44,6 +45,12 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ctw_scores(table(spark, sf_dir, "documents"), fold() != 1)
+    columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"]
+    return scored.select("doc_id", (fold() == 1).alias("held_out"), *columns)
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
@@ -52,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op8_lm_scoring": op8_lm_scoring,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}

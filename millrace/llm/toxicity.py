@@ -23,7 +23,7 @@ from millrace.llm.words import ALNUM, SLICE_BYTES, find_words, fingerprints, mix
 MAX_EXAMPLES = 20_000  # labelled rows the classifier is fitted on: those with the smallest hashed ids
 MAX_TERMS = 4_000  # vocabulary: the terms with the largest chi-squared value
 MIN_CHI2 = 20.0
-PREFIXES = (4, 5, 6)  # bytes
+PREFIXES = (3, 4, 5, 6)  # bytes
 NEIGHBOURS = 25
 BLOCK = 128  # examples in a block of postings
 PRIOR = 1.0  # votes of the examples as a whole

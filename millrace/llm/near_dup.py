@@ -6,7 +6,8 @@ sketch (a bitmap of parities into which all MinHash samples are folded; the popu
 the XOR of two gives the number of differing samples), then is checked on the full sets.
 
 No bucket is expanded into its pairs. Members first meet a few centres of their bucket only, and
-the links found are merged into components. In buckets that still hold several components, the
+the links found are merged into components; members still outside their bucket's largest component meet
+more centres of it in a few further turns. In buckets that then hold several components, the
 members outside the largest one then meet all members of other components, inside a join whose
 condition compares sketches, so only pairs that look alike leave it. Pairs within one component
 are never compared: they cannot change the result.
@@ -29,7 +30,7 @@ from millrace.llm.words import SPACED, find_words, grams, mix, signed, slices, t
 BANDS = 40  # a pair at similarity 0.8 shares no band in 5 of 10^6 cases; at 0.9 in one of 10^14
 ROWS = 6
 SKETCH_BITS = 512
-SAMPLE_ROWS = 40  # rows of a batch that one task reads at a time are few, as texts may be long
+ROUNDS = 3  # turns in which members outside a bucket's largest component meet further centres of it
 CENTRES = (0, 0x5555555555555555, 0x3333333333333333, 0x0F0F0F0F0F0F0F0F)
 
 _U = np.uint64
@@ -224,13 +225,15 @@ def near_duplicates(
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
-    likely = (
-        to_centres.join(look.alias("x"), F.col("a") == F.col("x.id"))
-        .join(look.alias("y"), F.col("b") == F.col("y.id"))
-        .where(_alike("x", "y", percent, flips))
-        .select("a", "b")
-    )
-    links = checkpointed(confirmed(likely))
+    def alike_pairs(pairs: DataFrame) -> DataFrame:
+        return (
+            pairs.join(look.alias("x"), F.col("a") == F.col("x.id"))
+            .join(look.alias("y"), F.col("b") == F.col("y.id"))
+            .where(_alike("x", "y", percent, flips))
+            .select("a", "b")
+        )
+
+    links = checkpointed(confirmed(alike_pairs(to_centres)))
     found = components(links)
 
     def labelled(rows_of: DataFrame) -> DataFrame:
@@ -238,29 +241,43 @@ def near_duplicates(
             "component", F.coalesce("component", "id")
         )
 
-    placed = checkpointed(labelled(shared.select("key", "id")))
-    parts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mains = parts.groupBy("key").agg(
-        F.count("*").alias("parts"), F.max("n").alias("most"), F.min("component").alias("lowest")
-    ).where("parts > 1")
-    main = (
-        parts.join(mains, "key")
-        .where("n = most")
-        .groupBy("key")
-        .agg(F.min("component").alias("main"))
-    )
-    open_rows = checkpointed(placed.join(main, "key").join(look, "id"))
-    outside = open_rows.where("component <> main").alias("x")
+    def open_buckets() -> tuple[DataFrame, DataFrame]:
+        """Rows of the buckets that hold several components; those outside the bucket's largest component."""
+        placed = checkpointed(labelled(shared.select("key", "id")))
+        parts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
+        mains = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max("n").alias("most")).where("parts > 1")
+        main = parts.join(mains, "key").where("n = most").groupBy("key").agg(F.min("component").alias("main"))
+        rows_of = checkpointed(placed.join(main, "key").join(look, "id"))
+        return rows_of, rows_of.where("component <> main")
+
+    for turn in range(ROUNDS):
+        rows_of, outside = open_buckets()
+        masks = [int(m >> 2) for m in mix(np.arange(1, 9, dtype=_U) + _U(100 * turn))]
+        picks = [F.min(F.col("id").bitwiseXOR(F.lit(m).cast("long"))).bitwiseXOR(F.lit(m).cast("long")) for m in masks]
+        chosen = rows_of.where("component = main").groupBy("key").agg(F.array_distinct(F.array(*picks)).alias("picked"))
+        near = (
+            outside.select("key", "id")
+            .join(chosen, "key")
+            .select("id", F.explode("picked").alias("other"))
+            .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+            .distinct()
+        )
+        more = checkpointed(confirmed(alike_pairs(near)))
+        if not more.take(1):
+            break
+        links = checkpointed(links.union(more).distinct())
+        found = components(links)
+    rows_of, outside = open_buckets()
     rest = (
-        outside.join(
-            open_rows.alias("y"),
+        outside.alias("x")
+        .join(
+            rows_of.alias("y"),
             (F.col("x.key") == F.col("y.key"))
             & (F.col("x.component") != F.col("y.component"))
             & _alike("x", "y", percent, flips),
         )
         .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
         .distinct()
-        .join(links, ["a", "b"], "left_anti")
     )
     more = checkpointed(confirmed(rest))
     if more.take(1):

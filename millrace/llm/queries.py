@@ -12,6 +12,7 @@ from millrace.llm.decontaminate import contamination
 from millrace.llm.near_dup import near_duplicates
 from millrace.llm.packing import pack
 from millrace.llm.toxicity import fit, score_toxicity
+from millrace.llm.warc import archived
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +46,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages")).drop("url")
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = ctw_scores(table(spark, sf_dir, "documents"), fold() != 1, F.col("lang"))
     columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"]
@@ -59,7 +64,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op7_warc": op7_warc,
     "op8_lm_scoring": op8_lm_scoring,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
-ORACLE_SQL: dict[str, str] = {}
+OP7_SQL = """
+WITH page AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+hashed AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS hex FROM page),
+grouped AS (SELECT *, min(page_id) OVER (PARTITION BY hex, payload_bytes) AS first FROM hashed)
+SELECT page_id, payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31), 1) for i in range(32)], '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM grouped
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_warc": OP7_SQL}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.ctw import ctw_scores
 from millrace.llm.decontaminate import contamination
+from millrace.llm.extract import extract_text
 from millrace.llm.near_dup import near_duplicates
 from millrace.llm.packing import pack
 from millrace.llm.toxicity import fit, score_toxicity
@@ -41,6 +42,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -63,6 +68,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_html_extraction": op3_html_extraction,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_warc": op7_warc,
     "op8_lm_scoring": op8_lm_scoring,

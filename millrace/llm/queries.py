@@ -12,6 +12,7 @@ from millrace.llm.decontaminate import contamination
 from millrace.llm.extract import extract_text
 from millrace.llm.near_dup import near_duplicates
 from millrace.llm.packing import pack
+from millrace.llm.quality import quality_verdicts
 from millrace.llm.toxicity import fit, score_toxicity
 from millrace.llm.warc import archived
 
@@ -46,6 +47,10 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(table(spark, sf_dir, "documents"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_html_extraction": op3_html_extraction,
+    "op4_quality_rules": op4_quality_rules,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_warc": op7_warc,
     "op8_lm_scoring": op8_lm_scoring,

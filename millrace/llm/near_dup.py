@@ -16,7 +16,7 @@ are never compared: they cannot change the result.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -176,6 +176,12 @@ def _alike(x: str, y: str, percent: int, flips: int) -> Column:
     return sizes & (differing <= flips)
 
 
+def _pick(column: str, mask: int) -> Column:
+    """The number nearest to ``mask`` in its bits: another member for another mask, found by a plain minimum."""
+    bits = F.lit(mask).cast("long")
+    return F.min(F.col(column).bitwiseXOR(bits)).bitwiseXOR(bits)
+
+
 def near_duplicates(
     docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -200,8 +206,8 @@ def near_duplicates(
         )
     )
     keyed = heads.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
-    centres = [(F.min(F.col("id").bitwiseXOR(F.lit(m)))).bitwiseXOR(F.lit(m)).alias(f"c{i}") for i, m in enumerate(CENTRES)]
-    buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), *centres).where("n > 1")
+    firsts = [_pick("id", m).alias(f"c{i}") for i, m in enumerate(CENTRES)]
+    buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), *firsts).where("n > 1")
     shared = checkpointed(keyed.join(buckets, "key"))
     flips = max_flips(percent / 100, bands, rows)
     look = heads.select(F.col("doc_id").alias("id"), "n_shingles", *_SKETCH)
@@ -217,14 +223,18 @@ def near_duplicates(
         y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
         return pairs.join(x, "a").join(y, "b").mapInArrow(_confirm_batches(percent), "a long, b long")
 
-    to_centres = (
-        shared.select(
-            F.col("id").alias("a"), F.explode(F.array_distinct(F.array(*(f"c{i}" for i in range(len(CENTRES)))))).alias("b")
+    def with_centres(rows_of: DataFrame, masks: Sequence[int]) -> DataFrame:
+        """Pairs of a row and, for each mask, one centre of all its buckets."""
+        picked = [_pick(f"c{i}", m) for i, m in enumerate(masks)]
+        return (
+            rows_of.groupBy("id")
+            .agg(F.array_distinct(F.array(*picked)).alias("picked"))
+            .select("id", F.explode("picked").alias("other"))
+            .where("id <> other")
+            .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+            .distinct()
         )
-        .where("a <> b")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
+
     def alike_pairs(pairs: DataFrame) -> DataFrame:
         return (
             pairs.join(look.alias("x"), F.col("a") == F.col("x.id"))
@@ -233,7 +243,7 @@ def near_duplicates(
             .select("a", "b")
         )
 
-    links = checkpointed(confirmed(alike_pairs(to_centres)))
+    links = checkpointed(confirmed(alike_pairs(with_centres(shared, CENTRES))))
     found = components(links)
 
     def labelled(rows_of: DataFrame) -> DataFrame:
@@ -252,16 +262,11 @@ def near_duplicates(
 
     for turn in range(ROUNDS):
         rows_of, outside = open_buckets()
-        masks = [int(m >> 2) for m in mix(np.arange(1, 9, dtype=_U) + _U(100 * turn))]
-        picks = [F.min(F.col("id").bitwiseXOR(F.lit(m).cast("long"))).bitwiseXOR(F.lit(m).cast("long")) for m in masks]
-        chosen = rows_of.where("component = main").groupBy("key").agg(F.array_distinct(F.array(*picks)).alias("picked"))
-        near = (
-            outside.select("key", "id")
-            .join(chosen, "key")
-            .select("id", F.explode("picked").alias("other"))
-            .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
-            .distinct()
+        masks = [int(m >> _U(2)) for m in mix(np.arange(1, 9, dtype=_U) + _U(100 * turn))]
+        chosen = rows_of.where("component = main").groupBy("key").agg(
+            *(_pick("id", m).alias(f"c{i}") for i, m in enumerate(masks))
         )
+        near = with_centres(outside.select("key", "id").join(chosen, "key"), masks)
         more = checkpointed(confirmed(alike_pairs(near)))
         if not more.take(1):
             break

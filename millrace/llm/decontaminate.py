@@ -90,7 +90,7 @@ def search(text: np.ndarray, order: np.ndarray, query: np.ndarray, items: Suffix
                 if not open_.any():
                     break
                 mid = (a + b) >> 1
-                word = text[order[np.minimum(mid, len(order) - 1)] + depth]
+                word = text[np.minimum(order[np.minimum(mid, len(order) - 1)] + depth, len(text) - 1)]  # closed ranges aside
                 right = open_ & ((word < wanted) if side == 0 else (word <= wanted))
                 a = np.where(right, mid + 1, a)
                 b = np.where(open_ & ~right, mid, b)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.llm.ctw import ctw_scores
 from millrace.llm.decontaminate import contamination
 from millrace.llm.extract import extract_text
+from millrace.llm.licenses import PERCENT, TEMPLATES, license_scan, need
 from millrace.llm.near_dup import near_duplicates
 from millrace.llm.packing import pack
 from millrace.llm.quality import quality_verdicts
@@ -66,6 +67,10 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold() == 1).alias("held_out"), *columns)
 
 
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_warc": op7_warc,
     "op8_lm_scoring": op8_lm_scoring,
+    "op9_license_scans": op9_license_scans,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 OP7_SQL = """
@@ -92,4 +98,29 @@ SELECT page_id, payload_bytes,
 FROM grouped
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_warc": OP7_SQL}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_WORDS = r"regexp_extract_all(translate({}, '" + _UPPER + "', '" + _UPPER.lower() + r"'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_TEMPLATE_ROWS = ", ".join(
+    f"({i}, '{label}', {sorted(set(text.split()))}, {need(len(set(text.split())), PERCENT)})"
+    for i, (label, text) in enumerate(TEMPLATES)
+)
+OP9_SQL = f"""
+WITH template(id, label, words, need) AS (VALUES {_TEMPLATE_ROWS}),
+doc AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+place AS (
+  SELECT doc_id, i, CASE WHEN w[i:i + 3] = ['under', 'the', 'mit', 'license'] THEN 'mit'
+    WHEN w[i:i + 3] = ['apache', 'license', 'version', '2'] THEN 'apache-2' WHEN w[i:i + 2] = ['cc', 'by', 'nc'] THEN 'cc-by-nc' END AS label
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM doc)),
+base AS (SELECT doc_id, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word,
+  list_sort(list(DISTINCT label)) AS labels FROM place WHERE label IS NOT NULL GROUP BY doc_id),
+line AS (SELECT doc_id, list_distinct({_WORDS.format("line")}) AS w FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM doc)),
+met AS (SELECT doc_id, label, len(list_intersect(w, words)) AS shared, len(words) AS size, need FROM line, template),
+more AS (SELECT doc_id, list(DISTINCT label) AS labels, max(shared / size) AS score FROM met WHERE shared >= need GROUP BY doc_id)
+SELECT doc.doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(array_to_string(base.labels, ','), '') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(more.score, 0.0)::DOUBLE END AS score
+FROM doc LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_warc": OP7_SQL, "op9_license_scans": OP9_SQL}

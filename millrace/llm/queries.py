@@ -15,6 +15,7 @@ from millrace.llm.near_dup import near_duplicates
 from millrace.llm.packing import pack
 from millrace.llm.quality import quality_verdicts
 from millrace.llm.toxicity import fit, score_toxicity
+from millrace.llm.url_filter import filter_urls
 from millrace.llm.warc import archived
 
 
@@ -57,6 +58,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages")).drop("url")
 
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html_extraction": op3_html_extraction,
     "op4_quality_rules": op4_quality_rules,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_url_filters": op6_url_filters,
     "op7_warc": op7_warc,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_license_scans": op9_license_scans,

@@ -8,12 +8,13 @@ shuffled; the suffix arrays live only as long as their shard.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.words import ALNUM, find_words, slices, text_buffers
 
@@ -21,7 +22,16 @@ WINDOW = 13
 SHARD_BYTES = 4 << 20
 BLOCK_BYTES = 32 << 20  # benchmark text that is sent to the executors at once
 
-STATE = "n_hit bigint, spans array<bigint>, items array<string>, longest struct<item:string,item_start:bigint,start:bigint,length:bigint>"
+_LONG = T.LongType()
+_MATCH = T.StructType().add("item", T.StringType()).add("item_start", _LONG).add("start", _LONG).add("length", _LONG)
+_STATE = (
+    T.StructType()
+    .add("n_words", _LONG)
+    .add("n_hit", _LONG)
+    .add("spans", T.ArrayType(_LONG))
+    .add("items", T.ArrayType(T.StringType()))
+    .add("longest", _MATCH)
+)
 
 
 def suffix_array(ranks: np.ndarray, n_ranks: int, depth: int) -> np.ndarray:
@@ -144,7 +154,7 @@ def _merge(spans: list[tuple[int, int]]) -> list[int]:
     return flat
 
 
-def _batches(shared, window: int, keep_text: bool):
+def _batches(shared, kept: list[str]):
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items: Suffixes = shared.value
         for batch in source:
@@ -186,8 +196,7 @@ def _batches(shared, window: int, keep_text: bool):
                 [("item", pa.string()), ("item_start", pa.int64()), ("start", pa.int64()), ("length", pa.int64())]
             )
             columns = {
-                "doc_id": batch.column("doc_id"),
-                **({"text": batch.column("text")} if keep_text else {}),
+                **{c: batch.column(c) for c in kept},
                 "n_words": pa.array(total),
                 "n_hit": pa.array([sum(s[1::2]) - sum(s[::2]) for s in spans], pa.int64()),
                 "spans": pa.array(spans, pa.list_(pa.int64())),
@@ -212,7 +221,11 @@ def benchmark_blocks(benchmark: DataFrame, window: int, block_bytes: int = BLOCK
 
 
 def match_benchmark(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    block_bytes: int = BLOCK_BYTES,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: where ``benchmark(item_id, text)`` occurs in it.
 
@@ -222,24 +235,25 @@ def match_benchmark(
     ``items`` the items with occurring windows as strings, ``longest`` the longest verbatim match
     (ties: the smaller item name, then the earlier place in the item and in the document). A null
     text has no words. Rows repeat as given; a missing item id is named ``null``. Other columns are
-    ignored. The benchmark is the stated query set: it passes in blocks of bounded size, each
+    ignored but for those named in ``carry``, which stay beside the result. The benchmark is the stated query set: it passes in blocks of bounded size, each
     broadcast in turn; reading it runs jobs.
     """
-    state = docs.select("doc_id", "text")
-    kind = dict(state.dtypes)["doc_id"]
-    fields = f"doc_id {kind}, {{}}n_words bigint, {STATE}"
+    kept = list(carry) or ["doc_id"]
+    state = docs.select("doc_id", "text", *(c for c in kept if c not in ("doc_id", "text")))
+    schema = state.schema
     for last, block in benchmark_blocks(benchmark, window, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(block)
-        state = state.mapInArrow(_batches(shared, window, not last), fields.format("" if last else "text string, "))
+        names = kept if last else schema.names
+        state = state.mapInArrow(_batches(shared, names), T.StructType([schema[c] for c in names] + _STATE.fields))
     return state
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20, carry: Sequence[str] = ()) -> DataFrame:
     """Match counts per document and the verdict: hit words are at least one in ``share`` of its words."""
     return (
-        match_benchmark(docs, benchmark, window)
+        match_benchmark(docs, benchmark, window, carry=carry)
         .select(
-            "doc_id",
+            *(carry or ["doc_id"]),
             "n_words",
             "n_hit",
             F.size("items").cast("long").alias("n_items"),

@@ -8,6 +8,8 @@ source of any size is combined before it moves.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -178,15 +180,18 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
     )
 
 
-def quality_verdicts(docs: DataFrame) -> DataFrame:
+def quality_verdicts(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Statistics and verdict per row of ``docs(doc_id, text, lang, source)``.
 
     ``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance)``. A null text has no
     words; null lang or source is a value of its own. Rows that fail the base rules take no part in the
     estimates and are not kept; their ``distance`` is null. Others are kept if their squared robust distance is at most ``CUT``.
-    Repeated rows stay and count each time; other columns are ignored. Runs jobs.
+    Repeated rows stay and count each time; other columns are ignored. With ``carry``, the
+    result is these columns of the kept rows alone. Runs jobs.
     """
-    stats = text_statistics(docs, "doc_id", "lang", "source")
+    kept = [f"_carry{i}" for i in range(len(carry))]
+    docs = docs.select("doc_id", "text", "lang", "source", *(F.col(c).alias(k) for c, k in zip(carry, kept, strict=True)))
+    stats = text_statistics(docs, "doc_id", "lang", "source", *kept)
     n = F.greatest(F.col("n_words"), F.lit(1))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     none = F.lit("\x00")
@@ -216,6 +221,8 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
     placed = rows.join(chosen, "groups", "left").withColumn("grp", F.col("groups")[F.coalesce("pos", F.lit(2))])
     judged = _distance(placed.where("NOT base_failed"), estimates).withColumn("distance", F.col("d2") / F.col("scale"))
     out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    if carry:
+        return judged.where(F.col("distance") <= CUT).select(*(F.col(k).alias(c) for c, k in zip(carry, kept, strict=True)))
     return judged.select(*out, (F.col("distance") <= CUT).alias("kept"), "distance").union(
         rows.where("base_failed").select(*out, F.lit(False), F.lit(None).cast(T.DoubleType()))
     )

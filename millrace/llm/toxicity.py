@@ -9,13 +9,14 @@ reaches the k-th cosine found, so the neighbours are exact.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.cluster import checkpointed
 from millrace.llm.words import ALNUM, SLICE_BYTES, find_words, fingerprints, mix, signed, slices, text_buffers
@@ -29,6 +30,10 @@ BLOCK = 128  # examples in a block of postings
 PRIOR = 1.0  # votes of the examples as a whole
 
 _U = np.uint64
+_FACT = T.StructType().add("doc_id", T.StringType()).add("toxic", T.IntegerType()).add("cosine", T.DoubleType())
+_SCORED = (
+    T.StructType().add("score", T.DoubleType()).add("predicted", T.IntegerType()).add("evidence", T.ArrayType(_FACT))
+)
 
 
 def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -253,16 +258,15 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES, k: int =
     return index
 
 
-def score_toxicity(docs: DataFrame, index: Index) -> DataFrame:
+def score_toxicity(docs: DataFrame, index: Index, carry: Sequence[str] = ()) -> DataFrame:
     """``(doc_id, score, predicted, evidence)`` per row of ``docs(doc_id, text)``.
 
     ``score`` is the calibrated share of toxic votes among the nearest examples, ``evidence`` the first
     five of them with label and cosine. A text without any term of the vocabulary (also empty or null)
-    gets the rate of such examples; without any examples all scores are 0. Rows repeat as given, other
-    columns are ignored. The index holds at most ``MAX_EXAMPLES`` short vectors and is broadcast.
+    gets the rate of such examples; without any examples all scores are 0. Rows repeat as given; other
+    columns are ignored but for those named in ``carry``, which stay beside the result. The index holds at most ``MAX_EXAMPLES`` short vectors and is broadcast.
     """
-    source = docs.select("doc_id", "text")
-    kind = dict(source.dtypes)["doc_id"]
+    source = docs.select("doc_id", "text", *(c for c in carry if c not in ("doc_id", "text")))
     shared = docs.sparkSession.sparkContext.broadcast(index)
     fact = pa.struct([("doc_id", pa.string()), ("toxic", pa.int32()), ("cosine", pa.float64())])
 
@@ -286,13 +290,13 @@ def score_toxicity(docs: DataFrame, index: Index) -> DataFrame:
             values = np.array(scores)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    *(batch.column(c) for c in kept),
                     pa.array(values, pa.float64()),
                     pa.array((values >= 0.5).astype(np.int32)),
                     pa.array(evidence, pa.list_(fact)),
                 ],
-                names=["doc_id", "score", "predicted", "evidence"],
+                names=[*kept, "score", "predicted", "evidence"],
             )
 
-    fields = f"doc_id {kind}, score double, predicted int, evidence array<struct<doc_id:string,toxic:int,cosine:double>>"
-    return source.mapInArrow(scored, fields)
+    kept = list(carry) or ["doc_id"]
+    return source.mapInArrow(scored, T.StructType([source.schema[c] for c in kept] + _SCORED.fields))

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Upper row count for a table that may be shipped to every executor.
-BROADCAST_ROWS = 100_000
+# Upper row count and file size of a table that may be shipped to every executor.
+BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 16 << 20
+
+# Inputs rendered by this application: what and where.
+_rendered: dict[tuple[str, str, str], str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -39,6 +44,18 @@ def drop_shared(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark).rstrip('/')}/millrace/{app}")
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    for key in [k for k in _rendered if k[0] == app]:
+        del _rendered[key]
+
+
+def rendered(spark: SparkSession, source: str, name: str, write: Callable[[str], None]) -> str:
+    """Path of an input that is written once per application, until ``drop_shared``."""
+    key = (spark.sparkContext.applicationId, source, name)
+    if key not in _rendered:
+        path = shared_path(spark, name)
+        write(path)
+        _rendered[key] = path
+    return _rendered[key]
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -54,19 +71,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; otherwise leave the join to AQE.
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Hint a broadcast only after a check of size and rows; otherwise leave the join to AQE. Runs a job.
 
-    ``df`` should be cheap to read again, i.e. a written table.
+    ``df`` should be a written table: cheap to read again, and its size is that of its files.
     """
-    seen = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if seen <= max_rows else df
+    limit = BROADCAST_ROWS if max_rows is None else max_rows
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    small = size <= BROADCAST_BYTES and df.limit(limit + 1).count() <= limit
+    return F.broadcast(df) if small else df
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Compute a reduced join side once, then broadcast it if it is small.
+def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Compute a reduced join side once, then broadcast it if it is small. Runs jobs.
 
     Keeps the big side of the join from being shuffled on a skewed key just
-    because Spark cannot estimate the size of an aggregate.
+    because Spark cannot estimate the size of an aggregate. A larger side is a plain table, so AQE can
+    split a skewed key of the join.
     """
     return broadcast_if_small(checkpointed(df), max_rows)

@@ -2,57 +2,53 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.cluster import checkpointed
-
-# Regions are reference sequences, of which a dictionary lists some dozens.
-MAX_REGIONS = 10_000
-
+from millrace.cluster import small_side
 
 def region_assignment(weights: DataFrame, tasks: int) -> DataFrame:
     """Longest-first greedy balancing of ``key, n``: ``key, n, task``.
 
     Regions go by (n, key) descending to the least loaded task, the lowest one on
-    ties. The fold runs over one row per region, whose number is checked.
+    ties. The rule is sequential, so one row per region streams in order past a
+    heap of the tasks' loads; memory is the number of tasks.
     """
-    weights = checkpointed(weights.select("key", F.col("n").cast("bigint").alias("n")))
-    if weights.limit(MAX_REGIONS + 1).count() > MAX_REGIONS:
-        raise ValueError(f"greedy assignment is meant for at most {MAX_REGIONS} regions")
-    lightest = "cast(array_position(acc.loads, array_min(acc.loads)) as int)"
-    picks = F.expr(
-        f"""aggregate(
-            heaviest_first,
-            struct(array_repeat(cast(0 as bigint), {int(tasks)}) as loads, cast(array() as array<int>) as picks),
-            (acc, w) -> struct(
-                transform(acc.loads, (load, i) -> load + if(i + 1 = {lightest}, w.n, 0)) as loads,
-                concat(acc.picks, array({lightest} - 1)) as picks
-            ),
-            acc -> acc.picks
-        )"""
-    )
-    one_row = weights.agg(F.sort_array(F.collect_list(F.struct("n", "key")), asc=False).alias("heaviest_first"))
-    return (
-        one_row.select(F.explode(F.arrays_zip("heaviest_first", picks.alias("picks"))).alias("z"))
-        .select("z.heaviest_first.key", "z.heaviest_first.n", F.col("z.picks").alias("task"))
-    )
+    weights = weights.select("key", F.col("n").cast("bigint").alias("n"))
+    in_order = weights.repartition(1).sortWithinPartitions(F.desc("n"), F.desc("key"))
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loads = [(0, task) for task in range(tasks)]
+        for batch in batches:
+            picks = []
+            for n in batch.column("n").to_pylist():
+                load, task = loads[0]
+                heapq.heapreplace(loads, (load + (n or 0), task))
+                picks.append(task)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), batch.column("n"), pa.array(picks, pa.int32())], names=["key", "n", "task"]
+            )
+
+    return in_order.mapInArrow(assign, T.StructType([*weights.schema.fields, T.StructField("task", T.IntegerType())]))
 
 
 def balanced_repartition(
     rows: DataFrame, key: str, assignment: DataFrame, order_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Add each row's ``task`` and lay rows out by task, in order.
+    """Add each row's ``task`` as a label and lay rows out by it, in order.
 
     Range partitioning cuts a heavy task into several partitions that follow one
-    another; equal ``order_by`` values are what stays together. The assignment
-    has at most ``MAX_REGIONS`` rows, hence the broadcast.
+    another, and may put light ones together; equal ``order_by`` values are what stays together. The
+    assignment is written first (a job) and broadcast if it is small.
     """
-    routes = F.broadcast(assignment.select(F.col("key").alias(key), "task"))
+    routes = small_side(assignment.select(F.col("key").alias(key), "task"))
     layout = ["task", key, *order_by]
     return rows.join(routes, key).repartitionByRange(*layout).sortWithinPartitions(*layout)
 

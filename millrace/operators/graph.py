@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.cluster import checkpointed
+from millrace.cluster import broadcast_if_small, checkpointed, small_side
 from millrace.operators.ordering import with_ordinal
 
 UNREACHABLE = 100
@@ -51,7 +51,8 @@ def movie_casts(edges: DataFrame) -> DataFrame:
 def adjacency_sizes(edges: DataFrame) -> DataFrame:
     """Per actor: movies, and how many (movie, other person) entries the adjacency list has."""
     plain = edges.distinct()
-    casts = plain.groupBy("movie").agg(F.count("*").alias("cast_size"))
+    # Written first, so the join sees a plain table: a small one is broadcast, and a hot movie is split.
+    casts = small_side(plain.groupBy("movie").agg(F.count("*").alias("cast_size")))
     return (
         plain.join(casts, "movie")
         .groupBy("actor_id")
@@ -61,15 +62,16 @@ def adjacency_sizes(edges: DataFrame) -> DataFrame:
 
 
 def coactors(edges: DataFrame, of: DataFrame) -> DataFrame:
-    """Distinct people who share a movie with someone in ``of``, themselves excluded."""
-    movies = edges.join(of.select("actor_id"), "actor_id", "left_semi").select("movie").distinct()
+    """Distinct people who share a movie with someone in ``of``, themselves excluded. Runs a job."""
+    movies = small_side(edges.join(of.select("actor_id"), "actor_id", "left_semi").select("movie").distinct())
     near = edges.join(movies, "movie", "left_semi").select("actor_id").distinct()
     return near.join(of.select("actor_id"), "actor_id", "left_anti")
 
 
 def connected_actors(edges: DataFrame) -> DataFrame:
-    """People with at least one co-actor."""
-    shared = edges.groupBy("movie").agg(F.min("actor_id").alias("lo"), F.max("actor_id").alias("hi")).where("lo < hi")
+    """People with at least one co-actor. Runs a job."""
+    casts = edges.groupBy("movie").agg(F.min("actor_id").alias("lo"), F.max("actor_id").alias("hi"))
+    shared = small_side(casts.where("lo < hi").select("movie"))
     return edges.join(shared, "movie", "left_semi").select("actor_id").distinct()
 
 
@@ -77,18 +79,23 @@ def reached(edges: DataFrame, seed: DataFrame, max_distance: int = MAX_DISTANCE)
     """Breadth-first ``actor_id, distance`` up to ``max_distance``.
 
     Each round steps from the frontier to its movies and on to people not seen
-    before. The cast of a movie lies within two neighbouring distances, so every
-    movie is opened in at most two rounds. Each round is written out, which keeps
-    plans short and lets a lost executor cost one round. An empty frontier ends
-    the search. ``edges`` holds distinct rows and is read every round, so pass a
-    table rather than a query.
+    before. A movie is opened once: opened ones are left out of later rounds. The movies of a
+    round and the round's people are written, which keeps plans short, lets a lost executor cost one
+    round, and lets joins broadcast a small frontier or split a hot movie. An empty frontier ends the
+    search. ``edges`` holds distinct rows and is read every round, so pass a table rather than a
+    query. Runs jobs.
     """
     start = edges.join(seed.select("actor_id"), "actor_id", "left_semi").select("actor_id").distinct()
     frontier = checkpointed(start)
     seen = frontier.withColumn("distance", F.lit(0))
+    opened: DataFrame | None = None
     for distance in range(1, max_distance + 1):
-        movies = edges.join(frontier, "actor_id", "left_semi").select("movie").distinct()
-        near = edges.join(movies, "movie", "left_semi").select("actor_id").distinct()
+        movies = edges.join(broadcast_if_small(frontier), "actor_id", "left_semi").select("movie").distinct()
+        if opened is not None:
+            movies = movies.join(opened, "movie", "left_anti")
+        movies = checkpointed(movies)
+        opened = movies if opened is None else opened.unionAll(movies)
+        near = edges.join(broadcast_if_small(movies), "movie", "left_semi").select("actor_id").distinct()
         frontier = checkpointed(near.join(seen, "actor_id", "left_anti"))
         if frontier.isEmpty():
             break
@@ -150,9 +157,11 @@ def separation_report(distances: DataFrame, actors: DataFrame, edges: DataFrame,
     )
     # Single-row results, hence literals below.
     men, women, people = totals.first()
+    one = distances.sparkSession.range(1)
     movies = edges.agg(F.count_distinct("movie").alias("movies"))
     steps = checkpointed(separation_counts(distances, actors, max_distance))
 
+    # The sentences of the report.
     def text(section: int, line_no: int, line: Column) -> list[Column]:
         return [F.lit(section).alias("section"), F.lit(line_no).cast("bigint").alias("line_no"), line.alias("line")]
 
@@ -167,7 +176,7 @@ def separation_report(distances: DataFrame, actors: DataFrame, edges: DataFrame,
         return sums.select(*text(3, line_no, F.concat(start, n.cast("string"), F.lit(", ratio = "), ratio(n, whole))))
 
     def heading(section: int, label: str) -> DataFrame:
-        return movies.select(*text(section, 0, F.lit(f"List of {label} at distance {max_distance}:")))
+        return one.select(*text(section, 0, F.lit(f"List of {label} at distance {max_distance}:")))
 
     everyone = F.lit(
         f"Total number of actors = {people}, out of which {men} ({men * 100 // max(people, 1)}%) are males "
@@ -194,7 +203,7 @@ def separation_report(distances: DataFrame, actors: DataFrame, edges: DataFrame,
         F.concat(F.col("number").cast("string"), F.lit(". "), F.col("name")).alias("line"),
     )
     parts = [
-        movies.select(*text(1, 1, everyone)),
+        one.select(*text(1, 1, everyone)),
         movies.select(*text(1, 2, films)),
         at_distance,
         summary(1, "actors", a + b, people),

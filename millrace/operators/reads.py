@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.cluster import small_side
+from millrace.cluster import checkpointed, small_side
 from millrace.functions.cigar import alignment_end, soft_clip_to, unclipped_five_prime
 from millrace.functions.qualities import guess_encoding, quality_score, to_phred
 
@@ -81,40 +83,45 @@ def clean_reads(reads: DataFrame, seq_dict: DataFrame) -> DataFrame:
     )
 
 
-# Pieces a group of reads with one key is cut into; also the most rows of one
-# key that the second ranking sees together.
-DUPLICATE_PIECES = 1024
-
-
-def mark_duplicates(reads: DataFrame, pieces: int = DUPLICATE_PIECES) -> DataFrame:
+def mark_duplicates(reads: DataFrame) -> DataFrame:
     """Flag all but the best of reads that share chromosome, strand, 5' end and mate position.
 
     Best = highest sum of good qualities, then name, then the rest of the row; of
-    exact copies one counts as best. Ranking has two rounds: each key is first
-    cut into pieces by the partition a read comes from, which spreads a key, or a
-    heap of copies, holding a third of the reads. A read beaten inside its piece
-    is a duplicate for good. The pieces' winners then meet, at most one per piece.
+    exact copies one counts as best. A read without a 5' position is no duplicate. Reads are written
+    with a row number first (a job). Keys and scores then meet in aggregates that combine before they
+    move: the best score of a key, the smallest name that has it, the first row of those. So no key is hot,
+    and whole rows travel once, by their number, to take the mark.
     """
     strand = has_flag(REVERSE)
     key = ["ref_index", "_strand", "_five_prime", "rnext", "pnext"]
-    order = [F.desc("_score"), "qname", *[c for c in reads.columns if c != "qname"]]
-    keyed = reads.withColumns(
-        {
-            "_strand": strand,
-            "_five_prime": unclipped_five_prime(F.col("pos"), F.col("cigar"), strand),
-            "_score": quality_score(F.col("qual")),
-            "_piece": F.spark_partition_id() % pieces,
-        }
+    rest = [c for c in reads.columns if c not in ("qname", "ref_index", "rnext", "pnext")]
+    placed = checkpointed(reads.withColumn("_row", F.monotonically_increasing_id()))
+    keyed = placed.select(
+        "*",
+        strand.alias("_strand"),
+        unclipped_five_prime(F.col("pos"), F.col("cigar"), strand).alias("_five_prime"),
+        F.coalesce(quality_score(F.col("qual")), F.lit(-1)).alias("_score"),
+    ).where("_five_prime IS NOT NULL")
+    narrow = keyed.select(*key, "_score", "qname", "_row")
+
+    def same(side: DataFrame, columns: list[str]) -> Column:
+        return reduce(and_, (F.col(f"a.{c}").eqNullSafe(side[c]) for c in columns))
+
+    def only(rows: DataFrame, best: DataFrame, columns: list[str]) -> DataFrame:
+        """Rows that agree with a written table of one row per key."""
+        return rows.alias("a").join(best.alias("b"), same(best, columns), "left_semi")
+
+    scores = checkpointed(narrow.groupBy(*key).agg(F.max("_score").alias("_score")))
+    highest = only(narrow, scores, [*key, "_score"])
+    names = checkpointed(highest.groupBy(*key, "_score").agg(F.min("qname").alias("qname")))
+    ties = only(keyed, names, [*key, "_score", "qname"])
+    best = checkpointed(ties.groupBy(*key).agg(F.min(F.struct(*rest, "_row")).alias("best")).select("best._row"))
+    kept = best.withColumn("_best", F.lit(True))
+    never = unclipped_five_prime(F.col("pos"), F.col("cigar"), strand).isNull()
+    return placed.join(kept, "_row", "left").select(
+        *reads.columns, (~never & F.col("_best").isNull()).alias("is_duplicate")
     )
 
-    def first_in(*group: str) -> Column:
-        return F.row_number().over(W.partitionBy(*group).orderBy(*order)) == 1
-
-    winners_meet = F.when(first_in(*key, "_piece"), -1).otherwise(F.col("_piece"))
-    regrouped = keyed.withColumn("_piece", winners_meet)
-    best = (F.col("_piece") == -1) & first_in(*key, "_piece")
-    return regrouped.withColumn("is_duplicate", ~best).select(*reads.columns, "is_duplicate")
-
 
 def duplicate_metrics(marked: DataFrame) -> DataFrame:
     """Reads, duplicates and their share per library."""

@@ -7,7 +7,9 @@ language and text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -37,14 +39,23 @@ def _merge() -> list[Column]:
     ]
 
 
-def pane_counts(sightings: DataFrame, slide: str) -> DataFrame:
-    """Combine sightings of a post inside one slide interval.
+def pane_width(spark: SparkSession, window: str, slide: str) -> str:
+    """The longest interval that both the window and the slide are whole multiples of."""
+    zero = "timestamp '1970-01-01 00:00:00 UTC'"
+    micros = [F.expr(f"unix_micros({zero} + interval {d}) - unix_micros({zero})").alias(n) for d, n in ((window, "w"), (slide, "s"))]
+    w, s = spark.range(1).select(*micros).first()
+    return f"{math.gcd(w, s)} microseconds"
+
+
+def pane_counts(sightings: DataFrame, window: str, slide: str) -> DataFrame:
+    """Combine sightings of a post inside one pane.
 
-    A window of n slides then expands each post-and-pane row n times instead of
-    every status n times.
+    Windows then expand each post-and-pane row instead of every status. A pane lies
+    wholly inside or outside any window, since both its width and the slide's are multiples of the pane's.
     """
+    width = pane_width(sightings.sparkSession, window, slide)
     return (
-        sightings.groupBy(F.window("ts", slide).alias("pane"), "id")
+        sightings.groupBy(F.window("ts", width).alias("pane"), "id")
         .agg(*_merge())
         .select(F.col("pane.start").alias("ts"), "id", "max_count", "min_count", "first_seen")
     )
@@ -103,7 +114,7 @@ def with_language_totals(counted: DataFrame, totals: DataFrame | None = None) ->
 
 def window_table(statuses: DataFrame, window: str, slide: str, mode: str) -> DataFrame:
     """Every window of a bounded set of statuses, written once: statuses are scanned once."""
-    panes = pane_counts(retweet_filter(statuses), slide)
+    panes = pane_counts(retweet_filter(statuses), window, slide)
     return checkpointed(add_growth(build_windows(panes, window, slide), mode))
 
 
@@ -129,7 +140,7 @@ def ranked_language_totals(statuses: DataFrame, window: str, slide: str, mode: s
 
     One window holds as many rows as there are languages, so ``row_number`` is safe.
     """
-    panes = pane_counts(retweet_filter(statuses), slide)
+    panes = pane_counts(retweet_filter(statuses), window, slide)
     totals = language_totals(add_growth(build_windows(panes, window, slide), mode))
     order = W.partitionBy("window_end").orderBy(F.desc("total_lang_count"), "language_code")
     return with_language_name(totals, "language_code").select(

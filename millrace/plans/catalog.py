@@ -18,6 +18,7 @@ from millrace.plans.tables import DELAY, SLIDE, WINDOW
 from millrace.sinks import files as sinks
 from millrace.sources import fastq, filmography, genome, retweet_log
 from millrace.sources import pageviews as pageview_source
+from millrace.sources.lines import numbered_lines
 from millrace.sources.statuses import stream_source as open_stream
 from millrace.streaming import trends as stream
 
@@ -256,11 +257,23 @@ def q_interval_intersect(spark, sf_dir):
     return intervals.interval_intersect(t.targets(spark, sf_dir), covered, base_bits=7)
 
 
+def _file_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of the part files in name order, numbered from 0."""
+    return numbered_lines(spark, path, per_file=False).select("line_no", "value")
+
+
 @query
 def q_bed_sink(spark, sf_dir):
     path = shared_path(spark, "bed")
     sinks.write_bed(_covered(spark, sf_dir), path)
-    return spark.read.text(path)
+    return _file_lines(spark, path)
+
+
+@query
+def q_region_file(spark, sf_dir):
+    path = shared_path(spark, "regions")
+    sinks.write_regions(_covered(spark, sf_dir), path)
+    return _file_lines(spark, path)
 
 
 @query
@@ -273,8 +286,9 @@ def q_region_strings(spark, sf_dir):
 
 @query
 def q_scan_input_files(spark, sf_dir):
-    lines = genome.scan_input_files(spark, t.read_files(spark, sf_dir))
-    return lines.agg(F.count("*").alias("lines"), F.min(F.length("file") > 0).alias("all_named"))
+    lines = genome.scan_input_files(spark, t.list_files(spark, sf_dir))
+    name = F.regexp_extract("file", r"/(list=\d+)/[^/]+$", 1)  # the part files' own names differ between runs
+    return lines.groupBy(name.alias("folder")).agg(F.count("*").alias("lines"))
 
 
 @query

@@ -168,8 +168,7 @@ PEOPLE = """people AS (
   FROM customer)"""
 EDGES = """edges AS (
   SELECT DISTINCT o_custkey AS actor_id, l_partkey || '@' || strftime(l_shipdate, '%Y-%m') AS movie
-  FROM orders JOIN lineitem ON l_orderkey = o_orderkey
-  WHERE o_orderdate >= TIMESTAMP '1998-01-01')"""
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey)"""
 
 ORACLE_SQL["actor_ids"] = f"""
 WITH {PEOPLE}, numbered AS (
@@ -302,7 +301,12 @@ WITH {TARGETS}, {_islands(5)}
 SELECT t.chrom, greatest(t.lo, i.lo - 1) AS start, least(t.lo + t.len, i.hi) AS "end", t.extra
 FROM targets t JOIN islands i ON i.chrom = t.chrom AND t.lo < i.hi AND i.lo - 1 < t.lo + t.len"""
 ORACLE_SQL["bed_sink"] = f"""
-WITH {_islands(5)} SELECT chrom || chr(9) || (lo - 1) || chr(9) || hi AS value FROM islands"""
+WITH {_islands(5)}
+SELECT row_number() OVER (ORDER BY chrom, lo, hi) - 1 AS line_no,
+       chrom || chr(9) || (lo - 1) || chr(9) || hi AS value FROM islands"""
+ORACLE_SQL["region_file"] = f"""
+WITH {_islands(5)}
+SELECT row_number() OVER (ORDER BY chrom, lo, hi) - 1 AS line_no, chrom || ':' || lo || '-' || hi AS value FROM islands"""
 ORACLE_SQL["region_strings"] = f"WITH {_islands(5)} SELECT chrom || ':' || lo || '-' || hi AS region FROM islands"
 
 # Reads --------------------------------------------------------------------
@@ -345,7 +349,11 @@ mapped AS (SELECT * FROM reads WHERE flag <> 4 AND ref_index BETWEEN 1 AND 24)""
 
 READ_COLUMNS = "qname, flag, rname, ref_index, pos, mapq, cigar, rnext, pnext, tlen, seq, qual"
 
-ORACLE_SQL["scan_input_files"] = "SELECT count(*) + 1 AS lines, TRUE AS all_named FROM lineitem"
+ORACLE_SQL["scan_input_files"] = f"""
+SELECT 'list=' || o_orderkey // {LIST_SIZE} AS folder,
+       count(*) + 4 * count(*) FILTER (WHERE o_orderkey % {LIST_SIZE} = 0)
+                + 2 * count(*) FILTER (WHERE o_orderkey % {LIST_SIZE} = {LIST_SIZE} - 1) AS lines
+FROM orders GROUP BY o_orderkey // {LIST_SIZE}"""
 ORACLE_SQL["scan_reads"] = f"WITH {READS} SELECT {READ_COLUMNS} FROM reads"
 ORACLE_SQL["scan_seq_dict"] = f"WITH {SEQS} SELECT ref_index, name, length FROM seqs"
 ORACLE_SQL["mapped_reads"] = f"WITH {READS} SELECT {READ_COLUMNS} FROM mapped"
@@ -398,7 +406,7 @@ keyed AS (
 marked AS (
   SELECT *, row_number() OVER (PARTITION BY ref_index, flag = 16, five, rnext, pnext
                                ORDER BY score DESC, qname, flag, rname, pos, mapq, cigar, tlen, seq, qual) > 1
-              AS is_duplicate
+              AND five IS NOT NULL AS is_duplicate
   FROM keyed)"""
 ORACLE_SQL["mark_duplicates"] = f"""
 WITH {MARKED}

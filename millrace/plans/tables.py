@@ -11,27 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.cluster import shared_path
+from millrace.cluster import rendered as written
+from millrace.sources.retweet_log import LOG_HEADER
 
 WINDOW, SLIDE, DELAY = "12 hours", "1 hour", "1 hour"
 LIST_SIZE = 3000
 
-_written: dict[tuple[str, str, str], str] = {}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _written:
-        path = shared_path(spark, name)
-        write(path)
-        _written[key] = path
-    return _written[key]
-
-
 def write_lines(lines: DataFrame) -> Callable[[str], None]:
     return lambda path: lines.write.text(path)
 
@@ -102,7 +92,7 @@ def retweet_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     line = F.when(kind == 2, head).otherwise(F.concat(head, F.lit(","), text))
     rows = table(spark, sf_dir, "events").select(line.alias("value"))
-    header = one_line(spark, "Seconds,Language,Language-code,TotalLangCount,ID,MaxCount,MinCount,Count,Text")
+    header = one_line(spark, LOG_HEADER)
     return header.unionAll(rows)
 
 
@@ -173,8 +163,8 @@ def list_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def movie_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers who ordered the same part in the same ship month, orders from 1998 on."""
-    orders = table(spark, sf_dir, "orders").where("o_orderdate >= timestamp_ntz '1998-01-01'")
+    """Customers who ordered the same part in the same ship month."""
+    orders = table(spark, sf_dir, "orders")
     lines = table(spark, sf_dir, "lineitem")
     movie = F.concat("l_partkey", F.lit("@"), F.date_format("l_shipdate", "yyyy-MM"))
     return (

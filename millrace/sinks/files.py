@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.cluster import checkpointed
 from millrace.operators.intervals import bed_lines, region_strings
 from millrace.operators.pageviews import language_pageviews, report_line
 from millrace.operators.reads import coordinate_sort
@@ -27,12 +28,20 @@ def write_pageview_report(views: DataFrame, path: str) -> None:
     lines.orderBy(*order).select("value").write.mode("overwrite").text(path)
 
 
+def in_coordinate_order(intervals: DataFrame) -> DataFrame:
+    """By sequence, start and end, over range partitions; written first, as a range layout reads its input twice."""
+    order = ["chrom", "start", "end"]
+    return checkpointed(intervals).repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def write_bed(intervals: DataFrame, path: str, end_offset: int = 0) -> None:
-    bed_lines(intervals, end_offset).write.mode("overwrite").text(path)
+    """Lines in coordinate order, over the part files in name order."""
+    bed_lines(in_coordinate_order(intervals), end_offset).write.mode("overwrite").text(path)
 
 
 def write_regions(intervals: DataFrame, path: str) -> None:
-    region_strings(intervals).write.mode("overwrite").text(path)
+    """Lines in coordinate order, over the part files in name order."""
+    region_strings(in_coordinate_order(intervals)).write.mode("overwrite").text(path)
 
 
 def write_reads(reads: DataFrame, path: str) -> None:

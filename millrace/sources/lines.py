@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from millrace.cluster import small_side
 
-# More splits than this and the offsets are joined by shuffle instead.
-MAX_BROADCAST_SPLITS = 200_000
+# More splits than this and the offsets are joined by shuffle instead; each has some tens of bytes.
+MAX_BROADCAST_SPLITS = 1_000_000
 
 
 def numbered_lines(

@@ -77,3 +77,9 @@ def test_user_function_sees_batches(spark):
     reads = spark.createDataFrame([(1, 5, 9), (1, 6, 7), (2, 1, 1)], "ref_index int, pos int, `end` int")
     got = balance.grouped_region_apply(reads, count, "ref_index int, n bigint", tile_width=100)
     assert {tuple(r) for r in got.collect()} == {(1, 2), (2, 1)}
+
+
+def test_many_regions(spark):
+    rng = random.Random(3)
+    weights = {k: rng.randrange(1, 1000) for k in range(50_000)}
+    assert {r.key: r.task for r in assign(spark, weights, 64).collect()} == brute(weights, 64)

@@ -105,3 +105,32 @@ def test_report(spark, tmp_path):
 def test_explode_drops_repeats(spark):
     people = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["a"])], "actor_id bigint, movies array<string>")
     assert graph.movie_edges(people).where(F.col("movie") == "a").count() == 2
+
+
+def test_hot_movie_is_split(spark):
+    # Half of the edges in one movie; without broadcasts, AQE must cut the join of that movie.
+    pairs = [(i, "hot") for i in range(20_000)] + [(i, f"m{i % 5000}") for i in range(20_000)]
+    keys = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in keys}
+    from millrace import cluster
+
+    limit, cluster.BROADCAST_ROWS = cluster.BROADCAST_ROWS, -1
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        edges = cluster.checkpointed(spark.createDataFrame(pairs, "actor_id bigint, movie string").repartition(8))
+        sizes = graph.adjacency_sizes(edges)
+        assert sizes.count() == 20_000
+        sizes.collect()
+        assert "skew=true" in sizes._jdf.queryExecution().executedPlan().toString()
+    finally:
+        cluster.BROADCAST_ROWS = limit
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

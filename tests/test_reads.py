@@ -65,10 +65,15 @@ def test_duplicates_match_brute_force(spark):
         best = min(group, key=lambda x: (-score(x), x[0], repr(x[1:])))
         want += [(best[0], best[3], False)] + [(x[0], x[3], True) for x in group]
         want.remove((best[0], best[3], True))
-    for pieces in (1, 3, 1024):
-        marked = ops.mark_duplicates(frame(spark, items).repartition(6), pieces)
-        got = [(r.qname, r.ref_index, r.is_duplicate) for r in marked.collect()]
-        assert sorted(got) == sorted(want)
+    marked = ops.mark_duplicates(frame(spark, items).repartition(6))
+    got = [(r.qname, r.ref_index, r.is_duplicate) for r in marked.collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_reads_without_position_are_no_duplicates(spark):
+    items = [read("a", pos=None), read("b", pos=None), read("c"), read("d")]
+    marked = ops.mark_duplicates(frame(spark, items)).collect()
+    assert {r.qname: r.is_duplicate for r in marked} == {"a": False, "b": False, "c": False, "d": True}
 
 
 def test_metrics(spark):

@@ -64,13 +64,21 @@ def test_windows_match_brute_force(spark):
     assert got == brute_windows(items, 60, 5)
 
 
-def test_panes_change_nothing(spark):
+@pytest.mark.parametrize("window, slide", [("60 seconds", "5 seconds"), ("10 seconds", "4 seconds"), ("60 seconds", "7 seconds")])
+def test_panes_change_nothing(spark, window, slide):
     seen = trends.retweet_filter(statuses(spark, random_items(2)))
-    direct = trends.build_windows(seen, "60 seconds", "5 seconds")
-    paned = trends.build_windows(trends.pane_counts(seen, "5 seconds"), "60 seconds", "5 seconds")
+    direct = trends.build_windows(seen, window, slide)
+    paned = trends.build_windows(trends.pane_counts(seen, window, slide), window, slide)
     assert direct.exceptAll(paned).count() == 0 and paned.exceptAll(direct).count() == 0
 
 
+def test_slide_that_does_not_divide_the_window(spark):
+    # One sighting a second with a rising count, windows of 10 seconds every 4.
+    items = [(s, True, 1, s, "en", "t") for s in range(20)]
+    got = {at(r.window_end): r.max_count for r in trends.retweet_windows(statuses(spark, items), "10 seconds", "4 seconds").collect()}
+    assert got == {end: min(end - 1, 19) for end in range(2, 29, 4)}
+
+
 def test_true_maximum_whatever_the_order(spark):
     # Partial results (10, 5) and (20, 12) give 20, not 12.
     items = [(1, True, 7, 5, "en", "t"), (1.5, True, 7, 10, "en", "t"), (6, True, 7, 20, "en", "t"), (7, True, 7, 12, "en", "t")]

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from millrace.cluster import checkpointed
 
 
+def compact(df: DataFrame, rows: int, per_task: int = 100_000) -> DataFrame:
+    """Written table of a result that has about ``rows`` rows: tasks by rows, where there are more partitions than that."""
+    return checkpointed(df.coalesce(max(1, -(-rows // per_task))))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``edges(a, b)``: the smallest node it reaches.
 
@@ -15,8 +20,9 @@ def components(edges: DataFrame) -> DataFrame:
     once more, so chains shrink geometrically. Rounds end when no label changes. The minimum is
     combined before each shuffle, so a node with very many edges is no hot key. Runs jobs.
     """
-    both = checkpointed(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).where("a <> b").distinct())
-    labels = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")))
+    size = 2 * edges.count()
+    both = compact(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).where("a <> b").distinct(), size)
+    labels = compact(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), size)
     while True:
         seen = (
             both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
@@ -25,10 +31,11 @@ def components(edges: DataFrame) -> DataFrame:
             "node", F.col("label").alias("old"), F.least("label", "near").alias("new")
         )
         jump = labels.select(F.col("node").alias("new"), F.col("label").alias("beyond"))
-        moved = checkpointed(
+        moved = compact(
             hooked.join(jump, "new", "left").select(
                 "node", F.least("new", F.coalesce("beyond", "new")).alias("label"), "old"
-            )
+            ),
+            size,
         )
         labels = moved.select("node", "label")
         if not moved.where("label <> old").take(1):

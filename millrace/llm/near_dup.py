@@ -24,13 +24,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.cluster import checkpointed
-from millrace.llm.graph import components
+from millrace.llm.graph import compact, components
 from millrace.llm.words import SPACED, find_words, grams, mix, signed, slices, text_buffers
 
 BANDS = 40  # a pair at similarity 0.8 shares no band in 5 of 10^6 cases; at 0.9 in one of 10^14
 ROWS = 6
 SKETCH_BITS = 512
-ROUNDS = 3  # turns in which members outside a bucket's largest component meet further centres of it
+PAIRS_PER_TASK = 4_000  # pairs of full sets that a task compares
+ROUNDS = 2  # turns in which members outside a bucket's largest component meet further centres of it
 CENTRES = (0, 0x5555555555555555, 0x3333333333333333, 0x0F0F0F0F0F0F0F0F)
 
 _U = np.uint64
@@ -198,30 +199,38 @@ def near_duplicates(
     signed_rows = checkpointed(signatures(docs, size, bands, rows))
     known = signed_rows.where("doc_id IS NOT NULL AND n_shingles > 0")
     digest = ["n_shingles", "d1", "d2"]
-    classes = checkpointed(known.groupBy(*digest).agg(F.min("doc_id").alias("rep")))
+    size_of = signed_rows.count()
+    classes = compact(known.groupBy(*digest).agg(F.min("doc_id").alias("rep")), size_of)
     # One row per class and band; repeated rows of a document do not count twice.
-    heads = checkpointed(
+    heads = compact(
         known.join(classes.withColumnRenamed("rep", "doc_id"), [*digest, "doc_id"], "left_semi").dropDuplicates(
             [*digest, "doc_id"]
-        )
+        ),
+        size_of,
+        5_000,
     )
     keyed = heads.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
     firsts = [_pick("id", m).alias(f"c{i}") for i, m in enumerate(CENTRES)]
     buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), *firsts).where("n > 1")
-    shared = checkpointed(keyed.join(buckets, "key"))
+    shared = compact(keyed.join(buckets, "key"), size_of * bands, 200_000)
     flips = max_flips(percent / 100, bands, rows)
     look = heads.select(F.col("doc_id").alias("id"), "n_shingles", *_SKETCH)
 
-    candidates = checkpointed(shared.select("id").distinct())
+    candidates = compact(shared.select("id").distinct(), size_of)
+    n_shared = shared.count()
     texts = docs.where("doc_id IS NOT NULL").join(candidates.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-    sets = checkpointed(texts.mapInArrow(_set_batches(size), "doc_id long, shingles binary").join(
+    with_heads = texts.mapInArrow(_set_batches(size), "doc_id long, shingles binary").join(
         look.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"
-    ))
+    )
+    sets = compact(with_heads, size_of, 2_000)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
+        pairs = compact(pairs, n_shared)
+        tasks = max(1, -(-pairs.count() // PAIRS_PER_TASK))
         x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
         y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-        return pairs.join(x, "a").join(y, "b").mapInArrow(_confirm_batches(percent), "a long, b long")
+        both = pairs.join(x, "a").join(y, "b").coalesce(tasks)
+        return checkpointed(both.mapInArrow(_confirm_batches(percent), "a long, b long"))
 
     def with_centres(rows_of: DataFrame, masks: Sequence[int]) -> DataFrame:
         """Pairs of a row and, for each mask, one centre of all its buckets."""
@@ -243,7 +252,7 @@ def near_duplicates(
             .select("a", "b")
         )
 
-    links = checkpointed(confirmed(alike_pairs(with_centres(shared, CENTRES))))
+    links = confirmed(alike_pairs(with_centres(shared, CENTRES)))
     found = components(links)
 
     def labelled(rows_of: DataFrame) -> DataFrame:
@@ -253,11 +262,11 @@ def near_duplicates(
 
     def open_buckets() -> tuple[DataFrame, DataFrame]:
         """Rows of the buckets that hold several components; those outside the bucket's largest component."""
-        placed = checkpointed(labelled(shared.select("key", "id")))
+        placed = compact(labelled(shared.select("key", "id")), n_shared)
         parts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
         mains = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max("n").alias("most")).where("parts > 1")
         main = parts.join(mains, "key").where("n = most").groupBy("key").agg(F.min("component").alias("main"))
-        rows_of = checkpointed(placed.join(main, "key").join(look, "id"))
+        rows_of = compact(placed.join(main, "key").join(look, "id"), n_shared, 20_000)
         return rows_of, rows_of.where("component <> main")
 
     for turn in range(ROUNDS):
@@ -267,10 +276,10 @@ def near_duplicates(
             *(_pick("id", m).alias(f"c{i}") for i, m in enumerate(masks))
         )
         near = with_centres(outside.select("key", "id").join(chosen, "key"), masks)
-        more = checkpointed(confirmed(alike_pairs(near)))
+        more = confirmed(alike_pairs(near))
         if not more.take(1):
             break
-        links = checkpointed(links.union(more).distinct())
+        links = links.union(more)
         found = components(links)
     rows_of, outside = open_buckets()
     rest = (
@@ -284,14 +293,14 @@ def near_duplicates(
         .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
         .distinct()
     )
-    more = checkpointed(confirmed(rest))
+    more = confirmed(rest)
     if more.take(1):
         found = components(links.union(more))
     members = labelled(classes.select(F.col("rep").alias("id"), *digest)).select(*digest, "component")
     # Rows of one doc_id are one node, whatever their sets.
     named = known.select("doc_id", *digest).join(members, digest)
     split = named.groupBy("doc_id").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
-    by_id = checkpointed(named.groupBy("doc_id").agg(F.min("component").alias("component_id")))
+    by_id = compact(named.groupBy("doc_id").agg(F.min("component").alias("component_id")), size_of)
     if split.take(1):
         joined = components(named.select(F.col("doc_id").alias("a"), F.col("component").alias("b")))
         by_id = joined.select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))

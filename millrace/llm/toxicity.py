@@ -105,6 +105,7 @@ class Index:
         new = np.ones(len(term), bool)
         new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
         self.begin = np.append(np.flatnonzero(new), len(term))  # postings of each (term, block)
+        self.many = np.diff(self.begin)
         self.block = block[new]
         self.top = np.maximum.reduceat(self.weight, self.begin[:-1]) if len(term) else np.zeros(0)
         self.of_term = np.searchsorted(term[new], np.arange(len(vocabulary) + 1))
@@ -122,7 +123,10 @@ class Index:
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         found, cosine = np.zeros(0, np.int64), np.zeros(0)
-        step = 4
+        # All (term, block) lists of the query, and the weight of their term in it.
+        lists = np.concatenate([np.arange(a, b) for a, b in spans]) if len(spans) else np.zeros(0, np.int64)
+        factor = np.repeat(weight, [b - a for a, b in spans])
+        step = 16
         while len(order):
             if len(found) >= self.k and bound[order[0]] < cosine[-1] - 1e-9:
                 break
@@ -130,11 +134,11 @@ class Index:
             step *= 2
             slot = np.full(self.blocks, -1)
             slot[opened] = np.arange(len(opened))
-            score = np.zeros(len(opened) * BLOCK)
-            for (a, b), w in zip(spans, weight, strict=True):
-                for own in np.flatnonzero(slot[self.block[a:b]] >= 0) + a:
-                    p, q = self.begin[own], self.begin[own + 1]
-                    score[slot[self.block[own]] * BLOCK + self.row[p:q] % BLOCK] += w * self.weight[p:q]
+            own = slot[self.block[lists]] >= 0
+            begin, many = self.begin[lists[own]], self.many[lists[own]]
+            posting = np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            cell = slot[self.row[posting] // BLOCK] * BLOCK + self.row[posting] % BLOCK
+            score = np.bincount(cell, weights=np.repeat(factor[own], many) * self.weight[posting], minlength=len(opened) * BLOCK)
             hit = np.flatnonzero(score)
             row = opened[hit // BLOCK] * BLOCK + hit % BLOCK
             keep = row != without

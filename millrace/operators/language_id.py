@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
+import heapq
+from collections import Counter, defaultdict
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.cluster import broadcast_if_small, checkpointed
-from millrace.functions.text import clean_text
+from millrace.functions.text import clean_text, one_line, script_fix
 
 PROFILE_SIZE = 300
 
 
+def framed_letters(cleaned: Column) -> Column:
+    """Letters of a text, words parted and framed by one blank."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(cleaned), r"[^\p{L}]+", " ")), F.lit(" "))
+
+
 def trigrams(text: Column) -> Column:
-    """Overlapping trigrams of the letters of the cleaned text, words parted and framed by one blank.
+    """Overlapping trigrams of ``framed_letters`` of the cleaned text.
 
     One regex pass with a lookahead, so time is linear in the text's length.
     """
-    framed = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(clean_text(text)), r"[^\p{L}]+", " ")), F.lit(" "))
-    return F.regexp_extract_all(framed, F.lit("(?=(...))"), 1)
+    return F.regexp_extract_all(framed_letters(clean_text(text)), F.lit("(?=(...))"), 1)
 
 
 def language_profiles(samples: DataFrame, size: int = PROFILE_SIZE) -> DataFrame:
@@ -36,44 +43,51 @@ def language_profiles(samples: DataFrame, size: int = PROFILE_SIZE) -> DataFrame
     return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size).drop("n")
 
 
-def identify_language(texts: DataFrame, profiles: DataFrame, size: int = PROFILE_SIZE) -> DataFrame:
-    """``doc_id, text`` → ``doc_id, language, distance``.
+def language_of(cleaned: Column, profiles: DataFrame, size: int = PROFILE_SIZE) -> Column:
+    """``struct(language, distance)`` of a cleaned text, in batch and in streams.
 
     Distance = sum over the text's ranked trigrams of the rank difference, or
     ``size`` where the language lacks the trigram; smallest distance wins, then
-    the smaller code. Whole texts are partitioned by id once; counting, ranking,
-    matching and choosing then need no further shuffle, and trigrams, being far
-    bulkier than the text, never travel.
+    the smaller code. A text's trigrams are counted and ranked inside its row, so
+    nothing is shuffled. The profiles, ``size`` rows for each language, are read once (a job) and
+    sent along with the function.
     """
-    profiles = checkpointed(profiles)
-    known = broadcast_if_small(profiles.select("lang", "trigram", F.col("rank").alias("known_rank")))
-    first_code = profiles.agg(F.min("lang").alias("lang")).scalar()
-    counted = (
-        texts.select("doc_id", "text")
-        .repartition("doc_id")
-        .select("doc_id", F.explode_outer(trigrams(F.col("text"))).alias("trigram"))
-        .groupBy("doc_id", "trigram")
-        .agg(F.count("*").alias("n"))
-    )
-    order = W.partitionBy("doc_id").orderBy(F.desc("n"), "trigram")
-    ranked = counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
-    # Start from "all missing" and take back what matches. A row without language
-    # stands for every language that shares no trigram with the text.
-    gains = (
-        ranked.join(known, "trigram", "left")
-        .groupBy("doc_id", "lang")
-        .agg(
-            F.max(F.when(F.col("trigram").isNotNull(), F.col("rank"))).alias("grams"),
-            F.sum(F.abs(F.col("rank") - F.col("known_rank")) - size).alias("gain"),
-        )
-        .select("doc_id", "grams", F.coalesce("gain", F.lit(0)).alias("gain"), F.coalesce("lang", first_code).alias("code"))
-    )
-    return (
-        gains.groupBy("doc_id")
-        .agg(F.min(F.struct("gain", "code")).alias("best"), F.coalesce(F.max("grams"), F.lit(0)).alias("grams"))
-        .select(
-            "doc_id",
-            F.col("best.code").alias("language"),
-            (F.col("grams") * size + F.col("best.gain")).alias("distance"),
+    known: dict[str, list[tuple[str, int]]] = defaultdict(list)
+    codes = set()
+    for lang, trigram, rank in profiles.select("lang", "trigram", "rank").where("lang IS NOT NULL").collect():
+        known[trigram].append((lang, rank))
+        codes.add(lang)
+    known, first = dict(known), min(codes, default=None)
+
+    def distance(framed: str | None) -> tuple[str | None, int]:
+        text = framed or ""
+        counts = Counter(text[i : i + 3] for i in range(len(text) - 2))
+        ranked = heapq.nsmallest(size, counts.items(), key=lambda x: (-x[1], x[0]))
+        gains: dict[str, int] = {}  # from "all missing"
+        for rank, (trigram, _) in enumerate(ranked, 1):
+            for lang, its_rank in known.get(trigram, ()):
+                gains[lang] = gains.get(lang, 0) + abs(rank - its_rank) - size
+        gain, lang = min(((g, code) for code, g in gains.items()), default=(0, first))
+        return lang, len(ranked) * size + gain
+
+    @F.pandas_udf("struct<language:string,distance:bigint>")
+    def identify(framed: pd.Series) -> pd.DataFrame:
+        found = [distance(f if isinstance(f, str) else None) for f in framed]
+        return pd.DataFrame(
+            {"language": pd.Series([f[0] for f in found], dtype=object), "distance": pd.Series([f[1] for f in found], dtype="int64")}
         )
-    )
+
+    return identify(framed_letters(cleaned))
+
+
+def identify_language(texts: DataFrame, profiles: DataFrame, size: int = PROFILE_SIZE) -> DataFrame:
+    """``doc_id, text`` → ``doc_id, language, distance``."""
+    found = texts.select("doc_id", language_of(clean_text(F.col("text")), profiles, size).alias("found"))
+    return found.select("doc_id", "found.language", "found.distance")
+
+
+def detect_language(posts: DataFrame, profiles: DataFrame, size: int = PROFILE_SIZE) -> DataFrame:
+    """Posts with ``text`` cleaned and ``lang`` told from it, mended by script; for the trend job, batch or stream."""
+    cleaned = posts.withColumn("text", one_line(clean_text(F.col("text"))))
+    code = language_of(F.col("text"), profiles, size)["language"]
+    return cleaned.withColumn("lang", script_fix(code, F.col("text")))

@@ -444,6 +444,25 @@ def q_language_id(spark, sf_dir):
     return language_id.identify_language(docs, language_id.language_profiles(docs))
 
 
+def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_profiles(t.table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+@query
+def q_language_detect(spark, sf_dir):
+    """Clean-up, identification and script rule in a row, on posts."""
+    found = language_id.detect_language(t.posts(spark, sf_dir), _profiles(spark, sf_dir))
+    return found.select("doc_id", "lang", F.length("text").cast("bigint").alias("letters"))
+
+
+@query
+def q_retweet_window_detected(spark, sf_dir):
+    """The trend job on posts whose language is told from their text; the slide does not divide the window."""
+    posts = language_id.detect_language(t.timed_posts(spark, sf_dir), _profiles(spark, sf_dir))
+    rows = trends.retweet_windows(posts, "10 hours", "4 hours")
+    return rows.drop("text").withColumns({c: F.col(c).cast("string") for c in ("window_start", "window_end")})
+
+
 @query
 def q_fastq_interleave_chunks(spark, sf_dir):
     sides = [fastq.scan_fastq(spark, t.mate_files(spark, sf_dir, mate)) for mate in (0, 1)]

@@ -505,30 +505,66 @@ SELECT doc_id, code,
             WHEN code = 'lt' AND regexp_matches(text, '\\p{Hangul}') THEN 'ko' ELSE code END AS fixed
 FROM coded""".replace("\\\\", "\\")
 
-ORACLE_SQL["language_id"] = rf"""
-WITH framed AS (
-  SELECT doc_id, lang,
-         ' ' || trim(regexp_replace(lower({CLEAN.format(text='text')}), '[^\p{{L}}]+', ' ', 'g')) || ' ' AS s
-  FROM documents),
-grams AS (
-  SELECT doc_id, lang, unnest(list_transform(range(1, length(s) - 1), lambda i: substring(s, i, 3))) AS gram
-  FROM framed),
+GRAMS = "unnest(list_transform(range(1, length(s) - 1), lambda i: substring(s, i, 3))) AS gram"
+
+
+def _framed(text: str) -> str:
+    return rf"' ' || trim(regexp_replace(lower({text}), '[^\p{{L}}]+', ' ', 'g')) || ' ' AS s"
+
+
+def _identified(texts: str) -> str:
+    """Queries up to ``identified(doc_id, language, distance)`` of a query ``doc_id, s``."""
+    return f"""samples AS (SELECT lang, {_framed(CLEAN.format(text='text'))} FROM documents),
 profiles AS (
   SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, gram) AS known
-  FROM grams GROUP BY lang, gram QUALIFY known <= 300),
+  FROM (SELECT lang, {GRAMS} FROM samples) GROUP BY lang, gram QUALIFY known <= 300),
+framed AS ({texts}),
 ranked AS (
   SELECT doc_id, gram, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, gram) AS rank
-  FROM grams GROUP BY doc_id, gram QUALIFY rank <= 300),
+  FROM (SELECT doc_id, {GRAMS} FROM framed) GROUP BY doc_id, gram QUALIFY rank <= 300),
 langs AS (SELECT DISTINCT lang FROM profiles),
 distances AS (
   SELECT r.doc_id, l.lang, sum(coalesce(abs(r.rank - p.known), 300)) AS distance
   FROM ranked r CROSS JOIN langs l LEFT JOIN profiles p ON p.lang = l.lang AND p.gram = r.gram
-  GROUP BY r.doc_id, l.lang)
-SELECT doc_id, arg_min(lang, (distance, lang)) AS language, CAST(min(distance) AS BIGINT) AS distance
-FROM (SELECT doc_id, lang, distance FROM distances
-      UNION ALL
-      SELECT doc_id, (SELECT min(lang) FROM langs), 0 FROM framed WHERE length(s) < 3)
-GROUP BY doc_id"""
+  GROUP BY r.doc_id, l.lang),
+identified AS (
+  SELECT doc_id, arg_min(lang, (distance, lang)) AS language, CAST(min(distance) AS BIGINT) AS distance
+  FROM (SELECT doc_id, lang, distance FROM distances
+        UNION ALL
+        SELECT doc_id, (SELECT min(lang) FROM langs), 0 FROM framed WHERE length(s) < 3)
+  GROUP BY doc_id)"""
+
+
+ORACLE_SQL["language_id"] = f"""
+WITH {_identified(f"SELECT doc_id, {_framed(CLEAN.format(text='text'))} FROM documents")}
+SELECT doc_id, language, distance FROM identified"""
+
+POSTS = rf"""post AS (
+  SELECT doc_id, regexp_replace({CLEAN.format(text=POST)}, '[\r\n]', ' ', 'g') AS cleaned FROM documents)"""
+ORACLE_SQL["language_detect"] = f"""
+WITH {POSTS}, {_identified(f"SELECT doc_id, {_framed('cleaned')} FROM post")}
+SELECT doc_id, language AS lang, length(cleaned) AS letters FROM identified JOIN post USING (doc_id)"""
+
+TIMED = rf"""post AS (
+  SELECT doc_id, regexp_replace({CLEAN.format(text='text')}, '[\r\n]', ' ', 'g') AS cleaned FROM documents)"""
+ORACLE_SQL["retweet_window_detected"] = f"""
+WITH {NAMES}, {TIMED}, {_identified(f"SELECT doc_id, {_framed('cleaned')} FROM post")},
+seen AS (
+  SELECT doc_id, doc_id * 10 AS minute, doc_id % 40 AS id, CAST(n_chars AS INTEGER) AS n, language AS lang
+  FROM documents JOIN identified USING (doc_id) WHERE doc_id % 7 <> 0),
+opened AS (
+  SELECT begin, minute, id, n, lang
+  FROM (SELECT *, unnest(range(-2, 1)) * 240 + minute // 240 * 240 AS begin FROM seen)
+  WHERE begin <= minute AND minute < begin + 600),
+counted AS (
+  SELECT begin, id, max(n) AS max_count, min(n) AS min_count, arg_min(lang, minute) AS language_code,
+         CASE WHEN max(n) = min(n) THEN 1 ELSE max(n) - min(n) END AS count
+  FROM opened GROUP BY begin, id),
+totals AS (SELECT begin, language_code, CAST(sum(count) AS BIGINT) AS total_lang_count FROM counted GROUP BY ALL)
+SELECT CAST(TIMESTAMP '2024-01-01' + to_minutes(begin) AS VARCHAR) AS window_start,
+       CAST(TIMESTAMP '2024-01-01' + to_minutes(begin + 600) AS VARCHAR) AS window_end,
+       coalesce(iso_name, lower(language_code)) AS language, language_code, total_lang_count, id, max_count, min_count, count
+FROM counted JOIN totals USING (begin, language_code) LEFT JOIN names ON iso_code = lower(language_code)"""
 
 ORACLE_SQL["fastq_interleave_chunks"] = r"""
 WITH turns AS (

@@ -360,6 +360,18 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
 
 
+def timed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as posts of 40 ids, one every ten minutes; the language is not given."""
+    ts = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("doc_id") * 10)
+    return table(spark, sf_dir, "documents").select(
+        ts.alias("ts"),
+        (F.col("doc_id") % 7 != 0).alias("is_retweet"),
+        (F.col("doc_id") % 40).alias("id"),
+        F.col("n_chars").cast("int").alias("retweet_count"),
+        "text",
+    )
+
+
 def script_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with Hiragana, Hangul, both or neither added; a third are called Lithuanian."""
     extra = (

@@ -1,7 +1,7 @@
 import re
 from collections import Counter
 
-from millrace.operators.language_id import identify_language, language_profiles
+from millrace.operators.language_id import detect_language, identify_language, language_profiles
 from millrace.operators.mates import interleave_chunks, unpaired_records
 from millrace.sinks.files import write_chunks
 from millrace.sources.fastq import scan_fastq
@@ -34,6 +34,19 @@ def test_language_matches_brute_force(spark):
     assert got == want
 
 
+def test_detection_in_batch_and_stream(spark, tmp_path):
+    known = language_profiles(spark.createDataFrame(SAMPLES, "lang string, text string"))
+    texts = ["RT @bob: the house and\nthe hat https://x.y/z", "die katze und der hund", "la maison et le chat", None, "RT RT"]
+    posts = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    batch = {r.id: (r.lang, r.text) for r in detect_language(posts, known).collect()}
+    assert batch[0] == ("en", ": the house and the hat ") and batch[1][0] == "de" and batch[2][0] == "fr"
+    posts.write.parquet(str(tmp_path / "posts"))
+    stream = detect_language(spark.readStream.schema(posts.schema).parquet(str(tmp_path / "posts")), known)
+    query = stream.writeStream.format("memory").queryName("detected").trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    assert {r.id: (r.lang, r.text) for r in spark.table("detected").collect()} == batch
+
+
 def fastq(tmp_path, name, count, side):
     path = tmp_path / name
     path.write_text("".join(f"@r{i}/{side}\nAC{i}\n+\nII\n" for i in range(count)))

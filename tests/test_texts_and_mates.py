@@ -39,7 +39,7 @@ def test_detection_in_batch_and_stream(spark, tmp_path):
     texts = ["RT @bob: the house and\nthe hat https://x.y/z", "die katze und der hund", "la maison et le chat", None, "RT RT"]
     posts = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
     batch = {r.id: (r.lang, r.text) for r in detect_language(posts, known).collect()}
-    assert batch[0] == ("en", ": the house and the hat ") and batch[1][0] == "de" and batch[2][0] == "fr"
+    assert batch[0] == ("en", " : the house and the hat ") and batch[1][0] == "de" and batch[2][0] == "fr"
     posts.write.parquet(str(tmp_path / "posts"))
     stream = detect_language(spark.readStream.schema(posts.schema).parquet(str(tmp_path / "posts")), known)
     query = stream.writeStream.format("memory").queryName("detected").trigger(availableNow=True).start()

@@ -24,6 +24,7 @@ from millrace.llm.words import ALNUM, SLICE_BYTES, find_words, fingerprints, mix
 MAX_EXAMPLES = 20_000  # labelled rows the classifier is fitted on: those with the smallest hashed ids
 MAX_TERMS = 4_000  # vocabulary: the terms with the largest chi-squared value
 MIN_CHI2 = 20.0
+MIN_SHARE = 0.01  # of the labels' variance that a term must account for: chi-squared over the examples
 PREFIXES = (3, 4, 5, 6)  # bytes
 NEIGHBOURS = 25
 BLOCK = 128  # examples in a block of postings
@@ -223,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES, k: int =
     top = c("n") * (n - c("n")) * float(bad * (n - bad))
     chi2 = float(n) * F.pow(c("bad") * float(n) - c("n") * float(bad), 2) / top
     chosen = (
-        counted.where((c("n") >= 3) & (top > 0)).withColumn("chi2", chi2).where(c("chi2") >= MIN_CHI2)
+        counted.where((c("n") >= 3) & (top > 0)).withColumn("chi2", chi2).where(c("chi2") >= max(MIN_CHI2, MIN_SHARE * n))
         .orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).select("term", "n").collect()
     )
     vocabulary = np.array([r["term"] for r in chosen], np.int64).view(_U)

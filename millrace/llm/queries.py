@@ -129,4 +129,41 @@ SELECT doc.doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word,
 FROM doc LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_warc": OP7_SQL, "op9_license_scans": OP9_SQL}
+OP5_SQL = f"""
+WITH item AS (SELECT coalesce(item_id::VARCHAR, 'null') AS name, {_WORDS.format("text")} AS q FROM benchmark WHERE text IS NOT NULL),
+sized AS (SELECT name, q, least(13, len(q)) AS size FROM item WHERE len(q) > 0),
+win AS (SELECT DISTINCT name, size, array_to_string(q[i:i + size - 1], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, len(q) - size + 2)) AS i FROM sized)),
+doc AS (SELECT doc_id, coalesce({_WORDS.format("text")}, []) AS w FROM documents),
+place AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM doc),
+size AS (SELECT DISTINCT size FROM win),
+gram AS (SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS gram FROM place, size WHERE i + size - 1 <= len(w)),
+hit AS (SELECT doc_id, i, gram.size, name FROM gram JOIN win ON win.gram = gram.gram AND win.size = gram.size),
+word AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS k FROM hit) GROUP BY doc_id),
+found AS (SELECT doc_id, list_sort(list(DISTINCT name)) AS names FROM hit GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(names), 0) AS n_items,
+  sha256(coalesce(array_to_string(names, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+_SPACED = _WORDS.replace(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", r"[^\x20\x09-\x0D]+")
+OP10_SQL = f"""
+WITH RECURSIVE doc AS (SELECT doc_id, coalesce({_SPACED.format("text")}, []) AS w FROM documents),
+gram AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM doc WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM gram GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM gram a JOIN gram b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM pair JOIN size s ON s.doc_id = x JOIN size t ON t.doc_id = y WHERE 100 * shared >= 80 * (s.n + t.n - shared)),
+reach(x, y) AS (SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),
+least_of AS (SELECT x AS doc_id, min(y) AS y FROM reach GROUP BY x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id,
+  doc_id <= coalesce(y, doc_id) AS kept
+FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN least_of USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_benchmark_decontamination": OP5_SQL,
+    "op7_warc": OP7_SQL,
+    "op9_license_scans": OP9_SQL,
+    "op10_minhash_near_dedup": OP10_SQL,
+}

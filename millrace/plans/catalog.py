@@ -19,6 +19,7 @@ from millrace.sinks import files as sinks
 from millrace.sources import fastq, filmography, genome, retweet_log
 from millrace.sources import pageviews as pageview_source
 from millrace.sources.lines import numbered_lines
+from millrace.sources.retweet_log import LOG_HEADER
 from millrace.sources.statuses import stream_source as open_stream
 from millrace.streaming import trends as stream
 
@@ -64,6 +65,15 @@ def q_retweet_log_totals(spark, sf_dir):
     return trends.log_totals(retweet_log.scan_retweet_log(spark, t.retweet_log_files(spark, sf_dir)))
 
 
+@query
+def q_retweet_log_round_trip(spark, sf_dir):
+    """The trend log is written as files, scanned and analysed."""
+    lines = trends.log_lines(trends.log_after_warmup(t.statuses(spark, sf_dir), WINDOW, SLIDE)).select("value")
+    path = shared_path(spark, "trend_log")
+    t.write_lines(t.one_line(spark, LOG_HEADER).unionAll(lines))(path)
+    return trends.log_totals(retweet_log.scan_retweet_log(spark, path))
+
+
 @query
 def q_retweet_filter(spark, sf_dir):
     kept = trends.retweet_filter(t.statuses(spark, sf_dir))
@@ -226,6 +236,13 @@ def q_separation_report(spark, sf_dir):
     return graph.separation_report(distances, t.actors(spark, sf_dir, edges), edges)
 
 
+@query
+def q_separation_file(spark, sf_dir):
+    path = shared_path(spark, "separation_file")
+    sinks.write_separation_report(q_separation_report(spark, sf_dir), path)
+    return _file_lines(spark, path)
+
+
 # Intervals ----------------------------------------------------------------
 
 GAP, PAD, BIN = 5, 5, 1 << 12
@@ -412,6 +429,13 @@ def q_variants_ordered(spark, sf_dir):
     return with_ordinal(kept, ["chrom", "pos", "line"])
 
 
+@query
+def q_variants_file(spark, sf_dir):
+    path = shared_path(spark, "variants_file")
+    sinks.write_variants(_variants(spark, sf_dir), path)
+    return _file_lines(spark, path)
+
+
 @query
 def q_variants_by_region(spark, sf_dir):
     path = shared_path(spark, "variants_by_region")

@@ -114,6 +114,17 @@ LOG_LINE = f"""'(' || date_diff('second', {FIRST_END}, window_end) || '),' || la
 WARM = f"window_end >= {FIRST_END} + INTERVAL 12 HOUR"
 
 ORACLE_SQL["retweet_warmup"] = f"WITH {NAMES}, {WINDOWS} SELECT window_end, {LOG_LINE} FROM windows WHERE {WARM}"
+ORACLE_SQL["retweet_log_round_trip"] = f"""
+WITH {NAMES}, {WINDOWS},
+logged AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY window_end) AS rn FROM windows WHERE {WARM}),
+posts AS (
+  SELECT id, any_value(language_code) FILTER (WHERE rn = 1) AS language_code, any_value(text) FILTER (WHERE rn = 1) AS text,
+         CAST(max(max_count) - min(min_count) AS BIGINT) AS count
+  FROM logged GROUP BY id),
+sums AS (SELECT language_code, CAST(sum(count) AS BIGINT) AS total_lang_count FROM posts GROUP BY 1)
+SELECT coalesce(iso_name, lower(language_code)) AS language, language_code, total_lang_count, id, count, text
+FROM posts JOIN sums USING (language_code) LEFT JOIN names ON iso_code = lower(language_code)
+WHERE count > 1"""
 ORACLE_SQL["stream_source"] = f"""
 SELECT ts, event_type <> 'error' AS is_retweet, user_id AS id, {K} AS retweet_count, event_type AS lang,
        event_type AS text
@@ -255,6 +266,10 @@ SELECT 5, 0, 'List of female actors (actresses) at distance 6:'
 UNION ALL
 SELECT CASE WHEN gender = 'm' THEN 4 ELSE 5 END, number, number || '. ' || name FROM names"""
 
+ORACLE_SQL["separation_file"] = f"""
+SELECT row_number() OVER (ORDER BY section, line_no) - 1 AS line_no, line AS value
+FROM ({ORACLE_SQL["separation_report"]})"""
+
 # Intervals ----------------------------------------------------------------
 
 EXTENTS = """extents AS (
@@ -475,6 +490,10 @@ ORACLE_SQL["variants_ordered"] = f"""
 WITH {VARIANTS}
 SELECT chrom, pos, line, row_number() OVER (ORDER BY chrom, pos, line) - 1 AS ordinal
 FROM variants WHERE chrom BETWEEN 1 AND 24"""
+ORACLE_SQL["variants_file"] = f"""
+WITH {VARIANTS}
+SELECT row_number() OVER (ORDER BY chrom, pos, line) - 1 AS line_no, line AS value
+FROM variants WHERE chrom BETWEEN 1 AND 24"""
 ORACLE_SQL["variants_by_region"] = f"""
 WITH {VARIANTS} SELECT chrom AS region, line FROM variants WHERE chrom BETWEEN 1 AND 24"""
 ORACLE_SQL["vcf_compare"] = """

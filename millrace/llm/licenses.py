@@ -95,11 +95,17 @@ def base_scan(spaced: Column) -> dict[str, Column]:
 def template_sets(spark: SparkSession, templates, percent: int) -> DataFrame:
     """``(template, label, words, size, need)``; a few rows."""
     rows = [
-        (i, label, sorted(words), len(words), need(len(words), percent))
+        F.struct(
+            F.lit(i).alias("template"),
+            F.lit(label).alias("label"),
+            F.array(*(F.lit(w) for w in sorted(words))).alias("words"),
+            F.lit(len(words)).alias("size"),
+            F.lit(need(len(words), percent)).alias("need"),
+        )
         for i, (label, text) in enumerate(templates)
         if (words := set(text.split()))
     ]
-    return spark.createDataFrame(rows, "template int, label string, words array<string>, size int, need int")
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def held_words(text: Column, templates, percent: int) -> Column:

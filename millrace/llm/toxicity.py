@@ -1,10 +1,10 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
+"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over an inverted index.
 
 The labelled examples are a bounded sample. Terms are words and the first bytes of longer words; the
-vocabulary keeps terms whose presence differs between the classes by a chi-squared test. Postings of
-a term are cut into blocks of examples, each with its largest weight. A query adds up, block by
-block, what its terms could give at most, and opens blocks from the best bound down until no bound
-reaches the k-th cosine found, so the neighbours are exact.
+vocabulary keeps terms whose presence differs between the classes by a chi-squared test with a fixed
+bound, and their document frequencies are counted over all documents. A query adds the postings of
+all its terms to one cosine per example, so the neighbours are exact; terms that a good part of
+the examples hold have a whole column each, which is added at once.
 """
 
 from __future__ import annotations
@@ -24,10 +24,9 @@ from millrace.llm.words import ALNUM, SLICE_BYTES, find_words, fingerprints, mix
 MAX_EXAMPLES = 20_000  # labelled rows the classifier is fitted on: those with the smallest hashed ids
 MAX_TERMS = 4_000  # vocabulary: the terms with the largest chi-squared value
 MIN_CHI2 = 20.0
-MIN_SHARE = 0.01  # of the labels' variance that a term must account for: chi-squared over the examples
 PREFIXES = (3, 4, 5, 6)  # bytes
 NEIGHBOURS = 25
-BLOCK = 128  # examples in a block of postings
+COLUMN = 0.25  # share of the examples from which a term is kept as a whole column
 PRIOR = 1.0  # votes of the examples as a whole
 
 _U = np.uint64
@@ -69,6 +68,34 @@ def _presence(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _holders(vocabulary: np.ndarray):
+    """Documents that hold a term of the vocabulary, summed over each run of rows; term -1 counts all rows."""
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            data, offsets = text_buffers(batch.column("text"))
+            for begin, end in slices(offsets):
+                row, number = _numbered(data, offsets[begin : end + 1], vocabulary)
+                held = np.unique(row * len(vocabulary) + number) % max(len(vocabulary), 1)
+                n = np.bincount(held, minlength=len(vocabulary))
+                number = np.append(np.flatnonzero(n), -1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(number), pa.array(np.append(n[n > 0], end - begin))], names=["number", "n"]
+                )
+
+    return batches
+
+
+def _numbered(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and number of every occurrence of a term of the vocabulary."""
+    row, term = terms(data, offsets)
+    if not len(vocabulary):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    number = np.minimum(np.searchsorted(vocabulary, term), len(vocabulary) - 1)
+    known = vocabulary[number] == term
+    return row[known], number[known]
+
+
 @dataclass
 class Vectors:
     """Unit TF-IDF vectors of rows: term numbers and weights, row by row."""
@@ -80,12 +107,10 @@ class Vectors:
 
 def vectors(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray, idf: np.ndarray) -> Vectors:
     n = len(offsets) - 1
-    row, term = terms(data, offsets)
     if not len(vocabulary):
         return Vectors(np.zeros(n + 1, np.int64), np.zeros(0, np.int64), np.zeros(0))
-    number = np.minimum(np.searchsorted(vocabulary, term), len(vocabulary) - 1)
-    known = vocabulary[number] == term
-    cell, times = np.unique(row[known] * len(vocabulary) + number[known], return_counts=True)
+    row, number = _numbered(data, offsets, vocabulary)
+    cell, times = np.unique(row * len(vocabulary) + number, return_counts=True)
     row, term = np.divmod(cell, len(vocabulary))
     weight = (1 + np.log(times)) * idf[term]
     norm = np.sqrt(np.bincount(row, weights=weight**2, minlength=n))
@@ -93,23 +118,20 @@ def vectors(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray, idf:
 
 
 class Index:
-    """Block-max inverted index over the examples' vectors, and the votes of nearest examples."""
+    """Inverted index over the examples' vectors, and the votes of nearest examples."""
 
     def __init__(self, vocabulary: np.ndarray, idf: np.ndarray, examples: Vectors, toxic: np.ndarray, k: int):
         self.vocabulary, self.idf, self.toxic, self.k = vocabulary, idf, toxic.astype(float), k
         n = len(toxic)
-        self.blocks = -(-n // BLOCK)
         row = np.repeat(np.arange(n), np.diff(examples.at))
         by = np.lexsort((row, examples.term))
-        self.row, self.weight, term = row[by], examples.weight[by], examples.term[by]
-        block = self.row // BLOCK
-        new = np.ones(len(term), bool)
-        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
-        self.begin = np.append(np.flatnonzero(new), len(term))  # postings of each (term, block)
-        self.many = np.diff(self.begin)
-        self.block = block[new]
-        self.top = np.maximum.reduceat(self.weight, self.begin[:-1]) if len(term) else np.zeros(0)
-        self.of_term = np.searchsorted(term[new], np.arange(len(vocabulary) + 1))
+        self.row, self.weight = row[by], examples.weight[by]
+        self.of_term = np.searchsorted(examples.term[by], np.arange(len(vocabulary) + 1))
+        self.column: dict[int, np.ndarray] = {}  # at most 1 / COLUMN numbers per posting
+        for t in np.flatnonzero(np.diff(self.of_term) > COLUMN * n):
+            own = slice(self.of_term[t], self.of_term[t + 1])
+            self.column[int(t)] = np.zeros(n)
+            self.column[int(t)][self.row[own]] = self.weight[own]
         self.empty = np.flatnonzero(np.diff(examples.at) == 0)
         self.base = float(self.toxic.mean()) if n else 0.0
         self.curve: tuple[np.ndarray, np.ndarray] | None = None
@@ -117,37 +139,28 @@ class Index:
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of the largest positive cosine (ties: the smaller number), best first."""
-        bound = np.zeros(self.blocks)
-        spans = [(self.of_term[t], self.of_term[t + 1]) for t in term]
-        for (a, b), w in zip(spans, weight, strict=True):
-            bound[self.block[a:b]] += w * self.top[a:b]
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        found, cosine = np.zeros(0, np.int64), np.zeros(0)
-        # All (term, block) lists of the query, and the weight of their term in it.
-        lists = np.concatenate([np.arange(a, b) for a, b in spans]) if len(spans) else np.zeros(0, np.int64)
-        factor = np.repeat(weight, [b - a for a, b in spans])
-        step = 16
-        while len(order):
-            if len(found) >= self.k and bound[order[0]] < cosine[-1] - 1e-9:
-                break
-            opened, order = order[:step], order[step:]
-            step *= 2
-            slot = np.full(self.blocks, -1)
-            slot[opened] = np.arange(len(opened))
-            own = slot[self.block[lists]] >= 0
-            begin, many = self.begin[lists[own]], self.many[lists[own]]
-            posting = np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(many.sum())
-            cell = slot[self.row[posting] // BLOCK] * BLOCK + self.row[posting] % BLOCK
-            score = np.bincount(cell, weights=np.repeat(factor[own], many) * self.weight[posting], minlength=len(opened) * BLOCK)
-            hit = np.flatnonzero(score)
-            row = opened[hit // BLOCK] * BLOCK + hit % BLOCK
-            keep = row != without
-            found = np.concatenate([found, row[keep]])
-            cosine = np.concatenate([cosine, np.round(score[hit][keep], 12)])
-            best = np.lexsort((found, -cosine))[: self.k]
-            found, cosine = found[best], cosine[best]
-        return found, cosine
+        n = len(self.toxic)
+        whole = [(self.column[t], w) for t, w in zip(term.tolist(), weight, strict=True) if t in self.column]
+        lists = [
+            (slice(self.of_term[t], self.of_term[t + 1]), w)
+            for t, w in zip(term.tolist(), weight, strict=True)
+            if t not in self.column
+        ]
+        score = np.zeros(n)
+        if lists:
+            rows = np.concatenate([self.row[own] for own, _ in lists])
+            score = np.bincount(rows, weights=np.concatenate([self.weight[own] * w for own, w in lists]), minlength=n)
+        part = np.empty(n)
+        for column, w in whole:
+            score += np.multiply(column, w, out=part)
+        if without >= 0:
+            score[without] = 0
+        # A little below the k-th best, as equal cosines may differ in their last bits.
+        least = np.partition(score, n - self.k)[n - self.k] - 1e-9 if n > self.k else 0.0
+        found = np.flatnonzero(score > max(least, 0.0))
+        cosine = np.round(score[found], 12)
+        best = np.lexsort((found, -cosine))[: self.k]
+        return found[best], cosine[best]
 
     def vote(self, term: np.ndarray, weight: np.ndarray, without: int = -1) -> tuple[float, list[int], list[float]]:
         """Votes weighted by 1 / (distance + a little); no shared term: the examples without terms vote."""
@@ -213,7 +226,7 @@ def labelled_examples(docs: DataFrame, labels: DataFrame, limit: int) -> DataFra
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES, k: int = NEIGHBOURS) -> Index:
-    """Vocabulary, index and calibration from at most ``limit`` labelled rows. Runs jobs."""
+    """Vocabulary, index and calibration from at most ``limit`` labelled rows, document frequencies from all. Runs jobs."""
     examples = checkpointed(labelled_examples(docs, labels, limit))
     n, bad = (examples.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first())[:2]
     counted = (
@@ -224,13 +237,17 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES, k: int =
     top = c("n") * (n - c("n")) * float(bad * (n - bad))
     chi2 = float(n) * F.pow(c("bad") * float(n) - c("n") * float(bad), 2) / top
     chosen = (
-        counted.where((c("n") >= 3) & (top > 0)).withColumn("chi2", chi2).where(c("chi2") >= max(MIN_CHI2, MIN_SHARE * n))
-        .orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).select("term", "n").collect()
+        counted.where((c("n") >= 3) & (top > 0)).withColumn("chi2", chi2).where(c("chi2") >= MIN_CHI2)
+        .orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).select("term").collect()
     )
     vocabulary = np.array([r["term"] for r in chosen], np.int64).view(_U)
-    by = np.argsort(vocabulary)
-    vocabulary = vocabulary[by]
-    idf = np.log((1 + n) / (1 + np.array([r["n"] for r in chosen], float)[by])) + 1 if len(by) else np.zeros(0)
+    vocabulary = np.sort(vocabulary)
+    idf = np.zeros(0)
+    if len(vocabulary):
+        held = docs.select("text").mapInArrow(_holders(vocabulary), "number long, n long").groupBy("number").agg(F.sum("n").alias("n"))
+        count = dict(held.collect())  # a row per term
+        frequency = np.array([count.get(i, 0) for i in range(len(vocabulary))], float)
+        idf = np.log((1 + count.get(-1, 0)) / (1 + frequency)) + 1
 
     def vectorised(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:

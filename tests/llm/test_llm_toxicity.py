@@ -60,6 +60,19 @@ def test_scores(spark):
     assert carried == ["doc_id", "text", "lang", "score", "predicted", "evidence"]
 
 
+def test_rare_toxic_word_is_a_term_among_many_examples(spark):
+    # Chi-squared of the word is 27: beyond the bound of 20, under one per cent of the examples.
+    rare = (10, 1010, 2010)
+    rows = [(i, prose(i, 6) + (" vile" if i % 10 == 0 and i not in rare else "") + (" zxq" if i in rare else "")) for i in range(3000)]
+    docs = documents(spark, [*rows, *((5000 + i, "zxq" if i < 2 else "plain") for i in range(300))])
+    index = toxicity.fit(docs, labelled(spark, [(i, 1, int(i % 10 == 0)) for i, _ in rows]))
+    got = {r.doc_id: r for r in toxicity.score_toxicity(docs.where("doc_id >= 5000"), index).collect()}
+    assert {int(e.doc_id) for e in got[5000].evidence} >= set(rare) and got[5000].predicted == 1
+    assert not got[5299].evidence and got[5299].predicted == 0
+    # Document frequencies come from all 3300 rows, of which 5 hold the word.
+    assert np.isclose(index.idf, np.log(3301 / 6) + 1).any()
+
+
 def test_without_labels_or_rows(spark):
     docs = documents(spark, ["a b", None])
     index = toxicity.fit(docs, labelled(spark, [(1, 1, 1)]).limit(0))

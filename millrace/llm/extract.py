@@ -6,8 +6,10 @@ text right below it. Layouts that never change and blocks that return on page af
 entropy-based importance; branches of low importance are removed from each page, as are elements
 that their tag, role or name marks as something other than an article.
 
-Only distinct pages count, so copies of a page do not make its article look like a frame; and headings
-and paragraphs right below an article element stay whatever their importance.
+Article and main elements are a prior: outside them a block stays if its node was judged and is
+important, and goes if the host has too few pages to judge it. Only distinct pages count, so copies of
+a page do not make its article look like a frame; and where headings and paragraphs right below an
+article would go that outweigh all that stays, they stay.
 """
 
 from __future__ import annotations
@@ -86,7 +88,7 @@ def node_statistics(pages: DataFrame) -> DataFrame:
 
 
 def _unimportant(rows: pd.DataFrame) -> pd.DataFrame:
-    """The highest branches of a host's tree with low composite importance. A row per distinct path."""
+    """The branches of a host's tree that were judged, and which of them have low composite importance. A row per distinct path."""
     below: dict[str, list[tuple[float, float]]] = {}
     importance: dict[str, float] = {}
     table = rows.sort_values("path", key=lambda p: -p.str.count(">"), kind="stable")
@@ -101,37 +103,41 @@ def _unimportant(rows: pd.DataFrame) -> pd.DataFrame:
             value = (1 - fade) * layout + fade * inner
         importance[path] = value
         below.setdefault(path.rpartition(">")[0], []).append((m, value))
-    low = [p for p, v in importance.items() if v < LOW and p.count(">") > 2]
+    low = [v < LOW and p.count(">") > 2 for p, v in importance.items()]
     host = rows["host"].iloc[0]
-    return pd.DataFrame({"host": [host] * len(low), "path": low}, dtype=object)
+    return pd.DataFrame({"host": [host] * len(low), "path": list(importance), "low": low}, dtype=object)
+
+
+def judged_branches(pages: DataFrame) -> DataFrame:
+    """``(host, path, low)`` of the branches that can be judged. Groups hold a row per distinct path, not per page."""
+    return node_statistics(pages).groupBy("host").applyInPandas(_unimportant, "host string, path string, low boolean")
 
 
 def low_branches(pages: DataFrame) -> DataFrame:
-    """``(host, path)`` of the branches to remove. Groups hold a row per distinct path, not per page."""
-    return node_statistics(pages).groupBy("host").applyInPandas(_unimportant, "host string, path string")
+    """``(host, path)`` of the branches to remove."""
+    return judged_branches(pages).where("low").drop("low")
 
 
 _PROSE = frozenset(("h1", "h2", "h3", "h4", "h5", "h6", "p", "blockquote", "pre"))
 
 
-def main_text(html: str, removed: frozenset[str]) -> str:
+def main_text(html: str, removed: frozenset[str], important: frozenset[str] = frozenset()) -> str:
+    """Text of the blocks that stay; ``removed`` and ``important`` are the host's judged paths, low and not."""
     page = parse(html)
     kinds = {mark for _, _, noise, mark in page.blocks if mark and not noise}
     wanted = "article" if "article" in kinds else "main" if "main" in kinds else ""
-    kept = []
-    for path, text, noise, mark in page.blocks:
-        if noise or (wanted and mark != wanted):
-            continue
-        if removed:
-            steps = path.split(">")
-            ends = [">".join(steps[: k + 1]) for k in range(1, len(steps))]
-            inside = max((k for k, s in enumerate(steps) if s.split(".")[0] == wanted), default=0) if wanted else 0
-            own = wanted and all(s.split(".")[0] in _PROSE for s in steps[inside + 1 :])
-            judged = [] if own else ends[inside:]
-            if any(e in removed for e in judged):
-                continue
-        kept.append(text)
-    return "\n".join(kept)
+    stays, own = [], []
+    for path, _, noise, mark in page.blocks:
+        steps = path.split(">")
+        within = bool(wanted) and mark == wanted
+        inside = max((k for k, s in enumerate(steps) if s.split(".")[0] == wanted), default=0) if within else 0
+        low = bool(removed) and any(">".join(steps[: k + 1]) in removed for k in range(inside + 1, len(steps)))
+        stays.append(not noise and not low and (within or not wanted or path in important))
+        own.append(not noise and within and all(s.split(".")[0] in _PROSE for s in steps[inside + 1 :]))
+    size = [len(text) for _, text, _, _ in page.blocks]
+    if sum(n for n, s, o in zip(size, stays, own, strict=True) if o and not s) > sum(n for n, s in zip(size, stays, strict=True) if s):
+        stays = [s or o for s, o in zip(stays, own, strict=True)]
+    return "\n".join(text for (_, text, _, _), s in zip(page.blocks, stays, strict=True) if s)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -144,8 +150,11 @@ def extract_text(pages: DataFrame) -> DataFrame:
     """
     rows = pages.select("page_id", "url", "html")
     kind = dict(rows.dtypes)["page_id"]
-    # A host's list has its distinct low paths; the join is left to Spark, which splits a hot host.
-    lists = checkpointed(low_branches(rows)).groupBy("host").agg(F.collect_list("path").alias("removed"))
+    # A host's lists have its distinct judged paths; the join is left to Spark, which splits a hot host.
+    lists = checkpointed(judged_branches(rows)).groupBy("host").agg(
+        F.collect_list(F.when(F.col("low"), F.col("path"))).alias("removed"),
+        F.collect_list(F.when(~F.col("low"), F.col("path"))).alias("important"),
+    )
     rest = F.when(F.instr("url", "://") > 0, F.substring_index(F.expr("substr(url, instr(url, '://') + 3)"), "/", 1))
     host = F.lower(F.substring_index(F.substring_index(rest, "?", 1), "#", 1))
     joined = rows.withColumn("host", F.coalesce(host, F.lit(""))).join(lists, "host", "left").drop("host")
@@ -153,8 +162,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             texts = [
-                main_text(h or "", frozenset(r or ()))
-                for h, r in zip(batch.column("html").to_pylist(), batch.column("removed").to_pylist(), strict=True)
+                main_text(h or "", frozenset(r or ()), frozenset(i or ()))
+                for h, r, i in zip(*(batch.column(c).to_pylist() for c in ("html", "removed", "important")), strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -166,6 +175,6 @@ def extract_text(pages: DataFrame) -> DataFrame:
                 names=["page_id", "url", "text", "n_chars"],
             )
 
-    return joined.select("page_id", "url", "html", "removed").mapInArrow(
+    return joined.select("page_id", "url", "html", "removed", "important").mapInArrow(
         batches, f"page_id {kind}, url string, text string, n_chars long"
     )

@@ -58,5 +58,17 @@ def test_copies_of_an_article_stay(spark):
     assert {r.text for r in extract_text(pages(spark, rows)).collect()} == {f"T\n{prose(1, 40)}"}
 
 
+def test_blocks_outside_an_article_are_judged(spark):
+    rows = []
+    for i in range(12):
+        titled = f"<body><main><div><h1>{prose(i, 5)}</h1><p>Call us now</div><article><p>{prose(i, 30)}</article></main>"
+        carded = f"<body><main><div><p>{prose(i, 40)}</div><article class=card><p>Read our offers</article></main>"
+        rows += [(i, f"http://titled.test/{i}", titled), (100 + i, f"http://carded.test/{i}", carded)]
+    got = {r.page_id: r.text for r in extract_text(pages(spark, rows)).collect()}
+    for i in range(12):
+        assert got[i] == f"{prose(i, 5)}\n{prose(i, 30)}"
+        assert got[100 + i] == prose(i, 40)
+
+
 def test_empty_table(spark):
     assert extract_text(pages(spark, [(1, "u", "h")]).limit(0)).count() == 0

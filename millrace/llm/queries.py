@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.llm.ctw import ctw_scores
 from millrace.llm.decontaminate import contamination
 from millrace.llm.extract import extract_text
+from millrace.llm.hard_negatives import hard_negatives
 from millrace.llm.licenses import PERCENT, TEMPLATES, license_scan, need
 from millrace.llm.near_dup import near_duplicates
 from millrace.llm.packing import pack
@@ -17,6 +18,7 @@ from millrace.llm.quality import quality_verdicts
 from millrace.llm.toxicity import fit, score_toxicity
 from millrace.llm.url_filter import filter_urls
 from millrace.llm.warc import archived
+from millrace.llm.whiten import whitened
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +82,15 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"), components=4)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -91,6 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_license_scans": op9_license_scans,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 OP7_SQL = """
 WITH page AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
@@ -161,9 +174,24 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(y, doc_id))
 FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN least_of USING (doc_id)
 """
 
+OP13_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS x
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.x, b.x)::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positive AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op5_benchmark_decontamination": OP5_SQL,
     "op7_warc": OP7_SQL,
     "op9_license_scans": OP9_SQL,
     "op10_minhash_near_dedup": OP10_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }

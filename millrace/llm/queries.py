@@ -185,7 +185,7 @@ positive AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s
   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
 SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, id AS negative_id, positive_score, score AS negative_score
 FROM positive JOIN scored USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
-QUALIFY rank <= 10 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY rank <= 10
 """
 
 ORACLE_SQL: dict[str, str] = {

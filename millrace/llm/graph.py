@@ -40,3 +40,22 @@ def components(edges: DataFrame) -> DataFrame:
         labels = moved.select("node", "label")
         if not moved.where("label <> old").take(1):
             return labels.withColumnRenamed("label", "component")
+
+
+def name_rows(rows: DataFrame, known: DataFrame, members: DataFrame, digest: list[str], size: int) -> DataFrame:
+    """``rows`` columns doc_id and n_shingles with ``component_id``, the smallest ``doc_id`` of their component.
+
+    ``known`` are the rows with an id and a set; ``members`` gives each set (by its ``digest`` columns) a component.
+    Rows of one ``doc_id`` are one node, whatever their sets; rows without a set are alone.
+    """
+    named = known.select("doc_id", *digest).join(members, digest)
+    split = named.groupBy("doc_id").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
+    by_id = compact(named.groupBy("doc_id").agg(F.min("component").alias("component_id")), size)
+    if split.take(1):
+        joined = components(named.select(F.col("doc_id").alias("a"), F.col("component").alias("b")))
+        by_id = joined.select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
+    return (
+        rows.select("doc_id", "n_shingles")
+        .join(by_id, "doc_id", "left")
+        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    )

@@ -173,9 +173,9 @@ class Anchor:
     windows: list[tuple[int, int]] = field(default_factory=list)  # positives and their scores
 
 
-def _runs(source: Iterator[pa.RecordBatch], d: int, books: Books) -> Iterator[Run]:
+def _runs(source: Iterator[pa.RecordBatch], d: int, books: Books, most: int) -> Iterator[Run]:
     held: list[pa.RecordBatch] = []
-    limit = max(1024, min(RUN_ROWS, (64 << 20) // (16 * d)))
+    limit = max(1, min(most, (64 << 20) // (16 * d)))
     for batch in source:
         for at in range(0, len(batch), limit):
             held.append(batch.slice(at, limit))
@@ -192,11 +192,11 @@ def _run(held: list[pa.RecordBatch], d: int, books: Books) -> Run:
     return Run(table.column("vec_id").to_numpy(), table.column("label").to_numpy(), x, books)
 
 
-def _positive_batches(shared, d: int, books: Books, k: int):
+def _positive_batches(shared, d: int, books: Books, most: int, k: int):
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors: list[Anchor] = shared.value
         best = [Best(k) for _ in anchors]
-        for run in _runs(source, d, books):
+        for run in _runs(source, d, books, most):
             for anchor, own in zip(anchors, best, strict=True):
                 search(run, anchor.x, [own], lambda a, b, w=anchor, r=run: (r.labels[a:b] == w.label) & (r.ids[a:b] != w.id))
         yield _rows([[a.id] * len(b.ids) for a, b in zip(anchors, best, strict=True)], best, ["anchor_id"], [])
@@ -204,12 +204,12 @@ def _positive_batches(shared, d: int, books: Books, k: int):
     return batches
 
 
-def _negative_batches(shared, d: int, books: Books, k: int, low: int, high: int):
+def _negative_batches(shared, d: int, books: Books, most: int, k: int, low: int, high: int):
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors: list[Anchor] = shared.value
         # Whole-number limits of low * p <= 100 * n <= high * p.
         best = [[Best(k, -(-low * p // 100), high * p // 100) for _, p in a.windows] for a in anchors]
-        for run in _runs(source, d, books):
+        for run in _runs(source, d, books, most):
             for anchor, own in zip(anchors, best, strict=True):
                 open_windows = [w for w in own if w.low <= w.high]
                 if open_windows:
@@ -249,7 +249,13 @@ def _coded(d: int, books: Books):
 
 
 def hard_negatives(
-    rows: DataFrame, is_anchor: Column, positives: int = 5, negatives: int = 10, low: int = 30, high: int = 90
+    rows: DataFrame,
+    is_anchor: Column,
+    positives: int = 5,
+    negatives: int = 10,
+    low: int = 30,
+    high: int = 90,
+    run_rows: int = RUN_ROWS,
 ) -> DataFrame:
     """``(anchor_id, positive_id, rank, negative_id, positive_score, negative_score)`` of ``rows(vec_id, embedding, label)``.
 
@@ -290,13 +296,13 @@ def hard_negatives(
         anchors = {r["vec_id"]: Anchor(r["vec_id"], r["label"], x) for r, x in zip(part, xs, strict=True)}
         shared = spark.sparkContext.broadcast(list(anchors.values()))
         best = Window.partitionBy("anchor_id").orderBy(F.desc("score"), "id")  # a few rows a task and anchor
-        near = index.mapInArrow(_positive_batches(shared, d, books, positives), "anchor_id long, id long, score long")
+        near = index.mapInArrow(_positive_batches(shared, d, books, run_rows, positives), "anchor_id long, id long, score long")
         near = near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= positives)
         for r in near.orderBy("anchor_id", "rank").collect():  # as many as the block's anchors, times ``positives``
             anchors[r["anchor_id"]].windows.append((r["id"], r["score"]))
         windows = spark.sparkContext.broadcast(list(anchors.values()))
         far = index.mapInArrow(
-            _negative_batches(windows, d, books, negatives, low, high),
+            _negative_batches(windows, d, books, run_rows, negatives, low, high),
             "anchor_id long, positive_id long, positive_score long, id long, score long",
         )
         best = Window.partitionBy("anchor_id", "positive_id").orderBy(F.desc("score"), "id")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.count_tree import similar_sets
 from millrace.llm.ctw import ctw_scores
 from millrace.llm.decontaminate import contamination
 from millrace.llm.extract import extract_text
@@ -86,6 +87,10 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(table(spark, sf_dir, "embeddings"), components=4)
 
 
+def op12_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_sets(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scans": op9_license_scans,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_ngram_jaccard_join": op12_ngram_jaccard_join,
     "op13_hard_negatives": op13_hard_negatives,
 }
 OP7_SQL = """
@@ -174,11 +180,12 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(y, doc_id))
 FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN least_of USING (doc_id)
 """
 
+OP12_SQL = OP10_SQL.replace(">= 80 *", ">= 85 *").replace("AS component_id,\n  doc_id <= coalesce(y, doc_id) AS kept", "AS component_id")
 OP13_SQL = """
 WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS x
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
   FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.x, b.x)::BIGINT AS score
   FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
 positive AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
@@ -193,5 +200,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_warc": OP7_SQL,
     "op9_license_scans": OP9_SQL,
     "op10_minhash_near_dedup": OP10_SQL,
+    "op12_ngram_jaccard_join": OP12_SQL,
     "op13_hard_negatives": OP13_SQL,
 }

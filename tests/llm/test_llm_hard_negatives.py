@@ -25,9 +25,9 @@ def brute(rows, positives=5, negatives=10):
     return out
 
 
-def run(spark, rows):
+def run(spark, rows, **more):
     df = spark.createDataFrame([(i, v, label, "clash", 1) for i, v, label in rows], SCHEMA)
-    found = hard_negatives(df, F.col("vec_id") % 100 == 0)
+    found = hard_negatives(df, F.col("vec_id") % 100 == 0, **more)
     return sorted(tuple(r) for r in found.collect())
 
 
@@ -42,8 +42,7 @@ def test_equals_brute_force(spark, monkeypatch):
     assert run(spark, rows) == want and len(want) > 300
     # Several blocks of anchors, and several runs of rows in a task.
     monkeypatch.setattr(hn, "BLOCK_BYTES", 400)
-    monkeypatch.setattr(hn, "RUN_ROWS", 1)
-    assert run(spark, rows) == want
+    assert run(spark, rows, run_rows=60) == want
 
 
 def test_empty_short_and_huge(spark):

@@ -1,6 +1,6 @@
 """Similarity join of shingle sets over R-trees of count vectors.
 
-Shingles are hashed into ``GROUPS`` groups; a document is the point of its counts by group. Two sets
+Shingles are hashed into groups; a document is the point of its counts by group. Two sets
 share at most the sum of the smaller counts, and points under two tree nodes at most the sum of the
 smaller upper corners, so a node pair is left as soon as that is less than the overlap its sizes ask for.
 
@@ -21,19 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.cluster import checkpointed
+from millrace.cluster import checkpointed, small_side
+from millrace.llm.count_points import PAGE, Tree, grouped, pack, pairs_with_outsiders, sorted_points, surviving
 from millrace.llm.graph import compact, components, name_rows
 from millrace.llm.near_dup import PAIRS_PER_TASK, _confirm_batches, _set_batches, shingle_sets
 from millrace.llm.words import mix, signed
 
-GROUPS = 64
-NODE = 8  # points
-PAGE = 128  # points
 CELL_BITS = 18  # cells in which shingles are counted, to put rare ones first
 MANY = 4  # surviving pairs a point of a page, beyond which only the best are given at first
 TURNS = 2  # in which centres of components meet
-WIDTH = 20_000  # point pairs compared at once
-FULL = 65_535  # a count as large or larger
+
 
 _U = np.uint64
 
@@ -64,11 +61,6 @@ def first_shingles(n: int | np.ndarray, percent: int):
     return n - (percent * n + 99) // 100 + 1
 
 
-def least_overlap(sizes: np.ndarray, percent: int) -> np.ndarray:
-    """Shared elements that two sets with this sum of sizes need."""
-    return -(-percent * sizes // (100 + percent))
-
-
 def _point_batches(size: int, percent: int, shared):
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rare = shared.value
@@ -76,9 +68,8 @@ def _point_batches(size: int, percent: int, shared):
             for begin, values, at in shingle_sets(batch.column("text"), size):
                 n = np.diff(at)
                 row = np.repeat(np.arange(len(n)), n)
-                group = ((values >> _U(7)) & _U(GROUPS - 1)).astype(np.int64)
-                counts = np.bincount(row * GROUPS + group, minlength=len(n) * GROUPS).reshape(len(n), GROUPS)
-                packed = np.minimum(counts, FULL).astype("<u2")
+                group = (values >> _U(7)).astype(np.int64)
+                packed = [pack(group[at[i] : at[i + 1]]) for i in range(len(n))]
                 by = np.lexsort((values, rare[(values >> _U(64 - CELL_BITS)).astype(np.int64)], row))
                 many = np.where(n > 0, first_shingles(n, percent), 0)
                 first = by[np.arange(len(values)) - np.repeat(at[:-1], n) < np.repeat(many, n)]
@@ -95,7 +86,7 @@ def _point_batches(size: int, percent: int, shared):
                         pa.array(n.astype(np.int64)),
                         pa.array(signed(digest[0])),
                         pa.array(signed(digest[1])),
-                        pa.array([r.tobytes() for r in packed], pa.binary()),
+                        pa.array(packed, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(key_at), pa.array(signed(values[first]))),
                     ],
                     names=["doc_id", "n_shingles", "d1", "d2", "counts", "keys"],
@@ -104,111 +95,14 @@ def _point_batches(size: int, percent: int, shared):
     return batches
 
 
-def vectors(blobs: pa.Array) -> np.ndarray:
-    joined = b"".join(blobs.to_pylist())
-    out = np.frombuffer(joined, "<u2").reshape(-1, GROUPS).astype(np.int32)
-    out[out == FULL] = 1 << 24  # unknown and large: never a reason to leave a pair
-    return out
-
-
-def split(counts: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
-    """Tree nodes of some points: halves at the median of the widest group, down to ``NODE`` points."""
-    if len(rows) <= NODE:
-        return [rows]
-    own = counts[rows]
-    by = rows[np.argsort(own[:, (own.max(axis=0) - own.min(axis=0)).argmax()], kind="stable")]
-    half = (len(by) // 2 + NODE - 1) // NODE * NODE
-    return split(counts, by[:half]) + split(counts, by[half:])
-
-
-class Tree:
-    """Points of some pages, their nodes and the nodes' upper corners."""
-
-    def __init__(self, counts: np.ndarray, sizes: np.ndarray, pages: np.ndarray):
-        """``pages``: where each page begins, and the end."""
-        self.first = []  # number of each page's first node
-        nodes: list[np.ndarray] = []
-        for a, b in zip(pages[:-1].tolist(), pages[1:].tolist(), strict=True):
-            self.first.append(len(nodes))
-            nodes += split(counts, np.arange(a, b)) if b - a > NODE else [np.arange(a, b)]
-        self.first.append(len(nodes))
-        self.rows = np.concatenate([*nodes, np.zeros(0, np.int64)]).astype(np.int64)
-        self.counts, self.sizes = counts[self.rows], sizes[self.rows]
-        self.length = np.array([len(n) for n in nodes], np.int64)
-        self.start = np.cumsum(self.length) - self.length
-        if len(nodes):
-            self.corner = np.maximum.reduceat(self.counts, self.start)
-            self.least, self.most = np.minimum.reduceat(self.sizes, self.start), np.maximum.reduceat(self.sizes, self.start)
-
-
-def _shares(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Sums of the smaller counts of rows ``i`` of ``x`` and ``j`` of ``y``."""
-    out = np.empty(len(i), np.int64)
-    for at in range(0, len(i), WIDTH):
-        out[at : at + WIDTH] = np.minimum(x[i[at : at + WIDTH]], y[j[at : at + WIDTH]]).sum(axis=1)
-    return out
-
-
-def surviving(x: Tree, y: Tree, a: np.ndarray, b: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Point pairs (positions in ``x.rows``, ``y.rows``) of node pairs whose bound allows a link, with bound over least overlap.
-
-    If ``x is y``, a pair comes once.
-    """
-    open_ = (x.most[a] * 100 >= y.least[b] * percent) & (y.most[b] * 100 >= x.least[a] * percent)
-    a, b = a[open_], b[open_]
-    open_ = _shares(x.corner, y.corner, a, b) >= least_overlap(x.least[a] + y.least[b], percent)
-    a, b = a[open_], b[open_]
-    n = x.length[a] * y.length[b]
-    pair = np.repeat(np.arange(len(a)), n)
-    inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    i = x.start[a][pair] + inside // y.length[b][pair]
-    j = y.start[b][pair] + inside % y.length[b][pair]
-    good = (x.sizes[i] * 100 >= y.sizes[j] * percent) & (y.sizes[j] * 100 >= x.sizes[i] * percent)
-    if x is y:
-        good &= (a[pair] != b[pair]) | (i < j)
-    i, j = i[good], j[good]
-    need = least_overlap(x.sizes[i] + y.sizes[j], percent)
-    bound = _shares(x.counts, y.counts, i, j)
-    good = bound >= need
-    return i[good], j[good], bound[good] / need[good]
-
-
-def _grouped(source: Iterator[pa.RecordBatch], page: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    """Runs of sorted rows with whole pages only, and where the pages begin, and the end."""
-    held: list[pa.RecordBatch] = []
-
-    def cut(table: pa.Table) -> np.ndarray:
-        key = table.column("key").to_numpy()
-        new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        length = np.diff(np.r_[new, len(key)])
-        parts = -(-length // page)
-        within = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        return np.r_[np.repeat(new, parts) + page * within, len(key)]
-
-    for batch in source:
-        if not len(batch):
-            continue
-        held.append(batch)
-        table = pa.Table.from_batches(held).combine_chunks()
-        pages = cut(table)
-        if len(pages) > 2:  # the last page may go on in the next batch
-            yield table.slice(0, int(pages[-2])).combine_chunks().to_batches()[0], pages[:-1]
-            held = table.slice(int(pages[-2])).combine_chunks().to_batches()
-        else:
-            held = table.to_batches()
-    if held:
-        table = pa.Table.from_batches(held).combine_chunks()
-        yield table.to_batches()[0], cut(table)
-
-
 def _meet_batches(percent: int, page_size: int, many: int):
     """Pairs of each page's points that may link: ``(key, a, b)``; a page that holds back some gives a row without ids."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, pages in _grouped(source, page_size):
+        for batch, pages in grouped(source, page_size):
             ids, keys = batch.column("id").to_numpy(), batch.column("key").to_numpy()
             part = batch.column("component").to_numpy()
-            tree = Tree(vectors(batch.column("counts")), batch.column("n_shingles").to_numpy(), pages)
+            tree = Tree(batch.column("counts").to_pylist(), batch.column("n_shingles").to_numpy(), pages)
             firsts = np.array(tree.first)
             single = firsts[:-1][np.diff(firsts) == 1]
             left, right = [single], [single]
@@ -249,43 +143,6 @@ def _meet_batches(percent: int, page_size: int, many: int):
     return batches
 
 
-def _page_batches(page_size: int):
-    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, pages in _grouped(source, page_size):
-            at = pa.array(pages.astype(np.int32))
-            lists = [pa.ListArray.from_arrays(at, batch.column(c)) for c in ("id", "component", "n_shingles")]
-            blobs = batch.column("counts").to_pylist()
-            counts = [b"".join(blobs[a:b]) for a, b in zip(pages[:-1], pages[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key").take(pa.array(pages[:-1])), *lists, pa.array(counts, pa.binary())],
-                names=["key", "ids", "parts", "sizes", "counts"],
-            )
-
-    return batches
-
-
-def _between_batches(percent: int):
-    """Pairs of points of two pages, in different components, that may link."""
-
-    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def tree(row: dict, side: str) -> Tree:
-            counts = vectors(pa.array([row[f"{side}_counts"]], pa.binary()))
-            return Tree(counts, np.array(row[f"{side}_sizes"], np.int64), np.array([0, len(counts)]))
-
-        for batch in source:
-            for at in range(len(batch)):
-                row = batch.slice(at, 1).to_pylist()[0]
-                x, y = tree(row, "x"), tree(row, "y")
-                a, b = (v.ravel() for v in np.meshgrid(np.arange(len(x.length)), np.arange(len(y.length))))
-                i, j, _ = surviving(x, y, a, b, percent)
-                i, j = x.rows[i], y.rows[j]
-                other = np.array(row["x_parts"])[i] != np.array(row["y_parts"])[j]
-                p, q = np.array(row["x_ids"])[i[other]], np.array(row["y_ids"])[j[other]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], names=["a", "b"])
-
-    return batches
-
-
 def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85, page: int = PAGE, many: int = MANY) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row of ``docs(doc_id, text)``.
 
@@ -304,32 +161,31 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85, page: int =
     digest = ["n_shingles", "d1", "d2"]
     known = points.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = compact(known.groupBy(*digest).agg(F.min("doc_id").alias("rep")), rows)
-    heads = known.join(classes.withColumnRenamed("rep", "doc_id"), [*digest, "doc_id"], "left_semi")
-    heads = compact(heads.dropDuplicates([*digest, "doc_id"]), rows, 5_000)
+    # One point a set: other rows of the same set go, so the wide rows need not move when those are few.
+    sized = known.groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1")
+    copies = known.select("doc_id", *digest).join(small_side(sized), digest).where("doc_id <> rep").select("doc_id", *digest).distinct()
+    heads = known.join(small_side(copies), ["doc_id", *digest], "left_anti")
+    if known.groupBy("doc_id", *digest).count().where("count > 1").take(1):  # repeated rows
+        heads = compact(heads.dropDuplicates(["doc_id", *digest]), rows, 5_000)
 
     keyed = heads.select(F.col("doc_id").alias("id"), F.explode("keys").alias("key"))
+    several = checkpointed(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    shared = compact(keyed.join(several, "key"), 20 * rows, 200_000)
     # Members are told apart by two exclusive sums of hashed ids, so shards with equal members become one.
-    members = keyed.groupBy("key").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")
-    )
-    shards = members.where("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n")
-    shared = compact(keyed.join(checkpointed(shards), "key"), 20 * rows, 200_000)
+    members = shared.groupBy("key", "n").agg(F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+    shards = checkpointed(members.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key"))
+    shared = compact(shared.join(shards, "key", "left_semi"), 20 * rows, 200_000)
     look = heads.select(F.col("doc_id").alias("id"), "n_shingles", "counts")
-    columns = ["key", "id", "n_shingles", "counts"]
 
-    def laid(rows_of: DataFrame, whole: bool) -> DataFrame:
-        """Rows ``(key, id, component)`` as points by shard and size; a shard is ``whole`` in a task or cut by range."""
-        placed = rows_of.join(look, "id").select(*columns, "component")
-        if whole:
-            return placed.repartition("key").sortWithinPartitions("key", "n_shingles", "id")
-        return checkpointed(placed).repartitionByRange("key", "n_shingles", "id").sortWithinPartitions("key", "n_shingles", "id")
+    def laid(rows_of: DataFrame, whole: bool = False) -> DataFrame:
+        return sorted_points(rows_of.join(look, "id"), whole)
 
     alone = F.col("id").alias("component")
     small, large = shared.where(F.col("n") <= page), checkpointed(shared.where(F.col("n") > page))
     pairs_type = "key long, a long, b long"
     met = laid(small.select("key", "id", alone), True).mapInArrow(_meet_batches(percent, page, many), pairs_type)
     if large.take(1):
-        met = met.union(laid(large.select("key", "id", alone), False).mapInArrow(_meet_batches(percent, page, many), pairs_type))
+        met = met.union(laid(large.select("key", "id", alone)).mapInArrow(_meet_batches(percent, page, many), pairs_type))
     met = checkpointed(met)
     found_pairs = checkpointed(met.where("a IS NOT NULL").select("a", "b").distinct())
     crowded = checkpointed(met.where("a IS NULL").select("key").union(large.select("key")).distinct())
@@ -363,7 +219,7 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85, page: int =
             centre = F.max_by("id", F.struct("degree", -F.col("id"))).alias("id")
             centres = checkpointed(ranked.groupBy("key", "component").agg(centre).select("key", "id", "component"))
             several = centres.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-            open_ = laid(centres.join(checkpointed(several), "key", "left_semi"), False)
+            open_ = laid(centres.join(checkpointed(several), "key", "left_semi"))
             near = open_.mapInArrow(_meet_batches(percent, page, many), pairs_type).where("a IS NOT NULL").select("a", "b")
             near = fresh(near)
             more = confirmed(near)
@@ -372,24 +228,7 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85, page: int =
                 break
             links = links.union(more)
             found = components(links)
-        rows_of = placed()
-        parts = checkpointed(rows_of.groupBy("key", "component").agg(F.count("*").alias("n")))
-        mains = parts.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
-        mains = checkpointed(mains.where("parts > 1").select("key", "main"))
-        open_ = rows_of.join(mains, "key")
-        fields = "key long, ids array<long>, parts array<long>, sizes array<long>, counts binary"
-
-        def paged(rows_of: DataFrame, side: str) -> DataFrame:
-            pages = laid(rows_of.select("key", "id", "component"), False).mapInArrow(_page_batches(page), fields)
-            return checkpointed(pages.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("ids", "parts", "sizes", "counts"))))
-
-        outside = paged(open_.where("component <> main"), "x")
-        everyone = paged(open_, "y")
-        overlap = (F.array_max("x_sizes") * 100 >= F.array_min("y_sizes") * percent) & (
-            F.array_max("y_sizes") * 100 >= F.array_min("x_sizes") * percent
-        )
-        rest = outside.join(everyone, "key").where(overlap).mapInArrow(_between_batches(percent), "a long, b long")
-        more = confirmed(fresh(rest))
+        more = confirmed(fresh(pairs_with_outsiders(placed().join(look, "id"), percent, page)))
         if more.take(1):
             found = components(links.union(more))
     members_of = classes.select(F.col("rep").alias("id"), *digest).join(found.withColumnRenamed("node", "id"), "id", "left")

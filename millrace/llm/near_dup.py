@@ -8,9 +8,9 @@ the XOR of two gives the number of differing samples), then is checked on the fu
 No bucket is expanded into its pairs. Members first meet a few centres of their bucket only, and
 the links found are merged into components; members still outside their bucket's largest component meet
 more centres of it in a few further turns. In buckets that then hold several components, the
-members outside the largest one then meet all members of other components, inside a join whose
-condition compares sketches, so only pairs that look alike leave it. Pairs within one component
-are never compared: they cannot change the result.
+members outside the largest one then meet all members of other components page by page, where counts
+of hashed shingles bound the overlap of a pair (``count_points``): sketches of pairs a little below the
+threshold cannot be told from those above. Pairs within one component are never compared: they cannot change the result.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.cluster import checkpointed
-from millrace.llm.graph import compact, components
+from millrace.llm.count_points import pack, pairs_with_outsiders
+from millrace.llm.graph import compact, components, name_rows
 from millrace.llm.words import SPACED, find_words, grams, mix, signed, slices, text_buffers
 
 BANDS = 40  # a pair at similarity 0.8 shares no band in 5 of 10^6 cases; at 0.9 in one of 10^14
@@ -83,9 +84,12 @@ def _signature_batches(size: int, bands: int, rows: int):
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             sizes, digests, sketches, keys = [], [], [], []
+            counts: list[bytes] = []
             for _, values, at in shingle_sets(batch.column("text"), size):
                 n = np.diff(at)
                 full = np.flatnonzero(n)
+                group = (values >> _U(7)).astype(np.int64)
+                counts += [pack(group[at[i] : at[i + 1]]) for i in range(len(n))]
                 digest = np.zeros((2, len(n)), _U)
                 sketch = np.zeros((len(n), SKETCH_BITS // 64), np.int64)
                 key = np.zeros((len(n), bands), _U)
@@ -123,18 +127,19 @@ def _signature_batches(size: int, bands: int, rows: int):
                     pa.array(signed(digest[1])),
                     *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(_SKETCH))),
                     pa.ListArray.from_arrays(pa.array(list_at), pa.array(signed(key.ravel()))),
+                    pa.array(counts, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "d1", "d2", *_SKETCH, "bands"],
+                names=["doc_id", "n_shingles", "d1", "d2", *_SKETCH, "bands", "counts"],
             )
 
     return batches
 
 
 def signatures(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Set size, set digest, odd sketch and band keys of every row of ``docs(doc_id, text)``."""
+    """Set size, set digest, odd sketch, band keys and counts by group of every row of ``docs(doc_id, text)``."""
     fields = ["doc_id long", "n_shingles long", "d1 long", "d2 long", *(f"{s} long" for s in _SKETCH)]
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _signature_batches(size, bands, rows), ", ".join(fields) + ", bands array<long>"
+        _signature_batches(size, bands, rows), ", ".join(fields) + ", bands array<long>, counts binary"
     )
 
 
@@ -260,13 +265,18 @@ def near_duplicates(
             "component", F.coalesce("component", "id")
         )
 
-    def open_buckets() -> tuple[DataFrame, DataFrame]:
-        """Rows of the buckets that hold several components; those outside the bucket's largest component."""
+    def open_rows() -> DataFrame:
+        """Rows ``(key, id)`` of the buckets that hold several components."""
         placed = compact(labelled(shared.select("key", "id")), n_shared)
-        parts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-        mains = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max("n").alias("most")).where("parts > 1")
-        main = parts.join(mains, "key").where("n = most").groupBy("key").agg(F.min("component").alias("main"))
-        rows_of = compact(placed.join(main, "key").join(look, "id"), n_shared, 20_000)
+        several = placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
+        return placed.join(checkpointed(several.select("key")), "key", "left_semi").select("key", "id")
+
+    def open_buckets() -> tuple[DataFrame, DataFrame]:
+        """Open rows with the largest component of their bucket; those outside it."""
+        placed = checkpointed(labelled(open_rows()))
+        parts = checkpointed(placed.groupBy("key", "component").agg(F.count("*").alias("n")))
+        main = parts.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
+        rows_of = checkpointed(placed.join(checkpointed(main), "key"))
         return rows_of, rows_of.where("component <> main")
 
     for turn in range(ROUNDS):
@@ -281,37 +291,11 @@ def near_duplicates(
             break
         links = links.union(more)
         found = components(links)
-    rows_of, outside = open_buckets()
-    rest = (
-        outside.alias("x")
-        .join(
-            rows_of.alias("y"),
-            (F.col("x.key") == F.col("y.key"))
-            & (F.col("x.component") != F.col("y.component"))
-            & _alike("x", "y", percent, flips),
-        )
-        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        .distinct()
-    )
-    more = confirmed(rest)
+    points = heads.select(F.col("doc_id").alias("id"), "n_shingles", "counts")
+    more = confirmed(pairs_with_outsiders(labelled(open_rows()).join(points, "id"), percent))
     if more.take(1):
         found = components(links.union(more))
     members = labelled(classes.select(F.col("rep").alias("id"), *digest)).select(*digest, "component")
-    # Rows of one doc_id are one node, whatever their sets.
-    named = known.select("doc_id", *digest).join(members, digest)
-    split = named.groupBy("doc_id").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
-    by_id = compact(named.groupBy("doc_id").agg(F.min("component").alias("component_id")), size_of)
-    if split.take(1):
-        joined = components(named.select(F.col("doc_id").alias("a"), F.col("component").alias("b")))
-        by_id = joined.select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
-    return (
-        signed_rows.select("doc_id", "n_shingles")
-        .join(by_id, "doc_id", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.coalesce("component_id", "doc_id").alias("component_id"),
-            (F.coalesce("component_id", "doc_id") == F.col("doc_id")).alias("kept"),
-        )
-        .withColumn("kept", F.coalesce("kept", F.lit(True)))
+    return name_rows(signed_rows, known, members, digest, size_of).withColumn(
+        "kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))
     )

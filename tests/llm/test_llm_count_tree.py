@@ -4,7 +4,8 @@ import numpy as np
 from llm_cases import EDGES, documents, prose
 from test_llm_near_dup import brute, edited, result
 
-from millrace.llm.count_tree import GROUPS, Tree, first_shingles, least_overlap, similar_sets, surviving
+from millrace.llm.count_points import Tree, groups_of, least_overlap, pack, surviving, unpack
+from millrace.llm.count_tree import first_shingles, similar_sets
 
 
 def test_components_match_brute_force(spark):
@@ -34,9 +35,10 @@ def test_tree_keeps_every_pair_and_leaves_most_nodes():
     rng = np.random.default_rng(4)
     sets = [set(rng.choice(5000, rng.integers(20, 60), replace=False).tolist()) for _ in range(60)]
     sets += [(s | {9000 + i}) - {min(s)} for i, s in enumerate(sets)] + [s | {9999} for s in sets]
-    counts = np.array([np.bincount([e % GROUPS for e in s], minlength=GROUPS) for s in sets], np.int32)
+    sets += [set(range(20_000, 20_000 + n)) for n in (900, 950, 2000, 2100)]  # counted in more groups
+    blobs = [pack(np.array(sorted(s))) for s in sets]
     sizes = np.array([len(s) for s in sets])
-    tree = Tree(counts, sizes, np.array([0, 100, len(sets)]))
+    tree = Tree(blobs, sizes, np.array([0, 100, len(sets)]))
     a, b = (v.ravel() for v in np.meshgrid(np.arange(len(tree.length)), np.arange(len(tree.length))))
     i, j, ratio = surviving(tree, tree, a[a <= b], b[a <= b], 85)
     got = {frozenset(p) for p in zip(tree.rows[i].tolist(), tree.rows[j].tolist(), strict=True)}
@@ -53,3 +55,9 @@ def test_bounds_are_exact():
             assert 100 * need >= 85 * (n + m - need) and 100 * (need - 1) < 85 * (n + m - need + 1)
             if need <= n:  # two sets that share ``need`` elements: one of the first of each is shared
                 assert (n - first_shingles(n, 85)) < need and (m - first_shingles(m, 85)) < need
+
+
+def test_counts_fold_into_fewer_groups():
+    assert [groups_of(n) for n in (0, 1, 128, 129, 256, 257, 5000, 10**7)] == [64, 64, 64, 128, 128, 256, 4096, 4096]
+    for values in (np.arange(700) * 3, np.zeros(700, np.int64)):  # the second needs wide counts
+        assert unpack(pack(values), 700, 64).tolist() == np.bincount(values & 63, minlength=64).tolist()

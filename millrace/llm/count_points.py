@@ -31,30 +31,43 @@ def groups_of(n: int) -> int:
     return min(max(GROUPS, 1 << max(n - 1, 0).bit_length() - 1), MOST_GROUPS) if n > 1 else GROUPS
 
 
-def pack(group: np.ndarray) -> bytes:
+def pack(group: np.ndarray, groups: int = GROUPS) -> bytes:
     """Counts by the low bits of ``group``, one byte each where that is enough."""
-    counts = np.bincount(group & (groups_of(len(group)) - 1), minlength=groups_of(len(group)))
+    counts = np.bincount(group & (groups - 1), minlength=groups)
     return counts.astype("<u1" if counts.max() < 256 else "<u4").tobytes()
 
 
+def pack_fine(group: np.ndarray) -> bytes | None:
+    """Counts of a larger set by more groups."""
+    groups = groups_of(len(group))
+    return pack(group, groups) if groups > GROUPS else None
+
+
 def unpack(blob: bytes, n: int, groups: int) -> np.ndarray:
     """Counts by ``groups``, at most those packed: groups with equal low bits are added."""
     counts = np.frombuffer(blob, "<u1" if len(blob) == groups_of(n) else "<u4")
     return counts.reshape(-1, groups).sum(axis=0, dtype=np.int64)
 
 
-def vectors(blobs: list[bytes], sizes: np.ndarray) -> np.ndarray:
+def vectors(blobs: list[bytes]) -> np.ndarray:
     """The points: counts by ``GROUPS`` groups."""
     out = np.empty((len(blobs), GROUPS), np.int32)
     length = np.array([len(b) for b in blobs], np.int64)
-    wide = np.array([groups_of(n) for n in sizes.tolist()], np.int64)
-    for groups, size in set(zip(wide.tolist(), length.tolist(), strict=True)):
-        rows = np.flatnonzero((wide == groups) & (length == size))
-        joined = np.frombuffer(b"".join([blobs[i] for i in rows.tolist()]), "<u1" if size == groups else "<u4")
-        out[rows] = joined.reshape(len(rows), -1, GROUPS).sum(axis=1)
+    for size in set(length.tolist()):
+        rows = np.flatnonzero(length == size)
+        joined = b"".join([blobs[i] for i in rows.tolist()])
+        out[rows] = np.frombuffer(joined, "<u1" if size == GROUPS else "<u4").reshape(-1, GROUPS)
     return out
 
 
+def fine_bound(x: bytes | None, n: int, y: bytes | None, m: int) -> int | None:
+    """Bound on the overlap of two larger sets by all the groups that both are counted in; null if one is not."""
+    if x is None or y is None:
+        return None
+    groups = min(groups_of(n), groups_of(m))
+    return int(np.minimum(unpack(x, n, groups), unpack(y, m, groups)).sum())
+
+
 def split(counts: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
     """Tree nodes of some points: halves at the median of the widest group, down to ``NODE`` points."""
     if len(rows) <= NODE:
@@ -68,9 +81,9 @@ def split(counts: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
 class Tree:
     """Points of some pages, their nodes and the nodes' upper corners."""
 
-    def __init__(self, blobs: list[bytes], sizes: np.ndarray, pages: np.ndarray):
-        """``pages``: where each page begins, and the end."""
-        counts = vectors(blobs, sizes)
+    def __init__(self, blobs: list[bytes], sizes: np.ndarray, pages: np.ndarray, fine: list[bytes | None] | None = None):
+        """``pages``: where each page begins, and the end. With ``fine``, pairs get the closer bound too."""
+        counts = vectors(blobs)
         self.first = []  # number of each page's first node
         nodes: list[np.ndarray] = []
         for a, b in zip(pages[:-1].tolist(), pages[1:].tolist(), strict=True):
@@ -78,16 +91,13 @@ class Tree:
             nodes += split(counts, np.arange(a, b)) if b - a > NODE else [np.arange(a, b)]
         self.first.append(len(nodes))
         self.rows = np.concatenate([*nodes, np.zeros(0, np.int64)]).astype(np.int64)
-        self.counts, self.sizes, self.blobs = counts[self.rows], sizes[self.rows], blobs
+        self.counts, self.sizes, self.fine = counts[self.rows], sizes[self.rows], fine
         self.length = np.array([len(n) for n in nodes], np.int64)
         self.start = np.cumsum(self.length) - self.length
         if len(nodes):
             self.corner = np.maximum.reduceat(self.counts, self.start)
             self.least, self.most = np.minimum.reduceat(self.sizes, self.start), np.maximum.reduceat(self.sizes, self.start)
 
-    def fine(self, i: int, groups: int) -> np.ndarray:
-        return unpack(self.blobs[self.rows[i]], int(self.sizes[i]), groups)
-
 
 def _shares(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Sums of the smaller counts of rows ``i`` of ``x`` and ``j`` of ``y``."""
@@ -119,11 +129,11 @@ def surviving(x: Tree, y: Tree, a: np.ndarray, b: np.ndarray, percent: int) -> t
     bound = _shares(x.counts, y.counts, i, j)
     good = bound >= need
     i, j, bound, need = i[good], j[good], bound[good], need[good]
-    # Larger sets once more by all the groups that both are counted in.
-    for at in np.flatnonzero(np.minimum(x.sizes[i], y.sizes[j]) > 2 * GROUPS).tolist():
-        p, q = int(i[at]), int(j[at])
-        groups = min(groups_of(int(x.sizes[p])), groups_of(int(y.sizes[q])))
-        bound[at] = np.minimum(x.fine(p, groups), y.fine(q, groups)).sum()
+    if x.fine is not None and y.fine is not None:
+        for at in np.flatnonzero(np.minimum(x.sizes[i], y.sizes[j]) > 2 * GROUPS).tolist():
+            p, q = int(i[at]), int(j[at])
+            closer = fine_bound(x.fine[x.rows[p]], int(x.sizes[p]), y.fine[y.rows[q]], int(y.sizes[q]))
+            bound[at] = bound[at] if closer is None else closer
     good = bound >= need
     return i[good], j[good], bound[good] / need[good]
 
@@ -160,10 +170,10 @@ def page_batches(page_size: int):
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, pages in grouped(source, page_size):
             at = pa.array(pages.astype(np.int32))
-            lists = [pa.ListArray.from_arrays(at, batch.column(c)) for c in ("id", "component", "n_shingles", "counts")]
+            lists = [pa.ListArray.from_arrays(at, batch.column(c)) for c in ("id", "component", "n_shingles", "counts", "fine")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key").take(pa.array(pages[:-1])), *lists],
-                names=["key", "ids", "parts", "sizes", "counts"],
+                names=["key", "ids", "parts", "sizes", "counts", "fine"],
             )
 
     return batches
@@ -175,7 +185,7 @@ def between_batches(percent: int):
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def tree(row: dict, side: str) -> Tree:
             sizes = np.array(row[f"{side}_sizes"], np.int64)
-            return Tree(row[f"{side}_counts"], sizes, np.array([0, len(sizes)]))
+            return Tree(row[f"{side}_counts"], sizes, np.array([0, len(sizes)]), row[f"{side}_fine"])
 
         for batch in source:
             for at in range(len(batch)):
@@ -192,29 +202,51 @@ def between_batches(percent: int):
 
 
 def sorted_points(rows: DataFrame, whole: bool = False) -> DataFrame:
-    """``rows(key, id, component, n_shingles, counts)`` by key and size; the rows of a key are ``whole`` in a task or cut by range."""
+    """``rows(key, id, component, n_shingles, counts)``, maybe with ``fine``, by key and size; the rows of a key are ``whole`` in a task or cut by range."""
     order = ["key", "n_shingles", "id"]
-    placed = rows.select(*order, "counts", "component")
+    placed = rows.select(*order, "component", *(c for c in ("counts", "fine") if c in rows.columns))
     if whole:
         return placed.repartition("key").sortWithinPartitions(*order)
     return checkpointed(placed).repartitionByRange(*order).sortWithinPartitions(*order)
 
 
+def _closer_batches(percent: int):
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            good = np.ones(len(batch), bool)
+            n, m = batch.column("n").fill_null(0).to_numpy(), batch.column("m").fill_null(0).to_numpy()
+            need = least_overlap(n + m, percent)
+            for at, (x, y) in enumerate(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)):
+                bound = fine_bound(x, int(n[at]), y, int(m[at]))
+                good[at] = bound is None or bound >= need[at]
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    return batches
+
+
+def closer_pairs(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs(a, b)`` that the closer bound allows, by ``points(id, n_shingles, fine)``; others without ``fine`` stay."""
+    large = points.where("fine IS NOT NULL")
+    x = large.select(F.col("id").alias("a"), F.col("n_shingles").alias("n"), F.col("fine").alias("x"))
+    y = large.select(F.col("id").alias("b"), F.col("n_shingles").alias("m"), F.col("fine").alias("y"))
+    return pairs.join(x, "a", "left").join(y, "b", "left").mapInArrow(_closer_batches(percent), "a long, b long")
+
+
 def pairs_with_outsiders(rows: DataFrame, percent: int, page: int = PAGE) -> DataFrame:
     """Pairs ``(a, b)`` that may link, of rows of one key in different components.
 
-    ``rows`` as in ``sorted_points``. Every key's rows outside its largest component meet all its rows, page by page, so
+    ``rows`` as in ``sorted_points``, with ``fine``. Every key's rows outside its largest component meet all its rows, page by page, so
     a key of any size is spread over tasks, and pairs inside one component, which change nothing, are never made.
     """
     rows = checkpointed(rows)
     parts = checkpointed(rows.groupBy("key", "component").agg(F.count("*").alias("n")))
     mains = parts.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
     open_ = rows.join(checkpointed(mains.where("parts > 1").select("key", "main")), "key")
-    fields = "key long, ids array<long>, parts array<long>, sizes array<long>, counts array<binary>"
+    fields = "key long, ids array<long>, parts array<long>, sizes array<long>, counts array<binary>, fine array<binary>"
 
     def paged(rows_of: DataFrame, side: str) -> DataFrame:
         pages = sorted_points(rows_of).mapInArrow(page_batches(page), fields)
-        return checkpointed(pages.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("ids", "parts", "sizes", "counts"))))
+        return checkpointed(pages.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("ids", "parts", "sizes", "counts", "fine"))))
 
     outside, everyone = paged(open_.where("component <> main"), "x"), paged(open_, "y")
     overlap = (F.array_max("x_sizes") * 100 >= F.array_min("y_sizes") * percent) & (

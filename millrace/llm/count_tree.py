@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.cluster import checkpointed, small_side
-from millrace.llm.count_points import PAGE, Tree, grouped, pack, pairs_with_outsiders, sorted_points, surviving
+from millrace.llm.count_points import PAGE, Tree, closer_pairs, grouped, pack, pack_fine, pairs_with_outsiders, sorted_points, surviving
 from millrace.llm.graph import compact, components, name_rows
 from millrace.llm.near_dup import PAIRS_PER_TASK, _confirm_batches, _set_batches, shingle_sets
 from millrace.llm.words import mix, signed
@@ -69,7 +69,7 @@ def _point_batches(size: int, percent: int, shared):
                 n = np.diff(at)
                 row = np.repeat(np.arange(len(n)), n)
                 group = (values >> _U(7)).astype(np.int64)
-                packed = [pack(group[at[i] : at[i + 1]]) for i in range(len(n))]
+                own = [group[at[i] : at[i + 1]] for i in range(len(n))]
                 by = np.lexsort((values, rare[(values >> _U(64 - CELL_BITS)).astype(np.int64)], row))
                 many = np.where(n > 0, first_shingles(n, percent), 0)
                 first = by[np.arange(len(values)) - np.repeat(at[:-1], n) < np.repeat(many, n)]
@@ -86,10 +86,11 @@ def _point_batches(size: int, percent: int, shared):
                         pa.array(n.astype(np.int64)),
                         pa.array(signed(digest[0])),
                         pa.array(signed(digest[1])),
-                        pa.array(packed, pa.binary()),
+                        pa.array([pack(g) for g in own], pa.binary()),
+                        pa.array([pack_fine(g) for g in own], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(key_at), pa.array(signed(values[first]))),
                     ],
-                    names=["doc_id", "n_shingles", "d1", "d2", "counts", "keys"],
+                    names=["doc_id", "n_shingles", "d1", "d2", "counts", "fine", "keys"],
                 )
 
     return batches
@@ -154,7 +155,7 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85, page: int =
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rare = docs.sparkSession.sparkContext.broadcast(rarity(docs, size))
-    fields = "doc_id long, n_shingles long, d1 long, d2 long, counts binary, keys array<long>"
+    fields = "doc_id long, n_shingles long, d1 long, d2 long, counts binary, fine binary, keys array<long>"
     points = checkpointed(docs.mapInArrow(_point_batches(size, percent, rare), fields))
     rare.unpersist()
     rows = points.count()
@@ -176,6 +177,7 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85, page: int =
     shards = checkpointed(members.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key"))
     shared = compact(shared.join(shards, "key", "left_semi"), 20 * rows, 200_000)
     look = heads.select(F.col("doc_id").alias("id"), "n_shingles", "counts")
+    finer = heads.select(F.col("doc_id").alias("id"), "n_shingles", "fine")
 
     def laid(rows_of: DataFrame, whole: bool = False) -> DataFrame:
         return sorted_points(rows_of.join(look, "id"), whole)
@@ -187,7 +189,7 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85, page: int =
     if large.take(1):
         met = met.union(laid(large.select("key", "id", alone)).mapInArrow(_meet_batches(percent, page, many), pairs_type))
     met = checkpointed(met)
-    found_pairs = checkpointed(met.where("a IS NOT NULL").select("a", "b").distinct())
+    found_pairs = checkpointed(closer_pairs(met.where("a IS NOT NULL").select("a", "b").distinct(), finer, percent))
     crowded = checkpointed(met.where("a IS NULL").select("key").union(large.select("key")).distinct())
     held = shared.join(crowded, "key", "left_semi").select("key", "id")
     ids = found_pairs.select(F.col("a").alias("doc_id")).union(found_pairs.select("b")).union(held.select("id")).distinct()
@@ -211,7 +213,7 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85, page: int =
             return checkpointed(named.select("key", "id", F.coalesce("component", "id").alias("component")))
 
         def fresh(pairs: DataFrame) -> DataFrame:
-            return checkpointed(pairs.distinct().join(seen, ["a", "b"], "left_anti"))
+            return checkpointed(closer_pairs(pairs.distinct().join(seen, ["a", "b"], "left_anti"), finer, percent))
 
         for _ in range(TURNS):
             degrees = links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(F.count("*").alias("degree"))
@@ -228,7 +230,7 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85, page: int =
                 break
             links = links.union(more)
             found = components(links)
-        more = confirmed(fresh(pairs_with_outsiders(placed().join(look, "id"), percent, page)))
+        more = confirmed(fresh(pairs_with_outsiders(placed().join(look.join(finer.drop("n_shingles"), "id"), "id"), percent, page)))
         if more.take(1):
             found = components(links.union(more))
     members_of = classes.select(F.col("rep").alias("id"), *digest).join(found.withColumnRenamed("node", "id"), "id", "left")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.cluster import checkpointed
-from millrace.llm.count_points import pack, pairs_with_outsiders
+from millrace.llm.count_points import pack, pack_fine, pairs_with_outsiders
 from millrace.llm.graph import compact, components, name_rows
 from millrace.llm.words import SPACED, find_words, grams, mix, signed, slices, text_buffers
 
@@ -85,11 +85,13 @@ def _signature_batches(size: int, bands: int, rows: int):
         for batch in source:
             sizes, digests, sketches, keys = [], [], [], []
             counts: list[bytes] = []
+            fine: list[bytes | None] = []
             for _, values, at in shingle_sets(batch.column("text"), size):
                 n = np.diff(at)
                 full = np.flatnonzero(n)
                 group = (values >> _U(7)).astype(np.int64)
                 counts += [pack(group[at[i] : at[i + 1]]) for i in range(len(n))]
+                fine += [pack_fine(group[at[i] : at[i + 1]]) for i in range(len(n))]
                 digest = np.zeros((2, len(n)), _U)
                 sketch = np.zeros((len(n), SKETCH_BITS // 64), np.int64)
                 key = np.zeros((len(n), bands), _U)
@@ -128,8 +130,9 @@ def _signature_batches(size: int, bands: int, rows: int):
                     *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(len(_SKETCH))),
                     pa.ListArray.from_arrays(pa.array(list_at), pa.array(signed(key.ravel()))),
                     pa.array(counts, pa.binary()),
+                    pa.array(fine, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "d1", "d2", *_SKETCH, "bands", "counts"],
+                names=["doc_id", "n_shingles", "d1", "d2", *_SKETCH, "bands", "counts", "fine"],
             )
 
     return batches
@@ -139,7 +142,7 @@ def signatures(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS)
     """Set size, set digest, odd sketch, band keys and counts by group of every row of ``docs(doc_id, text)``."""
     fields = ["doc_id long", "n_shingles long", "d1 long", "d2 long", *(f"{s} long" for s in _SKETCH)]
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _signature_batches(size, bands, rows), ", ".join(fields) + ", bands array<long>, counts binary"
+        _signature_batches(size, bands, rows), ", ".join(fields) + ", bands array<long>, counts binary, fine binary"
     )
 
 
@@ -291,7 +294,7 @@ def near_duplicates(
             break
         links = links.union(more)
         found = components(links)
-    points = heads.select(F.col("doc_id").alias("id"), "n_shingles", "counts")
+    points = heads.select(F.col("doc_id").alias("id"), "n_shingles", "counts", "fine")
     more = confirmed(pairs_with_outsiders(labelled(open_rows()).join(points, "id"), percent))
     if more.take(1):
         found = components(links.union(more))

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -280,6 +280,23 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES, k: int =
     return index
 
 
+def toxicity_rate(spark: SparkSession, index: Index, text: str = "text") -> Column:
+    """The score of ``score_toxicity`` as a column, without evidence: only the text goes to the workers, only a number comes back."""
+    shared = spark.sparkContext.broadcast(index)
+
+    def rates(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model: Index = shared.value
+        for column in batches:
+            data, offsets = text_buffers(column)
+            scores = []
+            for begin, end in slices(offsets, SLICE_BYTES):
+                v = vectors(data, offsets[begin : end + 1], model.vocabulary, model.idf)
+                scores += [model.score(v.term[a:b], v.weight[a:b])[0] for a, b in zip(v.at[:-1], v.at[1:], strict=True)]
+            yield pa.array(scores, pa.float64())
+
+    return F.arrow_udf(rates, T.DoubleType())(F.col(text))
+
+
 def score_toxicity(docs: DataFrame, index: Index, carry: Sequence[str] = ()) -> DataFrame:
     """``(doc_id, score, predicted, evidence)`` per row of ``docs(doc_id, text)``.
 

@@ -4,7 +4,7 @@ import numpy as np
 from llm_cases import EDGES, documents, prose
 from test_llm_near_dup import brute, edited, result
 
-from millrace.llm.count_points import Tree, groups_of, least_overlap, pack, surviving, unpack
+from millrace.llm.count_points import Tree, groups_of, least_overlap, pack, pack_fine, surviving, unpack
 from millrace.llm.count_tree import first_shingles, similar_sets
 
 
@@ -38,7 +38,7 @@ def test_tree_keeps_every_pair_and_leaves_most_nodes():
     sets += [set(range(20_000, 20_000 + n)) for n in (900, 950, 2000, 2100)]  # counted in more groups
     blobs = [pack(np.array(sorted(s))) for s in sets]
     sizes = np.array([len(s) for s in sets])
-    tree = Tree(blobs, sizes, np.array([0, 100, len(sets)]))
+    tree = Tree(blobs, sizes, np.array([0, 100, len(sets)]), [pack_fine(np.array(sorted(s))) for s in sets])
     a, b = (v.ravel() for v in np.meshgrid(np.arange(len(tree.length)), np.arange(len(tree.length))))
     i, j, ratio = surviving(tree, tree, a[a <= b], b[a <= b], 85)
     got = {frozenset(p) for p in zip(tree.rows[i].tolist(), tree.rows[j].tolist(), strict=True)}
@@ -60,4 +60,4 @@ def test_bounds_are_exact():
 def test_counts_fold_into_fewer_groups():
     assert [groups_of(n) for n in (0, 1, 128, 129, 256, 257, 5000, 10**7)] == [64, 64, 64, 128, 128, 256, 4096, 4096]
     for values in (np.arange(700) * 3, np.zeros(700, np.int64)):  # the second needs wide counts
-        assert unpack(pack(values), 700, 64).tolist() == np.bincount(values & 63, minlength=64).tolist()
+        assert unpack(pack_fine(values), 700, 64).tolist() == np.bincount(values & 63, minlength=64).tolist()

@@ -13,7 +13,7 @@ from millrace.llm.near_dup import near_duplicates
 from millrace.llm.packing import pack
 from millrace.llm.quality import quality_verdicts
 from millrace.llm.queries import fold, table, vocabulary
-from millrace.llm.toxicity import fit, score_toxicity
+from millrace.llm.toxicity import fit, toxicity_rate
 
 
 def aside(docs: DataFrame) -> DataFrame:
@@ -23,10 +23,12 @@ def aside(docs: DataFrame) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted as toxic go; the classifier learns as the query of the operator does."""
+    """Documents predicted as toxic go; the classifier learns as the query of the operator does.
+
+    A null or empty text has the rate of examples without terms, so it stays; the other columns do not matter.
+    """
     index = fit(docs, table(spark, sf_dir, "labels").where(fold() != 0))
-    rows = aside(docs)
-    return score_toxicity(rows, index, carry=rows.columns).where("predicted = 0").select(*rows.columns).toDF(*docs.columns)
+    return docs.where(toxicity_rate(spark, index) < 0.5)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,10 +38,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, a repeated row once; rows without an id stay."""
+    """One document of each group of near-duplicates stays; rows without an id stay.
+
+    Of several rows with one id that stays, the first by their other columns in order does.
+    """
     kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.union(docs.where("doc_id IS NULL")).select(*docs.columns)
+    others = [c for c in docs.columns if c != "doc_id"]
+    first = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*others)).alias("_first"))
+    named = first.select(*(F.col(c) if c == "doc_id" else F.col(f"_first.{c}").alias(c) for c in docs.columns))
+    return named.union(docs.where("doc_id IS NULL"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +57,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents and their places in sequences."""
+    """Pieces of the documents and their places in sequences; a null text is a piece of the end id alone."""
     return pack(docs, vocabulary())
 
 

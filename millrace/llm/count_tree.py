@@ -8,8 +8,9 @@ Documents with equal sets are one point. Trees are built per shard: a shard hold
 certain shingle among their first ones (rarest cells first, so that two linked sets always meet in one), and
 shards with equal members are one. A small shard is one page of nodes; a large one is cut into pages by
 size. Surviving pairs are checked on the full sets. A page with many surviving pairs first gives each
-point its best partner and the page's centre; later turns leave out pairs inside one component, join the centres
-of components, and at last compare all points outside a shard's largest component with the others.
+point its best partner and the page's centre; the others are held back, and only those that then join two components are
+checked. In large shards the centres of components meet in further turns, and at last all points outside a shard's
+largest component meet the others, page by page.
 """
 
 from __future__ import annotations
@@ -97,11 +98,11 @@ def _point_batches(size: int, percent: int, shared):
 
 
 def _meet_batches(percent: int, page_size: int, many: int):
-    """Pairs of each page's points that may link: ``(key, a, b)``; a page that holds back some gives a row without ids."""
+    """Pairs of each page's points that may link: ``(a, b, later)``; ``later`` marks what a page with many pairs holds back."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, pages in grouped(source, page_size):
-            ids, keys = batch.column("id").to_numpy(), batch.column("key").to_numpy()
+            ids = batch.column("id").to_numpy()
             part = batch.column("component").to_numpy()
             tree = Tree(batch.column("counts").to_pylist(), batch.column("n_shingles").to_numpy(), pages)
             firsts = np.array(tree.first)
@@ -129,17 +130,8 @@ def _meet_batches(percent: int, page_size: int, many: int):
                 for side in (i, j):
                     _, best = np.unique(side[order], return_index=True)
                     kept[order[best]] = True
-            held = np.flatnonzero(crowded)
-            a, b = np.minimum(ids[i[kept]], ids[j[kept]]), np.maximum(ids[i[kept]], ids[j[kept]])
-            none = pa.nulls(len(held), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([keys[i[kept]], keys[pages[held]]])),
-                    pa.concat_arrays([pa.array(a), none]),
-                    pa.concat_arrays([pa.array(b), none]),
-                ],
-                names=["key", "a", "b"],
-            )
+            low, high = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
+            yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high), pa.array(~kept)], names=["a", "b", "later"])
 
     return batches
 
@@ -184,15 +176,17 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85, page: int =
 
     alone = F.col("id").alias("component")
     small, large = shared.where(F.col("n") <= page), checkpointed(shared.where(F.col("n") > page))
-    pairs_type = "key long, a long, b long"
-    met = laid(small.select("key", "id", alone), True).mapInArrow(_meet_batches(percent, page, many), pairs_type)
+    pairs_type = "a long, b long, later boolean"
+    # Those held back are at most half a page for each point.
+    met = checkpointed(laid(small.select("key", "id", alone), True).mapInArrow(_meet_batches(percent, page, many), pairs_type))
+    first, later = met.where("NOT later").select("a", "b"), met.where("later").select("a", "b").distinct()
     if large.take(1):
-        met = met.union(laid(large.select("key", "id", alone)).mapInArrow(_meet_batches(percent, page, many), pairs_type))
-    met = checkpointed(met)
-    found_pairs = checkpointed(closer_pairs(met.where("a IS NOT NULL").select("a", "b").distinct(), finer, percent))
-    crowded = checkpointed(met.where("a IS NULL").select("key").union(large.select("key")).distinct())
-    held = shared.join(crowded, "key", "left_semi").select("key", "id")
-    ids = found_pairs.select(F.col("a").alias("doc_id")).union(found_pairs.select("b")).union(held.select("id")).distinct()
+        most = laid(large.select("key", "id", alone)).mapInArrow(_meet_batches(percent, page, many), pairs_type)
+        first = first.union(most.where("NOT later").select("a", "b"))  # the pages of large shards meet once more below
+    found_pairs = checkpointed(closer_pairs(first.distinct(), finer, percent))
+    held = large.select("key", "id")
+    narrow = found_pairs.union(later)
+    ids = narrow.select(F.col("a").alias("doc_id")).union(narrow.select("b")).union(held.select("id")).distinct()
     texts = docs.where("doc_id IS NOT NULL").join(checkpointed(ids), "doc_id", "left_semi")
     sets = compact(texts.mapInArrow(_set_batches(size), "doc_id long, shingles binary"), rows, 2_000)
 
@@ -206,15 +200,16 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85, page: int =
     links = confirmed(found_pairs)
     found = components(links)
     seen = found_pairs
-    if crowded.take(1):
+
+    def fresh(pairs: DataFrame) -> DataFrame:
+        return checkpointed(closer_pairs(pairs.distinct().join(seen, ["a", "b"], "left_anti"), finer, percent))
+
+    if large.take(1):
 
         def placed() -> DataFrame:
             named = held.join(found.withColumnRenamed("node", "id"), "id", "left")
             return checkpointed(named.select("key", "id", F.coalesce("component", "id").alias("component")))
 
-        def fresh(pairs: DataFrame) -> DataFrame:
-            return checkpointed(closer_pairs(pairs.distinct().join(seen, ["a", "b"], "left_anti"), finer, percent))
-
         for _ in range(TURNS):
             degrees = links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(F.count("*").alias("degree"))
             ranked = placed().join(degrees, "id", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
@@ -222,7 +217,7 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85, page: int =
             centres = checkpointed(ranked.groupBy("key", "component").agg(centre).select("key", "id", "component"))
             several = centres.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
             open_ = laid(centres.join(checkpointed(several), "key", "left_semi"))
-            near = open_.mapInArrow(_meet_batches(percent, page, many), pairs_type).where("a IS NOT NULL").select("a", "b")
+            near = open_.mapInArrow(_meet_batches(percent, page, many), pairs_type).where("NOT later").select("a", "b")
             near = fresh(near)
             more = confirmed(near)
             seen = seen.union(near)
@@ -230,9 +225,18 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85, page: int =
                 break
             links = links.union(more)
             found = components(links)
-        more = confirmed(fresh(pairs_with_outsiders(placed().join(look.join(finer.drop("n_shingles"), "id"), "id"), percent, page)))
+        near = fresh(pairs_with_outsiders(placed().join(look.join(finer.drop("n_shingles"), "id"), "id"), percent, page))
+        more = confirmed(near)
+        seen = seen.union(near)
         if more.take(1):
-            found = components(links.union(more))
+            links = links.union(more)
+            found = components(links)
+    x, y = (found.select(F.col("node").alias(c), F.col("component").alias(f"in_{c}")) for c in ("a", "b"))
+    apart = later.join(x, "a", "left").join(y, "b", "left")
+    apart = apart.where(F.coalesce("in_a", "a") != F.coalesce("in_b", "b")).select("a", "b")
+    more = confirmed(fresh(apart))
+    if more.take(1):
+        found = components(links.union(more))
     members_of = classes.select(F.col("rep").alias("id"), *digest).join(found.withColumnRenamed("node", "id"), "id", "left")
     members_of = members_of.select(*digest, F.coalesce("component", "id").alias("component"))
     return name_rows(points, known, members_of, digest, rows).select("doc_id", "n_shingles", "component_id")

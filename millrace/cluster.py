@@ -39,11 +39,26 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/millrace/{app}/{name}-{uuid.uuid4().hex}"
 
 
+def _on_store(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where, store = _on_store(spark, path)
+    return store.exists(where)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder; nothing happens if there is none."""
+    where, store = _on_store(spark, path)
+    store.delete(where, True)
+
+
 def drop_shared(spark: SparkSession) -> None:
     """Delete the tables this application wrote to the shared folder; call it when the job is done."""
     app = spark.sparkContext.applicationId
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark).rstrip('/')}/millrace/{app}")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    drop_path(spark, f"{shared_root(spark).rstrip('/')}/millrace/{app}")
     for key in [k for k in _rendered if k[0] == app]:
         del _rendered[key]
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -124,22 +126,25 @@ def q_stream_source(spark, sf_dir):
     return spark.read.parquet(f"{out}/rows").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-def _run(spark: SparkSession, sf_dir: str, name: str, job) -> str:
+def _run(spark: SparkSession, sf_dir: str, name: str, job, close) -> str:
     out = shared_path(spark, name)
     statuses = _status_stream(spark, sf_dir)
     job(statuses, f"{out}/out", f"{out}/state", WINDOW, SLIDE, DELAY, {"availableNow": True}).awaitTermination()
+    close(f"{out}/out", f"{out}/state")
     return f"{out}/out"
 
 
 @query
 def q_retweet_stream(spark, sf_dir):
-    rows = spark.read.parquet(_run(spark, sf_dir, "retweet_stream", stream.retweet_stream)).drop("batch")
+    out = _run(spark, sf_dir, "retweet_stream", stream.retweet_stream, partial(stream.close_stream, spark))
+    rows = spark.read.parquet(out).drop("batch")
     return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
 @query
 def q_retweet_stream_log(spark, sf_dir):
-    out = _run(spark, sf_dir, "retweet_stream_log", stream.retweet_stream_log)
+    close = partial(stream.close_stream_log, spark, window=WINDOW)
+    out = _run(spark, sf_dir, "retweet_stream_log", stream.retweet_stream_log, close)
     return spark.read.text(f"{out}/log").select("value")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from millrace.functions.languages import LANGUAGE_NAMES
 from millrace.plans.tables import LIST_SIZE
+from millrace.sources.retweet_log import LOG_HEADER
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -108,7 +109,6 @@ SELECT window_end,
 FROM windows"""
 
 FIRST_END = "(SELECT date_trunc('hour', min(ts)) + INTERVAL 1 HOUR FROM seen)"
-CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM seen)"
 LOG_LINE = f"""'(' || date_diff('second', {FIRST_END}, window_end) || '),' || language || ',' || language_code || ','
   || total_lang_count || ',' || id || ',' || max_count || ',' || min_count || ',' || count || ',' || text AS value"""
 WARM = f"window_end >= {FIRST_END} + INTERVAL 12 HOUR"
@@ -129,13 +129,13 @@ ORACLE_SQL["stream_source"] = f"""
 SELECT ts, event_type <> 'error' AS is_retweet, user_id AS id, {K} AS retweet_count, event_type AS lang,
        event_type AS text
 FROM events"""
-# All events arrive in one batch, so nothing is late; windows past the watermark stay open.
-ORACLE_SQL["retweet_stream"] = f"WITH {NAMES}, {WINDOWS} SELECT * FROM windows WHERE window_end <= {CLOSED}"
+# All events arrive in one batch, so nothing is late; windows open at the end are closed after the run.
+ORACLE_SQL["retweet_stream"] = f"WITH {NAMES}, {WINDOWS} SELECT * FROM windows"
 ORACLE_SQL["retweet_stream_log"] = f"""
 WITH {NAMES}, {WINDOWS}
-SELECT 'Seconds,Language,Language-code,TotalLangCount,ID,MaxCount,MinCount,Count,Text' AS value
+SELECT '{LOG_HEADER}' AS value
 UNION ALL
-SELECT {LOG_LINE} FROM windows WHERE {WARM} AND window_end <= {CLOSED}"""
+SELECT {LOG_LINE} FROM windows WHERE {WARM}"""
 
 # People and movies --------------------------------------------------------
 

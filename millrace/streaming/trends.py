@@ -1,11 +1,19 @@
-"""The trend job as a stream: windows close by watermark, each batch logs closed windows."""
+"""The trend job as a stream: windows close by watermark, each batch logs closed windows.
+
+When the input has ended, the windows that no later row will close are read from the state of the stopped query and
+written as one more batch (``close_stream``, ``close_stream_log``).
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.cluster import checkpointed, drop_path, path_exists
 from millrace.operators.trends import (
     add_growth,
     build_windows,
@@ -18,6 +26,9 @@ from millrace.operators.trends import (
 )
 from millrace.sources.retweet_log import LOG_HEADER
 
+OPEN_BATCH = -2  # folder of the windows that were open at the end
+HEADER_BATCH = -1
+
 
 def windowed_stream(statuses: DataFrame, window: str, slide: str, delay: str, mode: str = "floor_one") -> DataFrame:
     """Streaming form of the windowed counts; the language totals join per batch.
@@ -47,6 +58,72 @@ def _start(closed: DataFrame, write_batch, checkpoint: str, trigger: dict[str, o
     )
 
 
+def open_windows(spark: SparkSession, checkpoint: str, mode: str = "floor_one") -> DataFrame | None:
+    """Windows in the state of a stopped query, as ``windowed_stream`` gives closed ones; null if it never ran a batch.
+
+    Closed windows leave the state with the batch that gives them, so no window is in both.
+    """
+    if not path_exists(spark, f"{checkpoint}/state/0"):
+        return None
+    state = spark.read.format("statestore").load(checkpoint)
+    # The buffers of the aggregates in their order; the state names them by function.
+    names = ("max_count", "min_count", "first_seen")
+    buffers = state.schema["value"].dataType.fields
+    value = T.StructType([T.StructField(n, b.dataType) for n, b in zip(names, buffers, strict=True)])
+    rows = state.select("key", F.col("value").cast(value).alias("v")).select(
+        F.col("key.window.start").alias("window_start"),
+        F.col("key.window.end").alias("window_end"),
+        F.col("key.id").alias("id"),
+        "v.max_count",
+        "v.min_count",
+        F.col("v.first_seen.lang").alias("language_code"),
+        F.col("v.first_seen.text").alias("text"),
+    )
+    return add_growth(rows, mode)
+
+
+def close_stream(spark: SparkSession, out: str, checkpoint: str) -> None:
+    """After ``retweet_stream`` has stopped: write the windows still open. Repeating it changes nothing."""
+    rows = open_windows(spark, checkpoint)
+    if rows is not None:
+        _write_windows(checkpointed(rows), out, OPEN_BATCH)
+
+
+def close_stream_log(spark: SparkSession, out: str, checkpoint: str, window: str = "60 seconds") -> None:
+    """After ``retweet_stream_log`` has stopped: log the windows still open. Repeating it changes nothing."""
+    rows = open_windows(spark, checkpoint)
+    if rows is not None:
+        _write_log(checkpointed(rows), out, OPEN_BATCH, window)
+
+
+def _write_windows(batch: DataFrame, out: str, batch_id: int) -> None:
+    rows = with_language_totals(batch, language_totals(batch)).repartitionByRange("window_end", *window_order())
+    rows.sortWithinPartitions("window_end", *window_order()).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+
+def _first_end(batch: DataFrame, out: str) -> datetime | None:
+    """End of the first window, kept beside the log from the first batch that has one; the header is written then."""
+    spark, state = batch.sparkSession, f"{out}/_first_end"
+    if path_exists(spark, f"{state}/_SUCCESS"):
+        return spark.read.schema("first_end timestamp").parquet(state).first()["first_end"]
+    found = batch.agg(F.min("window_end").alias("first_end")).first()["first_end"]
+    if found is not None:
+        header = spark.createDataFrame([(LOG_HEADER,)], "value string")
+        header.write.mode("overwrite").text(f"{out}/log/batch={HEADER_BATCH}")
+        spark.createDataFrame([(found,)], "first_end timestamp").write.mode("overwrite").parquet(state)
+    return found
+
+
+def _write_log(batch: DataFrame, out: str, batch_id: int, window: str) -> None:
+    start = _first_end(batch, out)
+    if start is None:
+        return
+    logged = skip_warmup(with_language_totals(batch, language_totals(batch)), F.lit(start), window)
+    order = ["window_end", *window_order()]
+    lines = log_lines(logged.repartitionByRange(*order).sortWithinPartitions(*order)).select("value")
+    lines.write.mode("overwrite").text(f"{out}/log/batch={batch_id}")
+
+
 def retweet_stream(
     statuses: DataFrame,
     out: str,
@@ -60,14 +137,12 @@ def retweet_stream(
 
     A batch holds closed windows whole, so totals, join and order are ordinary
     batch work. Each batch overwrites its own folder: a repeated batch changes
-    nothing.
+    nothing. A restart takes back what ``close_stream`` wrote, as those windows are open again.
     """
+    drop_path(statuses.sparkSession, f"{out}/batch={OPEN_BATCH}")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = with_language_totals(batch, language_totals(batch)).repartitionByRange("window_end", *window_order())
-        rows.sortWithinPartitions("window_end", *window_order()).write.mode("overwrite").parquet(
-            f"{out}/batch={batch_id}"
-        )
+        _write_windows(batch, out, batch_id)
 
     closed = windowed_stream(statuses, window, slide, delay)
     return _start(closed, write_batch, checkpoint, trigger or {"processingTime": "1 second"})
@@ -86,32 +161,13 @@ def retweet_stream_log(
 
     The end of the first window, from which seconds count, is the smallest one of
     the first batch that closes any. It is kept beside the log, so a restarted job
-    counts on from the same moment. The header is written then, as batch -1.
+    counts on from the same moment. The header is written then, as batch -1. A restart takes back
+    what ``close_stream_log`` wrote.
     """
-    state = f"{out}/_first_end"
-
-    def first_end(batch: DataFrame):
-        spark = batch.sparkSession
-        try:
-            return spark.read.schema("first_end timestamp").parquet(state).first()["first_end"]
-        except Exception as error:  # nothing kept yet
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-        found = batch.agg(F.min("window_end").alias("first_end")).first()["first_end"]
-        if found is not None:
-            header = spark.createDataFrame([(LOG_HEADER,)], "value string")
-            header.write.mode("overwrite").text(f"{out}/log/batch=-1")
-            spark.createDataFrame([(found,)], "first_end timestamp").write.mode("overwrite").parquet(state)
-        return found
+    drop_path(statuses.sparkSession, f"{out}/log/batch={OPEN_BATCH}")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        start = first_end(batch)
-        if start is None:
-            return
-        logged = skip_warmup(with_language_totals(batch, language_totals(batch)), F.lit(start), window)
-        order = ["window_end", *window_order()]
-        lines = log_lines(logged.repartitionByRange(*order).sortWithinPartitions(*order)).select("value")
-        lines.write.mode("overwrite").text(f"{out}/log/batch={batch_id}")
+        _write_log(batch, out, batch_id, window)
 
     closed = windowed_stream(statuses, window, slide, delay)
     return _start(closed, write_batch, checkpoint, trigger or {"processingTime": "1 second"})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import trends
 from millrace.sources.retweet_log import LOG_HEADER
 from millrace.sources.statuses import stream_source
-from millrace.streaming.trends import retweet_stream, retweet_stream_log
+from millrace.streaming.trends import close_stream, close_stream_log, retweet_stream, retweet_stream_log
 
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "ts timestamp_ntz, is_retweet boolean, id bigint, retweet_count int, lang string, text string"
@@ -143,6 +143,47 @@ def test_stream_equals_batch_on_closed_windows(spark, tmp_path, stream_folder):
     assert got == [w for w in brute_windows(items, 60, 5) if w[0] <= closed]
 
 
+def test_closed_stream_equals_batch(spark, tmp_path, stream_folder):
+    items, folder = stream_folder
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+
+    def run():
+        retweet_stream(open_statuses(spark, folder), out, state, "60 seconds", "5 seconds", "5 seconds", {"availableNow": True}).awaitTermination()
+
+    def written():
+        return collect_windows(spark.read.parquet(out).withColumn("window_end", F.col("window_end").cast("timestamp_ntz")))
+
+    close_stream(spark, out, state)  # never ran
+    run()
+    for _ in range(2):  # a repeated closing changes nothing
+        close_stream(spark, out, state)
+        assert written() == brute_windows(items, 60, 5)
+    # More input: windows closed too early are open again, and closed with all their rows.
+    later = [(s + 590, *rest) for s, *rest in random_items(4, 100, 200)]
+    statuses(spark, later).coalesce(1).write.mode("append").parquet(folder)
+    run()
+    close_stream(spark, out, state)
+    assert written() == brute_windows(items + later, 60, 5)
+
+
+def test_log_of_a_stream_in_which_nothing_closed(spark, tmp_path):
+    items, folder = [(s, *rest) for s, *rest in random_items(6, 50, 3)], str(tmp_path / "in")
+    statuses(spark, items).coalesce(1).write.parquet(folder)
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    args = (out, state, "10 seconds", "5 seconds", "60 seconds", {"availableNow": True})
+    retweet_stream_log(open_statuses(spark, folder), *args).awaitTermination()
+    close_stream_log(spark, out, state, "10 seconds")
+    lines = [r.value for r in spark.read.text(f"{out}/log").collect()]
+    wanted = brute_windows(items, 10, 5)
+    first_end = min(w[0] for w in wanted)
+    want = [
+        f"({end - first_end}),{lang},{lang},{total},{post},{top},{low},{count},{text}"
+        for end, post, lang, text, top, low, count, total in wanted
+        if first_end + 10 <= end
+    ]
+    assert sorted(lines) == sorted([LOG_HEADER, *want])
+
+
 def test_log_survives_restart(spark, tmp_path, stream_folder):
     items, folder = stream_folder
     out, state = str(tmp_path / "out"), str(tmp_path / "state")

@@ -61,6 +61,32 @@ def adjacency_sizes(edges: DataFrame) -> DataFrame:
     )
 
 
+def neighbour_counts(edges: DataFrame, exact_entries: int = 10_000, sketch_bits: int = 14) -> DataFrame:
+    """Per actor: how many different people share a movie with them, ``(actor_id, neighbours, exact)``. Runs jobs.
+
+    An actor whose adjacency list has at most ``exact_entries`` entries is counted exactly, by that many rows at most.
+    For others the casts are mergeable distinct-count sketches, one a movie, united per actor, so no list is
+    written out; their relative error is about 1.04 / 2^(``sketch_bits`` / 2). People without neighbours are left out.
+    """
+    plain = checkpointed(edges.select("actor_id", "movie").distinct())
+    sizes = checkpointed(adjacency_sizes(plain).select("actor_id", (F.col("neighbour_entries") <= exact_entries).alias("exact")))
+    few = plain.join(small_side(sizes.where("exact").select("actor_id")), "actor_id", "left_semi")
+    # Only movies that such an actor is in; their casts are small, too.
+    casts = plain.join(small_side(few.select("movie").distinct()), "movie", "left_semi").withColumnRenamed("actor_id", "other")
+    met = few.join(checkpointed(casts), "movie").where("actor_id <> other")
+    counted = met.select("actor_id", "other").distinct().groupBy("actor_id").agg(F.count("*").alias("neighbours"))
+    many = sizes.where("NOT exact").select("actor_id")
+    if not many.take(1):
+        return counted.withColumn("exact", F.lit(True))
+    wide = plain.join(small_side(many), "actor_id", "left_semi")
+    held = plain.join(small_side(wide.select("movie").distinct()), "movie", "left_semi")
+    sketches = small_side(held.groupBy("movie").agg(F.hll_sketch_agg("actor_id", sketch_bits).alias("people")))
+    united = wide.join(sketches, "movie").groupBy("actor_id").agg(F.hll_union_agg("people").alias("people"))
+    # The actor is in every cast.
+    estimated = united.select("actor_id", F.greatest(F.hll_sketch_estimate("people") - 1, F.lit(1)).alias("neighbours"))
+    return counted.withColumn("exact", F.lit(True)).union(estimated.withColumn("exact", F.lit(False)))
+
+
 def coactors(edges: DataFrame, of: DataFrame) -> DataFrame:
     """Distinct people who share a movie with someone in ``of``, themselves excluded. Runs a job."""
     movies = small_side(edges.join(of.select("actor_id"), "actor_id", "left_semi").select("movie").distinct())

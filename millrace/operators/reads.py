@@ -88,39 +88,38 @@ def mark_duplicates(reads: DataFrame) -> DataFrame:
 
     Best = highest sum of good qualities, then name, then the rest of the row; of
     exact copies one counts as best. A read without a 5' position is no duplicate. Reads are written
-    with a row number first (a job). Keys and scores then meet in aggregates that combine before they
-    move: the best score of a key, the smallest name that has it, the first row of those. So no key is hot,
-    and whole rows travel once, by their number, to take the mark.
+    with a row number, key and score first (a job), so qualities and CIGAR are read once. One aggregate of narrow
+    rows, combined before it moves, then finds each key's best score, name and row; only keys in which several rows
+    have that score and name compare the rest of those rows. Marks join back by row number, so no key is hot.
     """
     strand = has_flag(REVERSE)
     key = ["ref_index", "_strand", "_five_prime", "rnext", "pnext"]
     rest = [c for c in reads.columns if c not in ("qname", "ref_index", "rnext", "pnext")]
-    placed = checkpointed(reads.withColumn("_row", F.monotonically_increasing_id()))
-    keyed = placed.select(
-        "*",
-        strand.alias("_strand"),
-        unclipped_five_prime(F.col("pos"), F.col("cigar"), strand).alias("_five_prime"),
-        F.coalesce(quality_score(F.col("qual")), F.lit(-1)).alias("_score"),
-    ).where("_five_prime IS NOT NULL")
-    narrow = keyed.select(*key, "_score", "qname", "_row")
-
-    def same(side: DataFrame, columns: list[str]) -> Column:
-        return reduce(and_, (F.col(f"a.{c}").eqNullSafe(side[c]) for c in columns))
-
-    def only(rows: DataFrame, best: DataFrame, columns: list[str]) -> DataFrame:
-        """Rows that agree with a written table of one row per key."""
-        return rows.alias("a").join(best.alias("b"), same(best, columns), "left_semi")
-
-    scores = checkpointed(narrow.groupBy(*key).agg(F.max("_score").alias("_score")))
-    highest = only(narrow, scores, [*key, "_score"])
-    names = checkpointed(highest.groupBy(*key, "_score").agg(F.min("qname").alias("qname")))
-    ties = only(keyed, names, [*key, "_score", "qname"])
-    best = checkpointed(ties.groupBy(*key).agg(F.min(F.struct(*rest, "_row")).alias("best")).select("best._row"))
-    kept = best.withColumn("_best", F.lit(True))
-    never = unclipped_five_prime(F.col("pos"), F.col("cigar"), strand).isNull()
-    return placed.join(kept, "_row", "left").select(
-        *reads.columns, (~never & F.col("_best").isNull()).alias("is_duplicate")
+    placed = checkpointed(
+        reads.select(
+            "*",
+            F.monotonically_increasing_id().alias("_row"),
+            strand.alias("_strand"),
+            unclipped_five_prime(F.col("pos"), F.col("cigar"), strand).alias("_five_prime"),
+            (-F.coalesce(quality_score(F.col("qual")), F.lit(-1))).alias("_lack"),
+        )
     )
+    keyed = placed.where("_five_prime IS NOT NULL")
+    # The smallest and the largest row number of the best score and name: the same, if one row has them.
+    first = F.min(F.struct("_lack", "qname", "_row")).alias("first")
+    last = F.min(F.struct("_lack", "qname", (-F.col("_row")).alias("_row"))).alias("last")
+    tops = checkpointed(
+        keyed.groupBy(*key).agg(first, last).select(*key, "first.*", (F.col("first._row") != -F.col("last._row")).alias("_shared"))
+    )
+    best = tops.where("NOT _shared").select("_row")
+    shared = tops.where("_shared").drop("_row", "_shared")
+    if shared.take(1):
+        side = small_side(shared)
+        same = reduce(and_, (F.col(f"a.{c}").eqNullSafe(side[c]) for c in side.columns))
+        ties = keyed.alias("a").join(side, same, "left_semi")
+        best = best.union(ties.groupBy(*key).agg(F.min(F.struct(*rest, "_row")).alias("best")).select("best._row"))
+    marked = placed.join(small_side(best.withColumn("_best", F.lit(True))), "_row", "left")
+    return marked.select(*reads.columns, (F.col("_five_prime").isNotNull() & F.col("_best").isNull()).alias("is_duplicate"))
 
 
 def duplicate_metrics(marked: DataFrame) -> DataFrame:

@@ -213,6 +213,11 @@ def q_adjacency(spark, sf_dir):
     return graph.adjacency_sizes(_edge_table(spark, sf_dir))
 
 
+@query
+def q_neighbours(spark, sf_dir):
+    return graph.neighbour_counts(_edge_table(spark, sf_dir))
+
+
 def _distances(spark: SparkSession, sf_dir: str, edges: DataFrame) -> DataFrame:
     return graph.separation(edges, graph.seed_lookup(t.people(spark, sf_dir), t.SEED_NAME))
 

@@ -204,6 +204,11 @@ SELECT a.actor_id, count(DISTINCT a.movie) AS movies,
 FROM edges a JOIN edges b USING (movie) GROUP BY a.actor_id
 HAVING count(*) FILTER (WHERE b.actor_id <> a.actor_id) > 0"""
 
+ORACLE_SQL["neighbours"] = f"""
+WITH {EDGES}
+SELECT a.actor_id, count(DISTINCT b.actor_id) AS neighbours, true AS exact
+FROM edges a JOIN edges b USING (movie) WHERE a.actor_id <> b.actor_id GROUP BY a.actor_id"""
+
 SEPARATION = f"""{PEOPLE}, {EDGES},
 walk(actor_id, depth) AS (
   SELECT actor_id, 0 FROM people WHERE name = 'Customer#000000000'

@@ -134,3 +134,24 @@ def test_hot_movie_is_split(spark):
         cluster.BROADCAST_ROWS = limit
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_neighbours_exact_and_by_sketch(spark):
+    rng = random.Random(12)
+    rows = [(rng.randrange(3000), f"m{rng.randrange(60)}") for _ in range(6000)]
+    rows += rows[:200] + [(9001, "alone"), (9002, "pair"), (9003, "pair")]
+    casts = {}
+    for actor, movie in rows:
+        casts.setdefault(movie, set()).add(actor)
+    near = {}
+    for actor, movie in rows:
+        near.setdefault(actor, set()).update(casts[movie] - {actor})
+    want = {a: len(n) for a, n in near.items() if n}
+    edges = spark.createDataFrame(rows, "actor_id long, movie string")
+    got = {r.actor_id: (r.neighbours, r.exact) for r in graph.neighbour_counts(edges).collect()}
+    assert got == {a: (n, True) for a, n in want.items()}
+    got = {r.actor_id: (r.neighbours, r.exact) for r in graph.neighbour_counts(edges, exact_entries=1).collect()}
+    assert got.keys() == want.keys() and got[9002] == (1, True)
+    assert all(abs(n - want[a]) <= 0.03 * want[a] for a, (n, _) in got.items())
+    assert sum(not exact for _, exact in got.values()) > 2000
+    assert graph.neighbour_counts(edges.limit(0)).count() == 0

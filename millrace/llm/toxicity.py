@@ -1,10 +1,10 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over an inverted index.
+"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 The labelled examples are a bounded sample. Terms are words and the first bytes of longer words; the
-vocabulary keeps terms whose presence differs between the classes by a chi-squared test with a fixed
-bound, and their document frequencies are counted over all documents. A query adds the postings of
-all its terms to one cosine per example, so the neighbours are exact; terms that a good part of
-the examples hold have a whole column each, which is added at once.
+vocabulary keeps all terms that at least three examples hold and whose presence differs between the classes by a
+chi-squared test with a fixed bound, and their document frequencies are counted over all documents. Examples lie in
+blocks of like ones; a query opens only the blocks whose bound reaches its k-th nearest example, so the
+neighbours are exact.
 """
 
 from __future__ import annotations
@@ -22,11 +22,14 @@ from millrace.cluster import checkpointed
 from millrace.llm.words import ALNUM, SLICE_BYTES, find_words, fingerprints, mix, signed, slices, text_buffers
 
 MAX_EXAMPLES = 20_000  # labelled rows the classifier is fitted on: those with the smallest hashed ids
-MAX_TERMS = 4_000  # vocabulary: the terms with the largest chi-squared value
-MIN_CHI2 = 20.0
+MIN_CHI2 = 20.0  # vocabulary: all terms in three or more examples whose chi-squared value is as large
 PREFIXES = (3, 4, 5, 6)  # bytes
 NEIGHBOURS = 25
-COLUMN = 0.25  # share of the examples from which a term is kept as a whole column
+BLOCK = 32  # examples
+LEADING = 4  # heaviest terms that order the examples
+ALLOWANCE = 1e-12  # half a unit of the twelfth digit, and the last bits of sums
+EVIDENCE = 5
+MEMO_BYTES = 32 << 20  # of a worker
 PRIOR = 1.0  # votes of the examples as a whole
 
 _U = np.uint64
@@ -117,50 +120,98 @@ def vectors(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray, idf:
     return Vectors(np.searchsorted(row, np.arange(n + 1)), term, weight / norm[row])
 
 
+def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges ``start .. start + size - 1``, one range after the other."""
+    before = np.cumsum(size) - size
+    return np.repeat(start - before, size) + np.arange(int(size.sum()))
+
+
+def _alike(examples: Vectors, toxic: np.ndarray) -> np.ndarray:
+    """Examples in an order that puts like ones side by side: by class, then by their heaviest terms, then by number."""
+    n = len(toxic)
+    row = np.repeat(np.arange(n), np.diff(examples.at))
+    by = np.lexsort((examples.term, -examples.weight, row))
+    heavy = np.full((LEADING, n), -1)
+    for i in range(LEADING):
+        has = np.flatnonzero(np.diff(examples.at) > i)
+        heavy[i, has] = examples.term[by[examples.at[has] + i]]
+    return np.lexsort((np.arange(n), *heavy[::-1], toxic))
+
+
 class Index:
-    """Inverted index over the examples' vectors, and the votes of nearest examples."""
+    """Block-max inverted index over the examples' vectors, and the votes of nearest examples.
+
+    Examples are ordered so that like ones share a block of ``BLOCK``. The postings of a term are parted by block, and
+    each part states the largest weight in it. The sum of a query's weights times these maxima bounds every cosine in a
+    block, so blocks are opened from the highest bound down, and those that cannot hold one of the k nearest stay closed.
+    """
 
     def __init__(self, vocabulary: np.ndarray, idf: np.ndarray, examples: Vectors, toxic: np.ndarray, k: int):
         self.vocabulary, self.idf, self.toxic, self.k = vocabulary, idf, toxic.astype(float), k
         n = len(toxic)
-        row = np.repeat(np.arange(n), np.diff(examples.at))
-        by = np.lexsort((row, examples.term))
-        self.row, self.weight = row[by], examples.weight[by]
-        self.of_term = np.searchsorted(examples.term[by], np.arange(len(vocabulary) + 1))
-        self.column: dict[int, np.ndarray] = {}  # at most 1 / COLUMN numbers per posting
-        for t in np.flatnonzero(np.diff(self.of_term) > COLUMN * n):
-            own = slice(self.of_term[t], self.of_term[t + 1])
-            self.column[int(t)] = np.zeros(n)
-            self.column[int(t)][self.row[own]] = self.weight[own]
+        self.blocks = -(-n // BLOCK)
+        self.number = _alike(examples, toxic)  # of the example at a place
+        place = np.empty(n, np.int64)
+        place[self.number] = np.arange(n)
+        self.first = np.minimum.reduceat(self.number, np.arange(0, n, BLOCK)) if n else np.zeros(0, np.int64)
+        at = np.repeat(place, np.diff(examples.at))
+        by = np.lexsort((at, examples.term))
+        self.place, self.weight, term = at[by], examples.weight[by], examples.term[by]
+        part = term * max(self.blocks, 1) + self.place // BLOCK
+        begin = np.flatnonzero(np.diff(part, prepend=-1))  # where a part of a term's postings starts
+        self.part_at, self.part_size = begin, np.diff(np.append(begin, len(part)))
+        self.part_block = self.place[begin] // BLOCK
+        self.part_max = np.maximum.reduceat(self.weight, begin) if len(begin) else np.zeros(0)
+        self.parts_of = np.searchsorted(term[begin], np.arange(len(vocabulary) + 1))
         self.empty = np.flatnonzero(np.diff(examples.at) == 0)
         self.base = float(self.toxic.mean()) if n else 0.0
         self.curve: tuple[np.ndarray, np.ndarray] | None = None
+        self.opened = 0  # blocks, by all queries
         self.memo: dict[bytes, tuple[float, list[int], list[float]]] = {}
+        self.memo_bytes = 0
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of the largest positive cosine (ties: the smaller number), best first."""
-        n = len(self.toxic)
-        whole = [(self.column[t], w) for t, w in zip(term.tolist(), weight, strict=True) if t in self.column]
-        lists = [
-            (slice(self.of_term[t], self.of_term[t + 1]), w)
-            for t, w in zip(term.tolist(), weight, strict=True)
-            if t not in self.column
-        ]
-        score = np.zeros(n)
-        if lists:
-            rows = np.concatenate([self.row[own] for own, _ in lists])
-            score = np.bincount(rows, weights=np.concatenate([self.weight[own] * w for own, w in lists]), minlength=n)
-        part = np.empty(n)
-        for column, w in whole:
-            score += np.multiply(column, w, out=part)
-        if without >= 0:
-            score[without] = 0
-        # A little below the k-th best, as equal cosines may differ in their last bits.
-        least = np.partition(score, n - self.k)[n - self.k] - 1e-9 if n > self.k else 0.0
-        found = np.flatnonzero(score > max(least, 0.0))
-        cosine = np.round(score[found], 12)
-        best = np.lexsort((found, -cosine))[: self.k]
-        return found[best], cosine[best]
+        """The k examples of the largest positive cosine (ties: the smaller number), best first.
+
+        Cosines are compared by twelve digits, and bounds with an allowance for the last bits of sums. A block at the k-th
+        cosine itself opens only if it has a smaller number than the k-th example.
+        """
+        size = self.parts_of[term + 1] - self.parts_of[term]
+        part = _spread(self.parts_of[term], size)  # of the query's terms
+        factor = np.repeat(weight, size)
+        block = self.part_block[part]
+        bound = np.bincount(block, weights=factor * self.part_max[part], minlength=self.blocks)
+        order = np.lexsort((self.first, -bound))
+        order = order[: np.count_nonzero(bound > 0)]
+        found, cosine = np.zeros(0, np.int64), np.zeros(0)
+        batch = 1 + -(-self.k // BLOCK)
+        while len(order):
+            opened, order = order[:batch], order[batch:]
+            batch *= 2
+            self.opened += len(opened)
+            is_open = np.zeros(self.blocks, bool)
+            is_open[opened] = True
+            use = np.flatnonzero(is_open[block])
+            posting = _spread(self.part_at[part[use]], self.part_size[part[use]])
+            slot = np.empty(self.blocks, np.int64)
+            slot[opened] = np.arange(len(opened)) * BLOCK
+            place = self.place[posting]
+            score = np.bincount(
+                slot[place // BLOCK] + place % BLOCK,
+                weights=self.weight[posting] * np.repeat(factor[use], self.part_size[part[use]]),
+                minlength=len(opened) * BLOCK,
+            )
+            near = np.flatnonzero(score > 0)
+            number = self.number[opened[near // BLOCK] * BLOCK + near % BLOCK]
+            near, number = near[number != without], number[number != without]
+            found = np.append(found, number)
+            cosine = np.append(cosine, np.round(score[near], 12))
+            best = np.lexsort((found, -cosine))[: self.k]
+            found, cosine = found[best], cosine[best]
+            if len(found) == self.k:
+                high = bound[order]
+                order = order[(high > cosine[-1] + ALLOWANCE) | ((high > cosine[-1] - ALLOWANCE) & (self.first[order] < found[-1]))]
+        return found, cosine
 
     def vote(self, term: np.ndarray, weight: np.ndarray, without: int = -1) -> tuple[float, list[int], list[float]]:
         """Votes weighted by 1 / (distance + a little); no shared term: the examples without terms vote."""
@@ -173,15 +224,10 @@ class Index:
         share = (float(power @ self.toxic[found]) + PRIOR * self.base) / (float(power.sum()) + PRIOR)
         return share, found.tolist(), cosine.tolist()
 
-    def calibrate(self, examples: Vectors) -> None:
-        """Turn vote shares into rates: isotonic regression on leave-one-out votes of the examples."""
-        n = len(self.toxic)
-        if not n:
+    def calibrate(self, shares: np.ndarray) -> None:
+        """Turn vote shares into rates: isotonic regression on leave-one-out votes of the examples, by number."""
+        if not len(shares):
             return
-        shares = np.empty(n)
-        for i in range(n):
-            a, b = examples.at[i], examples.at[i + 1]
-            shares[i] = self.vote(examples.term[a:b], examples.weight[a:b], i)[0]
         x, inverse = np.unique(np.round(shares, 3), return_inverse=True)
         size = np.bincount(inverse).astype(float)
         bad = np.bincount(inverse, weights=self.toxic)
@@ -196,17 +242,43 @@ class Index:
         self.curve = np.ravel([(g[0], g[1]) for g in groups]), np.repeat(rate, 2)
 
     def score(self, term: np.ndarray, weight: np.ndarray) -> tuple[float, list[int], list[float]]:
+        """Calibrated share, and the first examples with their cosines."""
         key = term.tobytes() + weight.tobytes()
         if key not in self.memo:
-            if len(self.memo) > 100_000:
-                self.memo.clear()
             share, found, cosine = self.vote(term, weight)
             if self.curve is not None:
                 share = float(np.interp(share, *self.curve))
-            self.memo[key] = share, found, cosine
+            if self.memo_bytes > MEMO_BYTES:
+                self.memo.clear()
+                self.memo_bytes = 0
+            self.memo[key] = share, found[:EVIDENCE], cosine[:EVIDENCE]
+            self.memo_bytes += len(key) + 800  # the entry's own objects
         return self.memo[key]
 
 
+def leave_one_out(spark: SparkSession, index: Index, examples: Vectors) -> np.ndarray:
+    """Vote share of each example without itself, found in tasks. Runs a job."""
+    n = len(index.toxic)
+    shared = spark.sparkContext.broadcast((index, examples))  # at most ``MAX_EXAMPLES`` vectors
+
+    def votes(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, ex = shared.value
+        for batch in source:
+            numbers = batch.column(0).to_numpy()
+            shares = []
+            for i in numbers.tolist():
+                own = slice(ex.at[i], ex.at[i + 1])
+                shares.append(model.vote(ex.term[own], ex.weight[own], i)[0])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shares, pa.float64())], names=["id", "share"])
+
+    rows = spark.range(n).mapInArrow(votes, "id long, share double").collect()
+    shares = np.empty(n)
+    for i, share in rows:
+        shares[i] = share
+    shared.unpersist()
+    return shares
+
+
 def labelled_examples(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
     """At most ``limit`` rows ``(example, text, toxic)`` with a label 0 or 1: the smallest hashes of the id."""
     known = (
@@ -237,8 +309,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES, k: int =
     top = c("n") * (n - c("n")) * float(bad * (n - bad))
     chi2 = float(n) * F.pow(c("bad") * float(n) - c("n") * float(bad), 2) / top
     chosen = (
-        counted.where((c("n") >= 3) & (top > 0)).withColumn("chi2", chi2).where(c("chi2") >= MIN_CHI2)
-        .orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).select("term").collect()
+        counted.where((c("n") >= 3) & (top > 0)).where(chi2 >= MIN_CHI2).select("term").collect()  # of bounded examples
     )
     vocabulary = np.array([r["term"] for r in chosen], np.int64).view(_U)
     vocabulary = np.sort(vocabulary)
@@ -275,7 +346,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES, k: int =
         np.array([w for r in rows for w in r["weight"]], float),
     )
     index = Index(vocabulary, idf, ex, np.array([r["toxic"] for r in rows]), k)
-    index.calibrate(ex)
+    index.calibrate(leave_one_out(docs.sparkSession, index, ex))
     index.names = [r["doc_id"] for r in rows]
     return index
 
@@ -323,7 +394,7 @@ def score_toxicity(docs: DataFrame, index: Index, carry: Sequence[str] = ()) ->
                     evidence.append(
                         [
                             {"doc_id": str(model.names[j]), "toxic": int(model.toxic[j]), "cosine": s}
-                            for j, s in zip(found[:5], cosine[:5], strict=True)
+                            for j, s in zip(found, cosine, strict=True)
                         ]
                     )
             values = np.array(scores)

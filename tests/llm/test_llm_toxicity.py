@@ -33,6 +33,45 @@ def test_neighbours_are_exact():
         assert found.tolist() == want and np.allclose(value, cosine[want])
 
 
+def test_most_blocks_stay_closed():
+    rng = np.random.default_rng(5)
+    n, terms, k = 4000, 200, 10
+    topic = rng.integers(0, 40, n)  # five terms of a topic each, and a little of two others
+    dense = np.zeros((n, terms))
+    for i in range(n):
+        dense[i, topic[i] * 5 + rng.permutation(5)[:4]] = 1 + rng.random(4)
+        dense[i, rng.integers(0, terms, 2)] += 0.2
+    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
+    row, term = np.nonzero(dense)
+    vectors = toxicity.Vectors(np.searchsorted(row, np.arange(n + 1)), term, dense[row, term])
+    index = toxicity.Index(np.arange(terms, dtype=np.uint64), np.ones(terms), vectors, (topic < 12).astype(int), k)
+    queries = range(0, n, 40)
+    for i in queries:
+        a, b = vectors.at[i], vectors.at[i + 1]
+        cosine = np.round(dense @ dense[i], 12)
+        cosine[i] = 0
+        want = np.lexsort((np.arange(n), -cosine))[:k]
+        found, _ = index.nearest(vectors.term[a:b], vectors.weight[a:b], without=i)
+        assert found.tolist() == want.tolist()
+    assert index.blocks == 125 and index.opened < 0.2 * index.blocks * len(queries)
+
+
+def test_equal_examples_do_not_open_all_blocks():
+    n = 3200
+    vectors = toxicity.Vectors(np.arange(n + 1), np.zeros(n, np.int64), np.ones(n))
+    index = toxicity.Index(np.arange(1, dtype=np.uint64), np.ones(1), vectors, np.arange(n) % 2, 25)
+    found, cosine = index.nearest(np.array([0]), np.array([1.0]))
+    assert found.tolist() == list(range(25)) and (cosine == 1).all() and index.opened <= 6
+
+
+def test_fewer_examples_than_neighbours():
+    dense, vectors, index = index_of(9, 5, 6, 10)
+    a, b = vectors.at[1], vectors.at[2]
+    cosine = np.round(dense @ dense[1], 12)
+    want = [j for j in np.lexsort((np.arange(5), -cosine)) if cosine[j] > 0]
+    assert index.nearest(vectors.term[a:b], vectors.weight[a:b])[0].tolist() == want
+
+
 def labelled(spark, rows):
     return spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int")
 

@@ -127,20 +127,25 @@ FROM grouped
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _WORDS = r"regexp_extract_all(translate({}, '" + _UPPER + "', '" + _UPPER.lower() + r"'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _TEMPLATE_ROWS = ", ".join(
-    f"({i}, '{label}', {sorted(set(text.split()))}, {need(len(set(text.split())), PERCENT)})"
-    for i, (label, text) in enumerate(TEMPLATES)
+    f"({i}, '{label}', {sorted(set(text.split()))}, {need(len(set(text.split())), PERCENT)}, {len(text.split())}, "
+    f"{must.split()}::VARCHAR[], {without.split()}::VARCHAR[])"
+    for i, (label, text, must, without) in enumerate(TEMPLATES)
 )
 OP9_SQL = f"""
-WITH template(id, label, words, need) AS (VALUES {_TEMPLATE_ROWS}),
+WITH template(id, label, words, need, length, must, without) AS (VALUES {_TEMPLATE_ROWS}),
 doc AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
-place AS (
-  SELECT doc_id, i, CASE WHEN w[i:i + 3] = ['under', 'the', 'mit', 'license'] THEN 'mit'
-    WHEN w[i:i + 3] = ['apache', 'license', 'version', '2'] THEN 'apache-2' WHEN w[i:i + 2] = ['cc', 'by', 'nc'] THEN 'cc-by-nc' END AS label
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM doc)),
-base AS (SELECT doc_id, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word,
+spot AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM doc),
+place AS (SELECT doc_id, i, CASE WHEN four = 'under the mit license' THEN 'mit' WHEN four = 'apache license version 2' THEN 'apache-2'
+    WHEN four = 'cc by nc' OR starts_with(four, 'cc by nc ') THEN 'cc-by-nc' END AS label
+  FROM (SELECT doc_id, i, concat_ws(' ', word, lead(word) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o) AS four
+    FROM spot WINDOW o AS (PARTITION BY doc_id ORDER BY i))),
+base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
   list_sort(list(DISTINCT label)) AS labels FROM place WHERE label IS NOT NULL GROUP BY doc_id),
-line AS (SELECT doc_id, list_distinct({_WORDS.format("line")}) AS w FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM doc)),
-met AS (SELECT doc_id, label, len(list_intersect(w, words)) AS shared, len(words) AS size, need FROM line, template),
+token AS (SELECT id, length, unnest(words) AS word, true AS own FROM template
+  UNION ALL SELECT id, length, unnest(without), false FROM template),
+held AS (SELECT DISTINCT doc_id, id, word, own, unnest([i // length - 1, i // length]) AS k FROM spot JOIN token USING (word)),
+block AS (SELECT doc_id, id, count(*) FILTER (own) AS shared, list(word) AS b FROM held WHERE k >= 0 GROUP BY doc_id, id, k HAVING bool_and(own)),
+met AS (SELECT doc_id, label, shared, len(words) AS size, need FROM block JOIN template USING (id) WHERE list_has_all(b, must)),
 more AS (SELECT doc_id, list(DISTINCT label) AS labels, max(shared / size) AS score FROM met WHERE shared >= need GROUP BY doc_id)
 SELECT doc.doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
   coalesce(array_to_string(base.labels, ','), '') AS base_labels,

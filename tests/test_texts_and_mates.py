@@ -1,6 +1,7 @@
 import re
 from collections import Counter
 
+from millrace.operators import language_id
 from millrace.operators.language_id import detect_language, identify_language, language_profiles
 from millrace.operators.mates import interleave_chunks, unpaired_records
 from millrace.sinks.files import write_chunks
@@ -67,3 +68,21 @@ def test_interleave(spark, tmp_path):
             lines += part.read_text().splitlines()
     assert lines[0::4] == [f"@r{i}/{m}" for i in range(10) for m in (1, 2)]
     assert lines[1::4] == [f"AC{i}" for i in range(10) for _ in (1, 2)]
+
+
+def test_texts_of_a_batch_do_not_mix():
+    rows = [("a", "abc", 1), ("a", "bcd", 2), ("b", "bcd", 1), ("b", "xyz", 2)]
+    profiles = language_id.Profiles(rows, 3)
+    texts = ["ab", "cd", "abc", "", "xyzxyz", "bcd", "\U0001f600ab"]
+    langs, distances = profiles.nearest(texts)
+    # A text without a known trigram has the first code and 3 per ranked trigram.
+    assert langs == ["a", "a", "a", "a", "b", "b", "a"]
+    assert distances.tolist() == [0, 0, 0, 0, 7, 0, 3]
+    assert [profiles.nearest([t])[1][0] for t in texts] == distances.tolist()
+
+
+def test_long_texts_are_batches_of_their_own(monkeypatch):
+    monkeypatch.setattr(language_id, "BATCH_LETTERS", 10)
+    texts = ["a" * 4, "b" * 6, "c" * 50, "", "d"]
+    assert list(language_id._batches(texts)) == [texts[:2], texts[2:3], texts[3:]]
+    assert list(language_id._batches([])) == []

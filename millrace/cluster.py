@@ -15,6 +15,8 @@ BROADCAST_BYTES = 16 << 20
 
 # Inputs rendered by this application: what and where.
 _rendered: dict[tuple[str, str, str], str] = {}
+# Names of its bucketed tables.
+_tables: dict[str, list[str]] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -61,6 +63,8 @@ def drop_shared(spark: SparkSession) -> None:
     drop_path(spark, f"{shared_root(spark).rstrip('/')}/millrace/{app}")
     for key in [k for k in _rendered if k[0] == app]:
         del _rendered[key]
+    for name in _tables.pop(app, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def rendered(spark: SparkSession, source: str, name: str, write: Callable[[str], None]) -> str:
@@ -86,6 +90,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, *by: str) -> DataFrame:
+    """Write ``df`` to the shared folder as one sorted bucket per shuffle partition, and read it back.
+
+    Joins and aggregates by all of ``by`` then read the table where it lies. Each bucket comes from one
+    task, so a key of unbounded size needs a further column in ``by`` that splits it.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"millrace_{uuid.uuid4().hex}"
+    laid_out = df.repartition(buckets, *by).write.bucketBy(buckets, *by).sortBy(*by)
+    laid_out.format("parquet").option("path", shared_path(spark, "buckets")).saveAsTable(name)
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return spark.table(name)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Hint a broadcast only after a check of size and rows; otherwise leave the join to AQE. Runs a job.
 

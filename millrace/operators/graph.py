@@ -6,15 +6,19 @@ built: a movie with n people would cost n² rows, a step over the movie costs n.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.cluster import broadcast_if_small, checkpointed, small_side
+from millrace.cluster import broadcast_if_small, bucketed, checkpointed, small_side
 from millrace.operators.ordering import with_ordinal
 
 UNREACHABLE = 100
 MAX_DISTANCE = 6
+# Edges of one person or movie that lie in one bucket; more are spread over several.
+SLOT_EDGES = 1_000_000
 
 
 def actors_union(men: DataFrame, women: DataFrame) -> DataFrame:
@@ -94,49 +98,101 @@ def coactors(edges: DataFrame, of: DataFrame) -> DataFrame:
     return near.join(of.select("actor_id"), "actor_id", "left_anti")
 
 
-def connected_actors(edges: DataFrame) -> DataFrame:
-    """People with at least one co-actor. Runs a job."""
-    casts = edges.groupBy("movie").agg(F.min("actor_id").alias("lo"), F.max("actor_id").alias("hi"))
-    shared = small_side(casts.where("lo < hi").select("movie"))
-    return edges.join(shared, "movie", "left_semi").select("actor_id").distinct()
+@dataclass
+class Layout:
+    """Edges of movies with two or more people, bucketed by ``(actor_id, _slot)`` and by ``(movie, _slot)``.
 
+    A key with more than ``SLOT_EDGES`` edges has several slots and is listed in ``wide_actors`` or
+    ``wide_movies`` with their number; the lists hold at most one row per ``SLOT_EDGES`` edges.
+    """
 
-def reached(edges: DataFrame, seed: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """Breadth-first ``actor_id, distance`` up to ``max_distance``.
-
-    Each round steps from the frontier to its movies and on to people not seen
-    before. A movie is opened once: opened ones are left out of later rounds. The movies of a
-    round and the round's people are written, which keeps plans short, lets a lost executor cost one
-    round, and lets joins broadcast a small frontier or split a hot movie. An empty frontier ends the
-    search. ``edges`` holds distinct rows and is read every round, so pass a table rather than a
-    query. Runs jobs.
+    by_actor: DataFrame
+    by_movie: DataFrame
+    wide_actors: DataFrame
+    wide_movies: DataFrame
+
+
+def _slots(keys: DataFrame, wide: DataFrame) -> DataFrame:
+    """One row per key and slot."""
+    numbers = F.sequence(F.lit(0), F.coalesce("_slots", F.lit(1)) - 1)
+    return keys.join(F.broadcast(wide), keys.columns, "left").select(*keys.columns, F.explode(numbers).alias("_slot"))
+
+
+def _bucketed_by(edges: DataFrame, key: str, other: str, wide: DataFrame) -> DataFrame:
+    slot = F.pmod(F.xxhash64(other), F.coalesce("_slots", F.lit(1))).cast("int")
+    return bucketed(edges.join(F.broadcast(wide), key, "left").select(key, other, slot.alias("_slot")), key, "_slot")
+
+
+def laid_out(edges: DataFrame, slot_edges: int = SLOT_EDGES) -> Layout:
+    """Write the edges once by person and once by movie, for searches that move no edges. Runs jobs.
+
+    ``edges`` holds distinct rows and is read twice. Movies with one person lead nowhere and are left out.
+    """
+    slots = F.ceil(F.col("n") / slot_edges).cast("int").alias("_slots")
+    casts = checkpointed(edges.groupBy("movie").agg(F.count("*").alias("n")).where("n > 1"))
+    shared = checkpointed(edges.join(broadcast_if_small(casts.select("movie")), "movie", "left_semi"))
+    sizes = shared.groupBy("actor_id").agg(F.count("*").alias("n"))
+    wide_movies = checkpointed(casts.where(F.col("n") > slot_edges).select("movie", slots))
+    wide_actors = checkpointed(sizes.where(F.col("n") > slot_edges).select("actor_id", slots))
+    return Layout(
+        _bucketed_by(shared, "actor_id", "movie", wide_actors),
+        _bucketed_by(shared, "movie", "actor_id", wide_movies),
+        wide_actors,
+        wide_movies,
+    )
+
+
+def connected_actors(layout: Layout) -> DataFrame:
+    """People with at least one co-actor, without a shuffle of edges."""
+    return layout.by_actor.groupBy("actor_id", "_slot").agg(F.lit(1)).select("actor_id").distinct()
+
+
+def step(layout: Layout, frontier: DataFrame) -> DataFrame:
+    """Distinct people in the movies of ``frontier`` (``actor_id, _slot``), who are part of it themselves."""
+    own = layout.by_actor.join(broadcast_if_small(frontier), ["actor_id", "_slot"], "left_semi").select("movie").distinct()
+    movies = _slots(own, layout.wide_movies)
+    return layout.by_movie.join(movies, ["movie", "_slot"], "left_semi").select("actor_id").distinct()
+
+
+def search(layout: Layout, start: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """Breadth-first ``actor_id, distance`` up to ``max_distance`` over edges that stay where they lie.
+
+    Each round steps from the frontier to its movies and on to their people; who is new is told by the last two
+    frontiers alone, since neighbours are at most one round apart. The people of a round are written, which keeps plans
+    short and lets a lost executor cost one round. An empty frontier ends the search. Runs jobs.
     """
-    start = edges.join(seed.select("actor_id"), "actor_id", "left_semi").select("actor_id").distinct()
-    frontier = checkpointed(start)
-    seen = frontier.withColumn("distance", F.lit(0))
-    opened: DataFrame | None = None
+    frontier = checkpointed(_slots(start.select("actor_id").distinct(), layout.wide_actors))
+    known = frontier
+    once = F.col("_slot") == 0
+    seen = frontier.where(once).select("actor_id", F.lit(0).alias("distance"))
     for distance in range(1, max_distance + 1):
-        movies = edges.join(broadcast_if_small(frontier), "actor_id", "left_semi").select("movie").distinct()
-        if opened is not None:
-            movies = movies.join(opened, "movie", "left_anti")
-        movies = checkpointed(movies)
-        opened = movies if opened is None else opened.unionAll(movies)
-        near = edges.join(broadcast_if_small(movies), "movie", "left_semi").select("actor_id").distinct()
-        frontier = checkpointed(near.join(seen, "actor_id", "left_anti"))
+        near = step(layout, frontier).join(known.where(once).select("actor_id"), "actor_id", "left_anti")
+        last, frontier = frontier, checkpointed(_slots(near, layout.wide_actors))
         if frontier.isEmpty():
             break
-        seen = seen.unionAll(frontier.withColumn("distance", F.lit(distance)))
+        known = last.unionAll(frontier)
+        seen = seen.unionAll(frontier.where(once).select("actor_id", F.lit(distance).alias("distance")))
     return seen
 
 
+def reached(edges: DataFrame, seed: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """Distance of everyone the search from ``seed`` arrives at; a seed without edges gives no rows.
+
+    ``edges`` holds distinct rows; pass a table rather than a query. Runs jobs.
+    """
+    start = edges.join(seed.select("actor_id"), "actor_id", "left_semi")
+    return search(laid_out(edges), start, max_distance)
+
+
 def separation(edges: DataFrame, seed: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """Distance of everyone who has a co-actor; 100 where the search did not arrive.
 
     ``edges`` as for ``reached``.
     """
-    found = reached(edges, seed, max_distance)
+    layout = laid_out(edges)
+    found = search(layout, seed, max_distance)
     return (
-        connected_actors(edges)
+        connected_actors(layout)
         .join(found, "actor_id", "left")
         .select("actor_id", F.coalesce("distance", F.lit(UNREACHABLE)).alias("distance"))
     )

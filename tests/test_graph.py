@@ -155,3 +155,43 @@ def test_neighbours_exact_and_by_sketch(spark):
     assert all(abs(n - want[a]) <= 0.03 * want[a] for a, (n, _) in got.items())
     assert sum(not exact for _, exact in got.values()) > 2000
     assert graph.neighbour_counts(edges.limit(0)).count() == 0
+
+
+def test_rounds_leave_the_edges_where_they_lie(spark):
+    # One movie and one person with more edges than a slot takes; without broadcasts only frontiers are exchanged.
+    rng = random.Random(4)
+    pairs = {(i, "hot") for i in range(100)} | {(7, f"m{i}") for i in range(200)}
+    pairs |= {(rng.randrange(400), f"m{rng.randrange(300)}") for _ in range(500)}
+    pairs |= {(1000 + i + d, f"line{i}") for i in range(5) for d in (0, 1)}
+    from millrace import cluster
+
+    limit, cluster.BROADCAST_ROWS = cluster.BROADCAST_ROWS, -1
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")
+        layout = graph.laid_out(edges_of(spark, sorted(pairs)), slot_edges=50)
+        assert layout.wide_movies.where("movie = 'hot'").first()._slots == 2
+        assert layout.wide_actors.where("actor_id = 7").first()._slots >= 3
+        assert layout.by_movie.where("movie = 'hot'").select("_slot").distinct().count() == 2
+        frontier = cluster.checkpointed(graph._slots(seed(spark, 3), layout.wide_actors))
+        taken = graph.step(layout, frontier)
+        taken.collect()
+        plan = taken._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        # Between a bucketed scan and the join above it stand only a sort, a filter and columns.
+        lines = plan.splitlines()
+        scans = [i for i, line in enumerate(lines) if "Bucketed: true" in line]
+        assert len(scans) == 2
+        for i in scans:
+            above = i
+            while "Join" not in lines[above]:
+                assert "Exchange" not in lines[above] and "ShuffleQueryStage" not in lines[above], plan
+                above -= 1
+        want, _, _ = brute(pairs, 3)
+        found = {r.actor_id: r.distance for r in graph.search(layout, seed(spark, 3)).collect()}
+        assert found == {a: d for a, d in want.items() if d < 100}
+        assert {r.actor_id for r in graph.connected_actors(layout).collect()} == set(want)
+    finally:
+        cluster.BROADCAST_ROWS = limit
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.cluster import checkpointed, small_side
-from millrace.sources.lines import numbered_lines
+from millrace.sources.lines import MAX_BROADCAST_SPLITS, line_number, placed_lines, split_offsets
 
 # The column-title line (blanks removed) and the footer rule.
 TITLE_LINE = "NameTitles"
 FOOTER_RULE = "---"
+# Lines whose marks share a row of notes.
+NOTED_LINES = 4096
 
 
 def scan_blocks(spark: SparkSession, path: str) -> DataFrame:
@@ -20,20 +22,34 @@ def scan_blocks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def section_extract(spark: SparkSession, path: str) -> DataFrame:
-    """Lines between the title line (and the rule below it) and the footer, per file.
+    """Lines between the title line (and the rule below it) and the footer, per file. Runs jobs.
 
-    One pass notes where title lines and rules stand, a second one keeps the range.
+    The text is scanned twice. The first pass counts lines and notes title lines and rules, ``NOTED_LINES`` lines
+    to a row, so its notes have a bounded size whatever the text holds; split offsets, titles and footers
+    all come from these notes. The second pass keeps the range.
     """
-    lines = numbered_lines(spark, path)
+    lines = placed_lines(spark, path)
     is_title = F.regexp_replace("value", r"\s", "") == TITLE_LINE
     is_rule = F.col("value").startswith(FOOTER_RULE)
-    marks = checkpointed(
-        lines.where(is_title | is_rule).select("file", "line_no", is_title.alias("is_title"), is_rule.alias("is_rule"))
+    noted = checkpointed(
+        lines.groupBy("file", "block", F.floor(F.col("seq") / NOTED_LINES).alias("part")).agg(
+            F.count("*").alias("n"),
+            F.min("seq").alias("first_seq"),
+            F.collect_list(F.when(is_title, F.col("seq"))).alias("titles"),
+            F.collect_list(F.when(is_rule, F.col("seq"))).alias("rules"),
+        )
     )
-    titles = marks.where("is_title").groupBy("file").agg(F.min("line_no").alias("title_no"))
+    splits = noted.groupBy("file", "block").agg(F.sum("n").alias("n"), F.min("first_seq").alias("first_seq"))
+    offsets = small_side(split_offsets(splits), MAX_BROADCAST_SPLITS)
+
+    def numbers(kind: str) -> DataFrame:
+        seqs = noted.select("file", "block", F.explode(kind).alias("seq"))
+        return seqs.join(offsets, ["file", "block"], "left").select("file", line_number(F.col("seq")).alias("line_no"))
+
+    titles = small_side(numbers("titles").groupBy("file").agg(F.min("line_no").alias("title_no")))
     footers = (
-        marks.where("is_rule")
-        .join(small_side(titles), "file")
+        numbers("rules")
+        .join(titles, "file")
         .where(F.col("line_no") > F.col("title_no") + 1)
         .groupBy("file")
         .agg(F.min("line_no").alias("footer_no"))
@@ -42,7 +58,8 @@ def section_extract(spark: SparkSession, path: str) -> DataFrame:
     inside = (F.col("line_no") > F.col("title_no") + 1) & (
         F.col("footer_no").isNull() | (F.col("line_no") < F.col("footer_no"))
     )
-    return lines.join(bounds, "file").where(inside).select("file", "line_no", "value")
+    numbered = lines.join(offsets, ["file", "block"], "left").select("file", line_number(F.col("seq")).alias("line_no"), "value")
+    return numbered.join(bounds, "file").where(inside).select("file", "line_no", "value")
 
 
 def _up_to_bracket(title: Column) -> Column:

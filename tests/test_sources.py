@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +64,28 @@ def test_section_extract_per_file(spark, rows, tmp_path):
     ]
 
 
+def test_section_limits_in_different_splits(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(filmography, "NOTED_LINES", 16)
+    rng = random.Random(3)
+    want = {}
+    for n in range(4):
+        # The title may end one split and the rule below it begin the next.
+        head = [f"--- early {i}" + "x" * rng.randrange(60) for i in range(40 + n)]
+        body = [f"{n}: {i}" + "y" * rng.randrange(80) for i in range(300)]
+        tail = ["----", *(f"---- after {i}" for i in range(120)), "Name Titles", "lost"]
+        lines = [*head, "Name\t\tTitles", "----\t------", *body, *(tail if n else [])]
+        write(tmp_path, "\n".join(lines) + "\n", f"{n}.list")
+        want |= {(f"{n}.list", len(head) + 2 + i): line for i, line in enumerate(body)}
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (64, 500, 3000):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            found = filmography.section_extract(spark, str(tmp_path)).collect()
+            assert {(r.file.split("/")[-1], r.line_no): r.value for r in found} == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+
+
 def test_numbered_lines_over_many_splits(spark, tmp_path):
     texts = {f"f{n}.txt": [f"{n}:{i}" + "x" * (i % 50) for i in range(1000 + n)] for n in range(3)}
     for name, lines in texts.items():

@@ -9,10 +9,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.cluster import small_side
+from millrace.cluster import checkpointed, small_side
+
 
 def region_assignment(weights: DataFrame, tasks: int) -> DataFrame:
     """Longest-first greedy balancing of ``key, n``: ``key, n, task``.
@@ -53,6 +55,32 @@ def balanced_repartition(
     return rows.join(routes, key).repartitionByRange(*layout).sortWithinPartitions(*layout)
 
 
+def placed_by_task(
+    rows: DataFrame, key: str, assignment: DataFrame, partitions: int, spread_by: Sequence[str] = ()
+) -> DataFrame:
+    """Rows with their ``task``, in partitions that hold one task's rows each. Runs jobs.
+
+    A task gets partitions in proportion to its load, at least one, and its rows go to them by the hash of
+    ``spread_by`` (all columns by default). About ``partitions`` are used: none has a much larger load than its share,
+    and there are fewer than ``partitions`` + tasks. Rows that agree in all of ``spread_by`` stay together; rows whose
+    key has no task go.
+    """
+    assignment = checkpointed(assignment)
+    everything, before = W.partitionBy(), W.orderBy("task").rowsBetween(W.unboundedPreceding, -1)
+    # One row per task.
+    loads = assignment.groupBy("task").agg(F.sum("n").alias("load"))
+    share = F.ceil(F.try_divide(F.col("load") * partitions, F.sum("load").over(everything)))
+    tasks = loads.withColumn("_slots", F.greatest(F.coalesce(share, F.lit(1)), F.lit(1)))
+    tasks = checkpointed(tasks.withColumn("_first", F.coalesce(F.sum("_slots").over(before), F.lit(0))))
+    used = tasks.agg(F.sum("_slots")).first()[0] or 1
+    routes = small_side(
+        assignment.join(tasks, "task").select(F.col("key").alias(key), "task", "_slots", "_first")
+    )
+    slot = F.col("_first") + F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.col("_slots"))
+    placed = rows.join(routes, key).withColumn("_at", slot.cast("int"))
+    return placed.repartitionById(used, F.col("_at")).drop("_slots", "_first", "_at")
+
+
 def grouped_region_apply(
     rows: DataFrame,
     fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],

@@ -39,6 +39,17 @@ def movie_edges(actors_with_movies: DataFrame) -> DataFrame:
     return actors_with_movies.select("actor_id", F.explode("movies").alias("movie")).distinct()
 
 
+def graph_of_lists(people: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Parsed lists ``actor, gender, movies`` → ``(actor_id, name, gender)`` and distinct edges, both written. Runs jobs.
+
+    A person may have several rows; one name in both lists is two people.
+    """
+    people = checkpointed(people)
+    ids = checkpointed(actor_ids(people.select("actor", "gender").distinct()))
+    edges = movie_edges(people.join(broadcast_if_small(ids), ["actor", "gender"]).select("actor_id", "movies"))
+    return ids.select("actor_id", F.col("actor").alias("name"), "gender"), checkpointed(edges)
+
+
 def seed_lookup(actors: DataFrame, name: str) -> DataFrame:
     """The row of one named actor (smallest id if several); unknown names are an error."""
     found = actors.where(F.col("name") == name).agg(F.min("actor_id").alias("actor_id"))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from millrace.cluster import checkpointed, small_side
 from millrace.functions.cigar import alignment_end, soft_clip_to, unclipped_five_prime
-from millrace.functions.qualities import guess_encoding, quality_score, to_phred
+from millrace.functions.library import library_size
+from millrace.functions.qualities import decode_qualities, guess_encoding, quality_score, to_phred
 
 # Flag bits of the SAM specification.
 UNMAPPED, REVERSE = 0x4, 0x10
@@ -56,12 +57,13 @@ def read_group_tag(reads: DataFrame, tags: dict[str, str] | None = None) -> Data
 
 
 def quality_encoding(reads: DataFrame) -> DataFrame:
-    """Per region guess the encoding from its first read, then bring qualities to Phred.
+    """Per region guess the encoding from its first read that has qualities, then bring qualities to Phred.
 
     ``reads``: ``region, ref_index, pos, qname, quals`` (array). A read whose
     shifted qualities fall below 0 is marked ``rejected``, not dropped.
     """
-    first = F.min(F.struct("ref_index", "pos", "qname", F.array_max("quals").alias("max_quality"))).alias("first")
+    start = F.struct("ref_index", "pos", "qname", F.array_max("quals").alias("max_quality"))
+    first = F.min(F.when(F.size("quals") > 0, start)).alias("first")
     guesses = reads.groupBy("region").agg(first).select(
         "region", guess_encoding(F.col("first.max_quality")).alias("encoding")
     )
@@ -69,6 +71,22 @@ def quality_encoding(reads: DataFrame) -> DataFrame:
     return fixed.withColumn("rejected", F.coalesce(F.array_min("phred") < 0, F.lit(False)))
 
 
+def mended_qualities(reads: DataFrame) -> DataFrame:
+    """Scanned reads with ``region, quals, encoding, phred, rejected`` from their printed qualities.
+
+    The region is the reference sequence; reads on none of them go. Absent qualities (``*``, null) are an empty
+    list, which is neither guessed from nor rejected.
+    """
+    quals = F.coalesce(decode_qualities(F.col("qual")), F.array().cast("array<int>"))
+    return quality_encoding(reads.where("ref_index IS NOT NULL").withColumns({"region": F.col("ref_index"), "quals": quals}))
+
+
+def covering_extents(reads: DataFrame) -> DataFrame:
+    """``ref_index, chrom, start, end`` of the reads that cover a base; others, and reads without a position, go."""
+    placed = with_alignment_end(reads).where(F.col("end") >= F.col("pos"))
+    return placed.select("ref_index", F.col("rname").alias("chrom"), F.col("pos").alias("start"), "end")
+
+
 def clean_reads(reads: DataFrame, seq_dict: DataFrame) -> DataFrame:
     """Soft-clip alignments that run past their reference; unmapped reads get mapping quality 0."""
     lengths = seq_dict.select("ref_index", F.col("length").alias("_length"))
@@ -129,3 +147,9 @@ def duplicate_metrics(marked: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("reads"), F.count_if("is_duplicate").alias("duplicates"))
         .withColumn("duplication", F.round(F.col("duplicates") / F.col("reads"), 6))
     )
+
+
+def library_metrics(marked: DataFrame) -> DataFrame:
+    """The duplicate metrics with the estimated number of different molecules in each library."""
+    distinct = F.col("reads") - F.col("duplicates")
+    return duplicate_metrics(marked).withColumn("estimated_size", library_size(F.col("reads"), distinct))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.cluster import checkpointed, shared_path
@@ -18,7 +19,7 @@ from millrace.operators.ordering import with_ordinal
 from millrace.plans import tables as t
 from millrace.plans.tables import DELAY, SLIDE, WINDOW
 from millrace.sinks import files as sinks
-from millrace.sources import fastq, filmography, genome, retweet_log
+from millrace.sources import fastq, filmography, genome, read_index, retweet_log
 from millrace.sources import pageviews as pageview_source
 from millrace.sources.lines import numbered_lines
 from millrace.sources.retweet_log import LOG_HEADER
@@ -253,6 +254,18 @@ def q_separation_file(spark, sf_dir):
     return _file_lines(spark, path)
 
 
+@query
+def q_separation_from_lists(spark, sf_dir):
+    """Lists to people, ids, edges and the report."""
+    lists = [
+        filmography.parse_filmography(filmography.scan_blocks(spark, t.career_files(spark, sf_dir, parity)), gender)
+        for parity, gender in ((0, "m"), (1, "f"))
+    ]
+    actors, edges = graph.graph_of_lists(graph.actors_union(*lists))
+    distances = graph.separation(edges, graph.seed_lookup(actors, t.SEED_NAME))
+    return graph.separation_report(distances, actors, edges)
+
+
 # Intervals ----------------------------------------------------------------
 
 GAP, PAD, BIN = 5, 5, 1 << 12
@@ -352,6 +365,28 @@ def q_quality_encoding(spark, sf_dir):
     )
 
 
+def _lane(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mapped reads of the lane with mended qualities."""
+    scanned = genome.scan_reads(spark, t.lane_files(spark, sf_dir), t.seq_dict(spark, sf_dir))
+    return read_ops.mended_qualities(read_ops.mapped_reads(scanned))
+
+
+@query
+def q_mended_qualities(spark, sf_dir):
+    total = F.aggregate("phred", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return _lane(spark, sf_dir).select(
+        "region", "qname", "encoding", F.array_min("phred").alias("lowest"), total.alias("total"), "rejected"
+    )
+
+
+@query
+def q_covered_targets(spark, sf_dir):
+    """Reads to covered stretches to the parts of the targets in them."""
+    extents = read_ops.covering_extents(_lane(spark, sf_dir).where("NOT rejected"))
+    covered = intervals.to_half_open(intervals.covered_intervals(extents))
+    return intervals.interval_intersect(genome.scan_bed(spark, t.lane_target_files(spark, sf_dir)), covered)
+
+
 @query
 def q_clean_reads(spark, sf_dir):
     cleaned = read_ops.clean_reads(t.reads(spark, sf_dir), t.seq_dict(spark, sf_dir))
@@ -369,6 +404,13 @@ def q_duplicate_metrics(spark, sf_dir):
     return read_ops.duplicate_metrics(tagged)
 
 
+@query
+def q_library_metrics(spark, sf_dir):
+    """A library per sequence."""
+    marked = read_ops.mark_duplicates(_mapped(spark, sf_dir))
+    return read_ops.library_metrics(marked.withColumn("library", F.concat(F.lit("LIB"), "ref_index")))
+
+
 @query
 def q_read_group_tag(spark, sf_dir):
     return read_ops.read_group_tag(_mapped(spark, sf_dir)).drop("seq", "qual", "tlen")
@@ -397,6 +439,18 @@ def q_reads_sorted_sink(spark, sf_dir):
     return spark.read.parquet(path).drop("seq", "tlen")
 
 
+REGION = (3, 400, 900)
+
+
+@query
+def q_reads_in_region(spark, sf_dir):
+    """All mapped reads are written in order and indexed; those of one stretch are looked up."""
+    path, index = shared_path(spark, "sorted_reads"), shared_path(spark, "read_index")
+    sinks.write_reads(_mapped(spark, sf_dir), path)
+    read_index.write_read_index(spark, path, index)
+    return read_index.reads_in_region(spark, path, index, *REGION).select("qname", "flag", "ref_index", "pos", "cigar")
+
+
 TASKS = 8
 
 
@@ -416,6 +470,18 @@ def q_balanced_repartition(spark, sf_dir):
     return balance.balanced_repartition(customers, "c_nationkey", _assignment(spark, sf_dir), ["c_custkey"])
 
 
+@query
+def q_task_partitions(spark, sf_dir):
+    """Rows and partitions of each task, and the most tasks that meet in one of its partitions."""
+    customers = t.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    placed = balance.placed_by_task(customers, "c_nationkey", _assignment(spark, sf_dir), 2 * TASKS, ["c_custkey"])
+    held = placed.groupBy(F.spark_partition_id().alias("at"), "task").agg(F.count("*").alias("rows"))
+    held = held.withColumn("met", F.count("*").over(W.partitionBy("at")))
+    return held.groupBy("task").agg(
+        F.sum("rows").alias("rows"), F.count("*").alias("partitions"), F.max("met").alias("tasks_met")
+    )
+
+
 @query
 def q_grouped_region_apply(spark, sf_dir):
     return balance.region_depth(read_ops.with_alignment_end(_mapped(spark, sf_dir)), tile_width=256)
@@ -506,3 +572,11 @@ def q_fastq_interleave_chunks(spark, sf_dir):
 @query
 def q_fastq_unpaired(spark, sf_dir):
     return mates.unpaired_records(*(fastq.scan_fastq(spark, t.mate_files(spark, sf_dir, mate)) for mate in (0, 1)))
+
+
+@query
+def q_fastq_chunk_files(spark, sf_dir):
+    """The interleaved chunks are written and scanned again, in path order."""
+    path = shared_path(spark, "chunks")
+    sinks.write_chunks(q_fastq_interleave_chunks(spark, sf_dir), path)
+    return fastq.scan_fastq(spark, path)

@@ -275,6 +275,17 @@ ORACLE_SQL["separation_file"] = f"""
 SELECT row_number() OVER (ORDER BY section, line_no) - 1 AS line_no, line AS value
 FROM ({ORACLE_SQL["separation_report"]})"""
 
+CAREER_PEOPLE = """people AS (
+  SELECT row_number() OVER (ORDER BY c_name, gender) - 1 AS actor_id, c_name AS name, gender, c_custkey AS custkey
+  FROM (SELECT c_name, c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'm' ELSE 'f' END AS gender FROM customer
+        WHERE c_custkey IN (SELECT o_custkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey)))"""
+CAREER_EDGES = """edges AS (
+  SELECT DISTINCT actor_id, l_partkey || '@' || strftime(l_shipdate, '%Y-%m') AS movie
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN people ON custkey = o_custkey)"""
+ORACLE_SQL["separation_from_lists"] = (
+    ORACLE_SQL["separation_report"].replace(PEOPLE, CAREER_PEOPLE).replace(EDGES, CAREER_EDGES)
+)
+
 # Intervals ----------------------------------------------------------------
 
 EXTENTS = """extents AS (
@@ -345,10 +356,11 @@ SEQS = f"""seqs AS (
            AS length
   FROM supplier)"""
 
-READS = f"""{SEQS}, raw AS (
+def _reads(spread: int = 1, quality: str = "n * 5") -> str:
+    return f"""{SEQS}, raw AS (
   SELECT *, CAST(l_quantity AS INTEGER) AS q, l_linenumber AS n,
          CASE WHEN l_orderkey % 997 <> 3 THEN
-           CAST((date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) // 8) * 8 + 1 AS INTEGER) END AS pos,
+           CAST((date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) // 8) * 8 * {spread} + 1 AS INTEGER) END AS pos,
          {_chrom("(l_suppkey % 26)", "'chrUn_25'")} AS rname
   FROM lineitem),
 reads AS (
@@ -360,13 +372,16 @@ reads AS (
                 WHEN 4 THEN q || 'M1I4M' WHEN 5 THEN q || 'M100N5M' WHEN 6 THEN '2H' || q || 'M3S' ELSE '*' END
            AS cigar,
          '=' AS rnext, CAST(pos + l_partkey % 3 AS INTEGER) AS pnext, 0 AS tlen, '*' AS seq,
-         repeat(chr(CAST(n * 5 + 33 AS INTEGER)), q) AS qual,
+         repeat(chr(CAST({quality} + 33 AS INTEGER)), q) AS qual, CAST({quality} AS INTEGER) AS quality,
          n, q, length,
          CASE n WHEN 1 THEN q WHEN 2 THEN q WHEN 3 THEN q + 7 WHEN 4 THEN q + 4 WHEN 5 THEN q + 105
                 WHEN 6 THEN q ELSE 0 END AS span
   FROM raw LEFT JOIN seqs ON name = rname),
 mapped AS (SELECT * FROM reads WHERE flag <> 4 AND ref_index BETWEEN 1 AND 24)"""
 
+
+READS = _reads()
+
 READ_COLUMNS = "qname, flag, rname, ref_index, pos, mapq, cigar, rnext, pnext, tlen, seq, qual"
 
 ORACLE_SQL["scan_input_files"] = f"""
@@ -396,6 +411,39 @@ SELECT region, qname, encoding, list_min(phred) AS lowest, CAST(list_sum(phred)
        list_min(phred) < 0 AS rejected
 FROM fixed"""
 
+LANE = f"""{_reads(100, "CASE WHEN l_suppkey % 26 % 2 = 1 AND l_orderkey % 50 <> 7 THEN 2 * n + 59 ELSE 5 * n END")},
+guess AS (
+  SELECT ref_index, CASE WHEN quality <= 60 THEN 'SANGER' ELSE 'ILLUMINA' END AS encoding
+  FROM (SELECT *, row_number() OVER (PARTITION BY ref_index ORDER BY pos NULLS FIRST, qname) AS rn FROM mapped)
+  WHERE rn = 1),
+lane AS (
+  SELECT mapped.*, encoding, CASE encoding WHEN 'ILLUMINA' THEN quality - 31 ELSE quality END AS phred
+  FROM mapped JOIN guess USING (ref_index))"""
+ORACLE_SQL["mended_qualities"] = f"""
+WITH {LANE}
+SELECT ref_index AS region, qname, encoding, phred AS lowest, CAST(phred * q AS BIGINT) AS total, phred < 0 AS rejected
+FROM lane"""
+ORACLE_SQL["covered_targets"] = f"""
+WITH {LANE},
+ends AS (
+  SELECT ref_index, rname, pos AS lo, pos + span - 1 AS hi,
+         max(pos + span - 1) OVER (PARTITION BY ref_index ORDER BY pos, span, qname
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach, span, qname
+  FROM lane WHERE phred >= 0 AND span > 0 AND pos IS NOT NULL),
+stretches AS (
+  SELECT rname, min(lo) AS lo, max(hi) AS hi
+  FROM (SELECT *, sum(CASE WHEN reach IS NULL OR lo > reach + 51 THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY ref_index ORDER BY lo, span, qname ROWS UNBOUNDED PRECEDING) AS island FROM ends)
+  GROUP BY ref_index, rname, island),
+goals AS (
+  SELECT {_chrom("(o_custkey % 26)", "'chrUn_25'")} AS chrom,
+         CAST(greatest(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) * 100, 0) AS INTEGER) AS lo,
+         CAST(CASE WHEN o_orderkey % 100 = 0 THEN 5000 ELSE o_orderkey % 97 + 1 END AS INTEGER) AS len,
+         't' || o_orderkey AS extra
+  FROM orders)
+SELECT chrom, greatest(g.lo, s.lo - 1) AS start, least(g.lo + g.len, s.hi) AS "end", extra
+FROM goals g JOIN stretches s ON s.rname = chrom AND g.lo < s.hi AND s.lo - 1 < g.lo + g.len"""
+
 # Room = reference bases left on the sequence; past it bases are soft-clipped.
 ORACLE_SQL["clean_reads"] = f"""
 WITH {READS},
@@ -436,6 +484,22 @@ WITH {MARKED}
 SELECT 'LIB1' AS library, count(*) AS reads, count(*) FILTER (WHERE is_duplicate) AS duplicates,
        round(count(*) FILTER (WHERE is_duplicate) / count(*), 6) AS duplication
 FROM marked"""
+ORACLE_SQL["library_metrics"] = f"""
+WITH RECURSIVE {MARKED},
+counted AS (
+  SELECT 'LIB' || ref_index AS library, count(*) AS reads, count(*) FILTER (WHERE is_duplicate) AS duplicates,
+         count(*)::DOUBLE AS n, count(*) FILTER (WHERE NOT is_duplicate)::DOUBLE AS c
+  FROM marked GROUP BY ref_index),
+halved(library, n, c, lo, hi, step) AS (
+  SELECT library, n, c, 0.0::DOUBLE, n / c, 0 FROM counted
+  UNION ALL
+  SELECT library, n, c,
+         CASE WHEN (1 - exp(-(lo + hi) / 2)) * n > (lo + hi) / 2 * c THEN (lo + hi) / 2 ELSE lo END,
+         CASE WHEN (1 - exp(-(lo + hi) / 2)) * n > (lo + hi) / 2 * c THEN hi ELSE (lo + hi) / 2 END, step + 1
+  FROM halved WHERE step < 60)
+SELECT library, reads, duplicates, round(duplicates / reads, 6) AS duplication,
+       CASE WHEN duplicates > 0 THEN CAST(round(h.n / ((lo + hi) / 2)) AS BIGINT) END AS estimated_size
+FROM counted JOIN halved h USING (library) WHERE step = 60"""
 ORACLE_SQL["read_group_tag"] = f"""
 WITH {READS}
 SELECT qname, flag, rname, ref_index, pos, mapq, cigar, rnext, pnext, 'GROUP1' AS rg_id, 'LIB1' AS library,
@@ -451,6 +515,11 @@ FROM mapped"""
 ORACLE_SQL["reads_sorted_sink"] = f"""
 WITH {READS} SELECT qname, flag, rname, ref_index, pos, mapq, cigar, rnext, pnext, qual FROM mapped"""
 
+ORACLE_SQL["reads_in_region"] = f"""
+WITH {READS}
+SELECT qname, flag, ref_index, pos, cigar FROM mapped
+WHERE ref_index = 3 AND pos <= 900 AND greatest(pos + span - 1, pos) >= 400"""
+
 ASSIGNMENT = """weights AS (
   SELECT c_nationkey AS key, count(*) AS n,
          row_number() OVER (ORDER BY count(*) DESC, c_nationkey DESC) AS step
@@ -467,6 +536,12 @@ ORACLE_SQL["region_assignment"] = f"WITH RECURSIVE {ASSIGNMENT} SELECT key, n, t
 ORACLE_SQL["balanced_repartition"] = f"""
 WITH RECURSIVE {ASSIGNMENT}
 SELECT c_nationkey, c_custkey, task FROM customer JOIN fold ON key = c_nationkey"""
+ORACLE_SQL["task_partitions"] = f"""
+WITH RECURSIVE {ASSIGNMENT},
+loads AS (SELECT task, CAST(sum(n) AS BIGINT) AS rows FROM fold WHERE step > 0 GROUP BY task)
+SELECT task, rows, CAST(ceil(rows * 16 / (SELECT sum(rows) FROM loads)) AS BIGINT) AS partitions,
+       CAST(1 AS BIGINT) AS tasks_met
+FROM loads"""
 ORACLE_SQL["grouped_region_apply"] = f"""
 WITH {READS},
 kept AS (SELECT ref_index, pos AS lo, pos + span AS hi FROM mapped WHERE span > 0 AND pos IS NOT NULL),
@@ -601,6 +676,8 @@ pairs AS (
 SELECT CAST(pair * 8 // total AS INTEGER) AS chunk, CAST(pair AS BIGINT) AS pair, CAST(side + 1 AS INTEGER) AS mate,
        'c' || conv_id || '/' || turn AS name, seq, 'q' || length(seq) AS qual
 FROM turns JOIN pairs USING (conv_id, p)"""
+ORACLE_SQL["fastq_chunk_files"] = f"""
+SELECT CAST(2 * pair + mate - 1 AS BIGINT) AS record, name, seq, qual FROM ({ORACLE_SQL["fastq_interleave_chunks"]})"""
 ORACLE_SQL["fastq_unpaired"] = """
 SELECT count(*) AS only_first, CAST(0 AS BIGINT) AS only_second
 FROM (SELECT conv_id, turn // 2 FROM conversations GROUP BY 1, 2 HAVING count(*) = 1)"""

@@ -131,6 +131,19 @@ def filmography_files(spark: SparkSession, sf_dir: str, parity: int | None = Non
     )
 
 
+def career_files(spark: SparkSession, sf_dir: str, parity: int) -> str:
+    """One block per order under the customer's name: a title per part and ship month, an old one and a series."""
+    title = F.concat(F.lit("Part "), "l_partkey", F.lit(" in "), F.date_format("l_shipdate", "yyyy-MM"), F.lit(" (2012)  <1>"))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), title.alias("title"))
+    orders = table(spark, sf_dir, "orders").where(F.col("o_custkey") % 2 == parity)
+    # An order has few lines.
+    titled = orders.join(lines, "o_orderkey").groupBy("o_orderkey", "o_custkey").agg(F.sort_array(F.collect_list("title")).alias("titles"))
+    named = titled.join(people(spark, sf_dir).select(F.col("actor_id").alias("o_custkey"), "name"), "o_custkey")
+    titles = F.concat(F.array(F.lit("Older (1999)"), F.lit('"Series" (2012)')), "titles")
+    blocks = named.select(F.concat("name", F.lit("\t"), F.array_join(titles, "\n\t\t\t")).alias("value"))
+    return written(spark, sf_dir, f"careers_{parity}", lambda path: blocks.write.option("lineSep", "\n\n").text(path))
+
+
 def list_files(spark: SparkSession, sf_dir: str) -> str:
     """Raw lists of ``LIST_SIZE`` orders each, one file per list, with preamble and footer."""
     row = lambda part, text: F.struct(F.lit(part).alias("part"), text.alias("value"))
@@ -256,7 +269,7 @@ def seq_dict_files(spark: SparkSession, sf_dir: str) -> str:
     return written(spark, sf_dir, "dict", write_lines(lines.orderBy("ref_index").select("value")))
 
 
-def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reads(spark: SparkSession, sf_dir: str, spread: int = 1, quality: Column | None = None) -> DataFrame:
     """One aligned read per order line, with clips, gaps and insertions by line number."""
     q = F.col("l_quantity").cast("int").cast("string")
     n = F.col("l_linenumber")
@@ -275,7 +288,8 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_returnflag") == "N", 16)
         .otherwise(0)
     )
-    pos = F.when(F.col("l_orderkey") % 997 != 3, F.floor(_days("l_shipdate") / 8) * 8 + 1).cast("int")
+    pos = F.when(F.col("l_orderkey") % 997 != 3, F.floor(_days("l_shipdate") / 8) * 8 * spread + 1).cast("int")
+    quality = n * 5 if quality is None else quality
     index = F.col("l_suppkey") % 26
     named = table(spark, sf_dir, "lineitem").select(
         F.concat_ws(":", F.lit("r"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("qname"),
@@ -288,7 +302,7 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
         (pos + (F.col("l_partkey") % 3).cast("int")).alias("pnext"),
         F.lit(0).alias("tlen"),
         F.lit("*").alias("seq"),
-        F.repeat(F.char(n * 5 + 33), F.col("l_quantity").cast("int")).alias("qual"),
+        F.repeat(F.char(quality + 33), F.col("l_quantity").cast("int")).alias("qual"),
     )
     names = seq_dict(spark, sf_dir).select(F.col("name").alias("rname"), "ref_index")
     return named.join(names, "rname", "left").select(
@@ -296,13 +310,37 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def read_files(spark: SparkSession, sf_dir: str) -> str:
+def _write_reads(spark: SparkSession, aligned: DataFrame) -> Callable[[str], None]:
     or_bad = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("bad"))
     line = F.concat_ws(
         "\t", "qname", "flag", "rname", or_bad("pos"), "mapq", "cigar", "rnext", or_bad("pnext"), "tlen", "seq", "qual"
     )
-    rows = reads(spark, sf_dir).select(line.alias("value"))
-    return written(spark, sf_dir, "reads", write_lines(one_line(spark, "@HD\tVN:1.0").unionAll(rows)))
+    return write_lines(one_line(spark, "@HD\tVN:1.0").unionAll(aligned.select(line.alias("value"))))
+
+
+def read_files(spark: SparkSession, sf_dir: str) -> str:
+    return written(spark, sf_dir, "reads", _write_reads(spark, reads(spark, sf_dir)))
+
+
+LANE_SPREAD = 100
+
+
+def lane_files(spark: SparkSession, sf_dir: str) -> str:
+    """The reads further apart; those of odd sequences have shifted qualities, but for some that fall short of it."""
+    n = F.col("l_linenumber")
+    shifted = (F.col("l_suppkey") % 26 % 2 == 1) & (F.col("l_orderkey") % 50 != 7)
+    lane = reads(spark, sf_dir, LANE_SPREAD, F.when(shifted, n * 2 + 59).otherwise(n * 5))
+    return written(spark, sf_dir, "lane", _write_reads(spark, lane))
+
+
+def lane_target_files(spark: SparkSession, sf_dir: str) -> str:
+    """Targets of up to 5000 bases on the chromosomes of the lane."""
+    start = F.greatest(_days("o_orderdate") * LANE_SPREAD, F.lit(0))
+    length = F.when(F.col("o_orderkey") % 100 == 0, 5000).otherwise((F.col("o_orderkey") % 97).cast("int") + 1)
+    rows = table(spark, sf_dir, "orders").select(
+        F.concat_ws("\t", chrom_name(F.col("o_custkey") % 26, F.lit("chrUn_25")), start, start + length, F.concat(F.lit("t"), "o_orderkey")).alias("value")
+    )
+    return written(spark, sf_dir, "lane_targets", write_lines(rows))
 
 
 def quality_reads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,3 +83,20 @@ def test_many_regions(spark):
     rng = random.Random(3)
     weights = {k: rng.randrange(1, 1000) for k in range(50_000)}
     assert {r.key: r.task for r in assign(spark, weights, 64).collect()} == brute(weights, 64)
+
+
+def test_partitions_hold_one_task_each(spark):
+    # One key holds a third of all rows; four tasks, forty partitions.
+    sizes = {0: 20_000, **{k: 1_000 + 97 * k for k in range(1, 21)}}
+    rows = spark.createDataFrame([(k, i) for k, n in sizes.items() for i in range(n)] + [(99, 0), (None, 1)], "key int, i int")
+    weights = spark.createDataFrame(list(sizes.items()), "key int, n bigint")
+    assignment = balance.region_assignment(weights, 4)
+    placed = balance.placed_by_task(rows, "key", assignment, 40, ["i", "key"])
+    held = placed.groupBy(F.spark_partition_id().alias("at"), "task").agg(F.count("*").alias("n")).collect()
+    assert len({r.at for r in held}) == len(held)
+    counts = [r.n for r in held]
+    assert sum(counts) == sum(sizes.values())
+    assert max(counts) <= 1.2 * sum(counts) / len(counts)
+    tasks = {r.key: r.task for r in assignment.collect()}
+    assert {(r.key, r.task) for r in placed.select("key", "task").distinct().collect()} == set(tasks.items())
+    assert balance.placed_by_task(rows, "key", assignment.limit(0), 4).count() == 0

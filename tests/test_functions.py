@@ -77,3 +77,20 @@ def test_soft_clip(spark):
 def test_qualities(spark):
     assert values(spark, ["!0I", "*", ""], decode_qualities) == [[0, 15, 40], [], []]
     assert values(spark, ["!0I", "*", "//"], quality_score) == [55, 0, 0]
+
+
+def test_library_size_solves_the_saturation_equation(spark):
+    from math import exp
+
+    from millrace.functions.library import library_size
+
+    rows = [(0, 0), (5, 5), (5, 0), (5, 1), (None, 1), (1000, 999), (1000, 950), (10**9, 3 * 10**8), (10**6, 2), (10**6, 1)]
+    got = spark.createDataFrame(rows, "reads bigint, distinct bigint").select(
+        "reads", "distinct", library_size(F.col("reads"), F.col("distinct")).alias("size")
+    )
+    for r in got.collect():
+        if not r.reads or not r.distinct or r.reads == r.distinct:
+            assert r.size is None
+        else:
+            lost = lambda x: x * (1 - exp(-r.reads / x)) - r.distinct
+            assert lost(max(r.size - 0.51, 0.4)) <= 1e-6 and lost(r.size + 0.51) >= -1e-6, r

@@ -107,6 +107,13 @@ def test_explode_drops_repeats(spark):
     assert graph.movie_edges(people).where(F.col("movie") == "a").count() == 2
 
 
+def test_graph_of_lists(spark):
+    rows = [("b", "m", ["x"]), ("b", "m", ["x", "y"]), ("b", "f", ["y"]), ("a", "f", ["z"])]
+    actors, edges = graph.graph_of_lists(spark.createDataFrame(rows, "actor string, gender string, movies array<string>"))
+    assert sorted(tuple(r) for r in actors.collect()) == [(0, "a", "f"), (1, "b", "f"), (2, "b", "m")]
+    assert sorted(tuple(r) for r in edges.collect()) == [(0, "z"), (1, "y"), (2, "x"), (2, "y")]
+
+
 def test_hot_movie_is_split(spark):
     # Half of the edges in one movie; without broadcasts, AQE must cut the join of that movie.
     pairs = [(i, "hot") for i in range(20_000)] + [(i, f"m{i % 5000}") for i in range(20_000)]

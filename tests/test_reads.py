@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from millrace.operators import intervals
 from millrace.operators import reads as ops
 from millrace.sinks.files import write_reads
 
@@ -126,3 +127,32 @@ def test_region_counts_and_rows(spark):
     items = [read("a"), read("b"), read("c", ref=2)]
     assert {tuple(r) for r in ops.region_counts(frame(spark, items)).collect()} == {(1, 2), (2, 1)}
     assert {(r.region, r.qname) for r in ops.reads_by_region(frame(spark, items)).collect()} == {(1, "a"), (1, "b"), (2, "c")}
+
+
+def test_scanned_qualities_to_covered_stretches(spark):
+    text = lambda *values: "".join(chr(v + 33) for v in values)
+    rows = [
+        ("a", 0, "chr1", 1, 100, "5M", "*"),  # first, but without qualities: not asked for the encoding
+        ("b", 0, "chr1", 1, 110, "5M", text(70, 65)),
+        ("c", 0, "chr1", 1, 150, "5M", text(20, 70)),
+        ("d", 0, "chr1", 1, None, "5M", None),
+        ("e", 0, "chr2", 2, 10, "5M", text(30, 40)),
+        ("f", 0, "chr2", 2, 66, "5M", text(60)),
+        ("g", 0, "chr2", 2, 200, "*", text(60)),
+        ("h", 0, "?", None, 10, "5M", text(1)),
+    ]
+    reads = spark.createDataFrame(rows, "qname string, flag int, rname string, ref_index int, pos int, cigar string, qual string")
+    mended = ops.mended_qualities(reads)
+    got = {r.qname: (r.phred, r.rejected) for r in mended.collect()}
+    assert got == {
+        "a": ([], False),
+        "b": ([39, 34], False),
+        "c": ([-11, 39], True),
+        "d": ([], False),
+        "e": ([30, 40], False),
+        "f": ([60], False),
+        "g": ([60], False),
+    }
+    covered = intervals.covered_intervals(ops.covering_extents(mended.where("NOT rejected")))
+    found = sorted((r.chrom, r.start, r.end, r.members) for r in covered.collect())
+    assert found == [("chr1", 100, 114, 2), ("chr2", 10, 14, 1), ("chr2", 66, 70, 1)]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.cluster import checkpointed
+from millrace.cluster import checkpointed, wide_shuffles
 
 # Fixed value: reads this close to the covered stretch still extend it.
 READ_GAP = 51
@@ -29,7 +29,8 @@ def merge_intervals(
     combined first, so a bin holds at most ``bin_width`` rows however deep the
     pile. Each bin is merged by itself; what is left is written once. A table with
     one row per bin then tells how far earlier bins reach: only islands starting
-    within that reach join the island open before the bin.
+    within that reach join the island open before the bin. Both steps run jobs, over as many tasks as the
+    input asks for; their results are written.
     """
     by = list(by)
     in_bin = [*by, "_bin"]
@@ -51,13 +52,15 @@ def merge_intervals(
         .agg(F.max("end").alias("end"), F.count("*").alias("members"), *same_start)
         .withColumn("_bin", F.floor(F.col("start") / bin_width))
     )
-    local = checkpointed(
+    islands = (
         starts.withColumn("_reach", F.max("end").over(before))
         .withColumn("_island", F.max(F.when(opens("_reach"), F.col("start"))).over(so_far))
         .groupBy(*in_bin, "_island")
         .agg(*totals(F.sum("members")))
         .withColumnRenamed("_island", "start")
     )
+    with wide_shuffles(intervals):
+        local = checkpointed(islands)
     bins = (
         local.groupBy(*in_bin)
         .agg(F.max("end").alias("_far"), F.max("start").alias("start"))
@@ -67,7 +70,9 @@ def merge_intervals(
         .select(*in_bin, "_carried_end", "_open_island")
     )
     island = F.when(opens("_carried_end"), F.col("start")).otherwise(F.col("_open_island"))
-    merged = local.join(bins, in_bin).groupBy(*by, island.alias("_first")).agg(*totals(F.sum("members")))
+    whole = local.join(bins, in_bin).groupBy(*by, island.alias("_first")).agg(*totals(F.sum("members")))
+    with wide_shuffles(intervals):
+        merged = checkpointed(whole)
     kept_label = ["label"] if label else []
     return merged.select(*by, F.col("_first").alias("start"), "end", "members", *kept_label)
 

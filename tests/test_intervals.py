@@ -1,7 +1,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from millrace import cluster
 from millrace.operators import intervals
 from millrace.sinks.files import write_bed, write_regions
 
@@ -87,3 +89,18 @@ def test_text_forms(spark, tmp_path):
         assert [r.value for r in spark.read.text(path).collect()] == [want]
     write_regions(one, str(tmp_path / "regions"))
     assert [r.value for r in spark.read.text(str(tmp_path / "regions")).collect()] == ["chr1:11-20"]
+
+
+def test_shuffles_of_a_merge_grow_with_the_input(spark, rows, monkeypatch, tmp_path):
+    path = str(tmp_path / "intervals")
+    starts = F.col("id") * 3
+    spark.range(2000).select(F.lit("a").alias("chrom"), starts.alias("start"), (starts + 2).alias("end")).write.parquet(path)
+    monkeypatch.setattr(cluster, "TASK_BYTES", 1 << 10)
+    seen = []
+    write = intervals.checkpointed
+    partitions = lambda: int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(intervals, "checkpointed", lambda df: seen.append(partitions()) or write(df))
+    before = partitions()
+    merged = intervals.merge_intervals(spark.read.parquet(path), 0, bin_width=64)
+    assert len(seen) == 2 and min(seen) > 2 * before and partitions() == before
+    assert rows(merged) == [("a", 3 * i, 3 * i + 2, 1) for i in sorted(range(2000), key=lambda i: repr(("a", 3 * i)))]

@@ -8,7 +8,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.cluster import checkpointed, small_side
+from millrace.cluster import checkpointed, evaluated, small_side
 from millrace.functions.cigar import alignment_end, soft_clip_to, unclipped_five_prime
 from millrace.functions.library import library_size
 from millrace.functions.qualities import decode_qualities, guess_encoding, quality_score, to_phred
@@ -62,9 +62,10 @@ def quality_encoding(reads: DataFrame) -> DataFrame:
     ``reads``: ``region, ref_index, pos, qname, quals`` (array). A read whose
     shifted qualities fall below 0 is marked ``rejected``, not dropped.
     """
+    # The aggregate sorts its rows, so it is given the largest quality, not the list.
     start = F.struct("ref_index", "pos", "qname", F.array_max("quals").alias("max_quality"))
-    first = F.min(F.when(F.size("quals") > 0, start)).alias("first")
-    guesses = reads.groupBy("region").agg(first).select(
+    narrow = evaluated(reads, "region", F.when(F.size("quals") > 0, start).alias("start"))
+    guesses = narrow.groupBy("region").agg(F.min("start").alias("first")).select(
         "region", guess_encoding(F.col("first.max_quality")).alias("encoding")
     )
     fixed = reads.join(small_side(guesses), "region").withColumn("phred", to_phred(F.col("quals"), F.col("encoding")))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.cluster import rendered as written
+from millrace.cluster import small_side
 from millrace.sources.retweet_log import LOG_HEADER
 
 WINDOW, SLIDE, DELAY = "12 hours", "1 hour", "1 hour"
@@ -304,7 +305,8 @@ def reads(spark: SparkSession, sf_dir: str, spread: int = 1, quality: Column | N
         F.lit("*").alias("seq"),
         F.repeat(F.char(quality + 33), F.col("l_quantity").cast("int")).alias("qual"),
     )
-    names = seq_dict(spark, sf_dir).select(F.col("name").alias("rname"), "ref_index")
+    # Few names hold all reads: reduced and written first, so that the reads stay where they are.
+    names = small_side(seq_dict(spark, sf_dir).select(F.col("name").alias("rname"), "ref_index"))
     return named.join(names, "rname", "left").select(
         "qname", "flag", "rname", "ref_index", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual"
     )

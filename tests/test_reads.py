@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import intervals
 from millrace.operators import reads as ops
+from millrace.plans import tables
 from millrace.sinks.files import write_reads
 
 SCHEMA = "qname string, flag int, rname string, ref_index int, pos int, mapq int, cigar string, rnext string, pnext int, tlen int, seq string, qual string"
@@ -83,6 +84,32 @@ def test_metrics(spark):
     assert [tuple(r) for r in metrics.collect()] == [("LIB1", 3, 1, 0.333333)]
 
 
+def test_guessing_sorts_no_quality_lists(spark, monkeypatch):
+    rows = [(1, 1, None, "b", [61]), (1, 1, None, "a", None), (1, 1, 2, "a", [3]), (2, 2, 1, "x", []), (None, None, 1, "y", [5])]
+    df = spark.createDataFrame(rows, "region int, ref_index int, pos int, qname string, quals array<int>")
+    plans, small_side = [], ops.small_side
+    monkeypatch.setattr(ops, "small_side", lambda side: plans.append(side._jdf.queryExecution().executedPlan().toString()) or small_side(side))
+    got = sorted((r.region, r.qname, r.encoding) for r in ops.quality_encoding(df).collect())
+    assert got == [(1, "a", "ILLUMINA"), (1, "a", "ILLUMINA"), (1, "b", "ILLUMINA"), (2, "x", "ILLUMINA")]
+    sort = plans[0].index("Sort [")
+    assert "quals" not in plans[0][:sort] and "Generate" in plans[0][sort:]
+
+
+def test_reads_are_not_moved_to_find_their_sequences(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16")
+    try:
+        supplier = spark.range(60).select(F.col("id").alias("s_suppkey"))
+        supplier.write.parquet(f"{tmp_path}/supplier.parquet")
+        line = "id AS l_orderkey, 1 AS l_linenumber, id AS l_partkey, id AS l_suppkey, 3.0D AS l_quantity, 'N' AS l_returnflag, 'O' AS l_linestatus"
+        lines = spark.range(300).selectExpr(*line.split(", "), "timestamp '1996-01-01 00:00:00' AS l_shipdate")
+        lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+        reads = tables.reads(spark, str(tmp_path))
+        assert "SortMergeJoin" not in reads._jdf.queryExecution().executedPlan().toString()
+        assert {(r.l, r.ref_index) for r in reads.select(F.expr("split(qname, ':')[1] % 26").cast("int").alias("l"), "ref_index").collect()} == {(i, i) for i in range(26)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_quality_encoding(spark):
     items = [
         (1, 1, 5, "late", [70, 30]),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -121,6 +121,7 @@ class Layout:
     by_movie: DataFrame
     wide_actors: DataFrame
     wide_movies: DataFrame
+    movies: int  # those with one person, too
 
 
 def _slots(keys: DataFrame, wide: DataFrame) -> DataFrame:
@@ -140,7 +141,9 @@ def laid_out(edges: DataFrame, slot_edges: int = SLOT_EDGES) -> Layout:
     ``edges`` holds distinct rows and is read twice. Movies with one person lead nowhere and are left out.
     """
     slots = F.ceil(F.col("n") / slot_edges).cast("int").alias("_slots")
-    casts = checkpointed(edges.groupBy("movie").agg(F.count("*").alias("n")).where("n > 1"))
+    counted = Observation()
+    sizes = edges.groupBy("movie").agg(F.count("*").alias("n")).observe(counted, F.count("movie").alias("movies"))
+    casts = checkpointed(sizes.where("n > 1"))
     shared = checkpointed(edges.join(broadcast_if_small(casts.select("movie")), "movie", "left_semi"))
     sizes = shared.groupBy("actor_id").agg(F.count("*").alias("n"))
     wide_movies = checkpointed(casts.where(F.col("n") > slot_edges).select("movie", slots))
@@ -150,6 +153,7 @@ def laid_out(edges: DataFrame, slot_edges: int = SLOT_EDGES) -> Layout:
         _bucketed_by(shared, "movie", "actor_id", wide_movies),
         wide_actors,
         wide_movies,
+        counted.get["movies"],
     )
 
 
@@ -200,7 +204,11 @@ def separation(edges: DataFrame, seed: DataFrame, max_distance: int = MAX_DISTAN
 
     ``edges`` as for ``reached``.
     """
-    layout = laid_out(edges)
+    return separation_in(laid_out(edges), seed, max_distance)
+
+
+def separation_in(layout: Layout, seed: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """``separation`` over edges that are laid out already."""
     found = search(layout, seed, max_distance)
     return (
         connected_actors(layout)
@@ -242,8 +250,17 @@ def separation_names(distances: DataFrame, actors: DataFrame, at: int = MAX_DIST
     return numbered.select("gender", (F.col("number") + 1).alias("number"), "name")
 
 
-def separation_report(distances: DataFrame, actors: DataFrame, edges: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """The text report as ``section, line_no, line``; sort by the first two to print it."""
+def separation_report(
+    distances: DataFrame,
+    actors: DataFrame,
+    edges: DataFrame,
+    max_distance: int = MAX_DISTANCE,
+    movies: int | None = None,
+) -> DataFrame:
+    """The text report as ``section, line_no, line``; sort by the first two to print it.
+
+    ``movies`` is the number of different movies where it is known, as from ``laid_out``.
+    """
     distances = checkpointed(distances)
     totals = actors.agg(
         _count_gender("m").alias("men"), _count_gender("f").alias("women"), F.count("*").alias("people")
@@ -251,7 +268,10 @@ def separation_report(distances: DataFrame, actors: DataFrame, edges: DataFrame,
     # Single-row results, hence literals below.
     men, women, people = totals.first()
     one = distances.sparkSession.range(1)
-    movies = edges.agg(F.count_distinct("movie").alias("movies"))
+    if movies is None:
+        films_seen = edges.agg(F.count_distinct("movie").alias("movies"))
+    else:
+        films_seen = one.select(F.lit(movies).alias("movies"))
     steps = checkpointed(separation_counts(distances, actors, max_distance))
 
     # The sentences of the report.
@@ -297,7 +317,7 @@ def separation_report(distances: DataFrame, actors: DataFrame, edges: DataFrame,
     )
     parts = [
         one.select(*text(1, 1, everyone)),
-        movies.select(*text(1, 2, films)),
+        films_seen.select(*text(1, 2, films)),
         at_distance,
         summary(1, "actors", a + b, people),
         summary(2, "male actors", a, men),

@@ -243,8 +243,9 @@ def q_separation_names(spark, sf_dir):
 @query
 def q_separation_report(spark, sf_dir):
     edges = _edge_table(spark, sf_dir)
-    distances = _distances(spark, sf_dir, edges)
-    return graph.separation_report(distances, t.actors(spark, sf_dir, edges), edges)
+    layout = graph.laid_out(edges)
+    distances = graph.separation_in(layout, graph.seed_lookup(t.people(spark, sf_dir), t.SEED_NAME))
+    return graph.separation_report(distances, t.actors(spark, sf_dir, edges), edges, movies=layout.movies)
 
 
 @query
@@ -262,8 +263,9 @@ def q_separation_from_lists(spark, sf_dir):
         for parity, gender in ((0, "m"), (1, "f"))
     ]
     actors, edges = graph.graph_of_lists(graph.actors_union(*lists))
-    distances = graph.separation(edges, graph.seed_lookup(actors, t.SEED_NAME))
-    return graph.separation_report(distances, actors, edges)
+    layout = graph.laid_out(edges)
+    distances = graph.separation_in(layout, graph.seed_lookup(actors, t.SEED_NAME))
+    return graph.separation_report(distances, actors, edges, movies=layout.movies)
 
 
 # Intervals ----------------------------------------------------------------

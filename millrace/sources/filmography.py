@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.cluster import checkpointed, small_side
+from millrace.cluster import checkpointed, evaluated, small_side
 from millrace.sources.lines import MAX_BROADCAST_SPLITS, line_number, placed_lines, split_offsets
 
 # The column-title line (blanks removed) and the footer rule.
@@ -62,18 +62,18 @@ def section_extract(spark: SparkSession, path: str) -> DataFrame:
     return numbered.join(bounds, "file").where(inside).select("file", "line_no", "value")
 
 
-def _up_to_bracket(title: Column) -> Column:
-    return F.when(
-        F.instr(title, ")") > 0, F.concat(F.substring_index(title, ")", 1), F.lit(")"))
-    ).otherwise("")
+def _before_bracket(title: Column) -> Column:
+    return F.substring_index(title, ")", 1)
 
 
-def _year(title: Column) -> Column:
-    """Leading four characters of the first bracket (or of the text before ``)``) as a number."""
-    before = F.substring_index(title, ")", 1)
-    inner = F.when(F.instr(before, "(") > 0, F.regexp_extract(before, r"^[^(]*\((?s)(.*)$", 1)).otherwise(before)
-    head = F.substring(inner, 1, 4)
-    return F.when(head.rlike(r"^[+-]?[0-9]+$"), head.try_cast("int"))
+def _since(title: Column, min_year: int) -> Column:
+    """Whether the four characters after the first ``(`` (or the first four) before the ``)`` are such a year."""
+    before = _before_bracket(title)
+    head = F.substring(before, F.instr(before, "(") + 1, F.lit(4))
+    year = head.try_cast("int")
+    # Four characters that make 1000 or more are digits; others may hold blanks or a point.
+    plain = (year >= 1000) | head.rlike(r"^[+-]?[0-9]+$")
+    return (year >= min_year) & (F.instr(title, ")") > 0) & plain
 
 
 def parse_filmography(blocks: DataFrame, gender: str, min_year: int = 2011) -> DataFrame:
@@ -81,21 +81,11 @@ def parse_filmography(blocks: DataFrame, gender: str, min_year: int = 2011) -> D
 
     People left without a title are dropped.
     """
-    fields = F.filter(
-        F.transform(F.split("value", "\t"), lambda x: F.replace(x, F.lit("\n"), F.lit(""))), lambda x: x != ""
-    )
-    films = F.transform(F.filter("titles", lambda t: ~t.startswith('"')), _up_to_bracket)
-    return (
-        blocks.select(fields.alias("fields"))
-        .where(F.size("fields") > 0)
-        .select(
-            F.col("fields")[0].alias("actor"),
-            F.slice("fields", F.lit(2), F.greatest(F.size("fields") - 1, F.lit(0))).alias("titles"),
-        )
-        .select(
-            "actor",
-            F.lit(gender).alias("gender"),
-            F.filter(films, lambda t: _year(t) >= min_year).alias("movies"),
-        )
-        .where(F.size("movies") > 0)
-    )
+    # Every step is computed once, as the filters below it would else repeat it.
+    fields = F.array_remove(F.split(F.replace("value", F.lit("\n"), F.lit("")), "\t"), "")
+    people = evaluated(blocks, fields.alias("fields")).where(F.size("fields") > 0)
+    titles = F.slice("fields", F.lit(2), F.greatest(F.size("fields") - 1, F.lit(0)))
+    kept = F.filter(titles, lambda t: ~t.startswith('"') & _since(t, min_year))
+    movies = F.transform(kept, lambda t: F.concat(_before_bracket(t), F.lit(")")))
+    parsed = evaluated(people, F.col("fields")[0].alias("actor"), F.lit(gender).alias("gender"), movies.alias("movies"))
+    return parsed.where(F.size("movies") > 0)

@@ -48,6 +48,15 @@ def test_filmography(spark, rows, tmp_path):
     assert got == [("Ann", "f", "New (2012)|Same (2011/I)"), ("Cid", "f", "2013)|Five (20111)|New (2012)")]
 
 
+def test_titles_are_parsed_once(spark, rows, tmp_path):
+    blocks = filmography.scan_blocks(spark, write(tmp_path, FILMS + 'Dan\t"(2012)\n\t\t\t(+201) a\n\t\t\t( 201) b\n\t\t\tx) (2012)\n\n'))
+    parsed = filmography.parse_filmography(blocks, "m", 200)
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count("slice(") == 1
+    kept = dict(rows(parsed, "actor", F.array_join("movies", "|")))
+    assert kept == {"Ann": "New (2012)|Old (2010)|Same (2011/I)", "Cid": "2013)|Five (20111)|New (2012)", "Dan": "(+201)"}
+
+
 def test_section_extract_per_file(spark, rows, tmp_path):
     write(tmp_path, "intro\n---- early\nName\t\tTitles\n----\t---\na\n\nName Titles\nb\n-----\ntail\n", "one.list")
     write(tmp_path, "nothing here\n", "two.list")

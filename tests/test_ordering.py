@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from millrace import cluster
 from millrace.cluster import broadcast_if_small, shared_path
 from millrace.operators.ordering import with_ordinal
@@ -37,3 +39,15 @@ def test_shared_tables_can_be_dropped(spark, tmp_path, monkeypatch):
     spark.range(3).write.parquet(cluster.shared_path(spark, "x"))
     cluster.drop_shared(spark)
     assert not list((tmp_path / "millrace").iterdir())
+
+
+def test_shuffle_files_go_with_the_job_that_wrote_them(spark, monkeypatch):
+    seen, key = [], cluster.FILE_CLEANUP
+    root = cluster.shared_path
+    monkeypatch.setattr(cluster, "shared_path", lambda *a: seen.append(None) or root(*a))
+    before = spark.conf.get(key)
+    held = spark.range(10).withColumn("on", F.lit(1)).repartition(3, "id")
+    write = type(held).write.fget
+    monkeypatch.setattr(type(held), "write", property(lambda self: seen.append(spark.conf.get(key)) or write(self)))
+    assert cluster.checkpointed(held).count() == 10
+    assert seen == [None, "true"] and spark.conf.get(key) == before

@@ -159,7 +159,8 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85, page: int =
     copies = known.select("doc_id", *digest).join(small_side(sized), digest).where("doc_id <> rep").select("doc_id", *digest).distinct()
     heads = known.join(small_side(copies), ["doc_id", *digest], "left_anti")
     if known.groupBy("doc_id", *digest).count().where("count > 1").take(1):  # repeated rows
-        heads = compact(heads.dropDuplicates(["doc_id", *digest]), rows, 5_000)
+        heads = heads.dropDuplicates(["doc_id", *digest])
+    heads = compact(heads, rows, 5_000)  # written once: every turn below reads them
 
     keyed = heads.select(F.col("doc_id").alias("id"), F.explode("keys").alias("key"))
     several = checkpointed(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))

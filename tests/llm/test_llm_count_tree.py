@@ -4,6 +4,7 @@ import numpy as np
 from llm_cases import EDGES, documents, prose
 from test_llm_near_dup import brute, edited, result
 
+from millrace.llm import count_tree
 from millrace.llm.count_points import Tree, groups_of, least_overlap, pack, pack_fine, surviving, unpack
 from millrace.llm.count_tree import first_shingles, similar_sets
 
@@ -61,3 +62,19 @@ def test_counts_fold_into_fewer_groups():
     assert [groups_of(n) for n in (0, 1, 128, 129, 256, 257, 5000, 10**7)] == [64, 64, 64, 128, 128, 256, 4096, 4096]
     for values in (np.arange(700) * 3, np.zeros(700, np.int64)):  # the second needs wide counts
         assert unpack(pack_fine(values), 700, 64).tolist() == np.bincount(values & 63, minlength=64).tolist()
+
+
+def test_points_of_sets_are_written_before_they_are_used(spark, monkeypatch):
+    plans = []
+    compact = count_tree.compact
+
+    def seen(df, *sizes):
+        plans.append((df.columns, df._jdf.queryExecution().optimizedPlan().toString()))
+        return compact(df, *sizes)
+
+    monkeypatch.setattr(count_tree, "compact", seen)
+    docs = spark.createDataFrame([(i, f"a b c d e f{i // 2}") for i in range(8)], "doc_id long, text string")
+    assert len({r.component_id for r in count_tree.similar_sets(docs).collect()}) == 4
+    heads = [plan for columns, plan in plans if "keys" in columns]
+    assert len(heads) == 1 and "LeftAnti" in heads[0]
+    assert not any("LeftAnti" in plan for columns, plan in plans if "key" in columns)

@@ -268,15 +268,20 @@ def near_duplicates(
             "component", F.coalesce("component", "id")
         )
 
+    opened = shared.select("key", "id")
+
     def open_rows() -> DataFrame:
-        """Rows ``(key, id)`` of the buckets that hold several components."""
-        placed = compact(labelled(shared.select("key", "id")), n_shared)
+        """Rows ``(key, id, component)`` of the buckets that hold several components; one that has closed stays so."""
+        nonlocal opened
+        placed = compact(labelled(opened), n_shared)
         several = placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
-        return placed.join(checkpointed(several.select("key")), "key", "left_semi").select("key", "id")
+        placed = checkpointed(placed.join(checkpointed(several.select("key")), "key", "left_semi"))
+        opened = placed.select("key", "id")
+        return placed
 
     def open_buckets() -> tuple[DataFrame, DataFrame]:
         """Open rows with the largest component of their bucket; those outside it."""
-        placed = checkpointed(labelled(open_rows()))
+        placed = open_rows()
         parts = checkpointed(placed.groupBy("key", "component").agg(F.count("*").alias("n")))
         main = parts.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
         rows_of = checkpointed(placed.join(checkpointed(main), "key"))
@@ -295,7 +300,7 @@ def near_duplicates(
         links = links.union(more)
         found = components(links)
     points = heads.select(F.col("doc_id").alias("id"), "n_shingles", "counts", "fine")
-    more = confirmed(pairs_with_outsiders(labelled(open_rows()).join(points, "id"), percent))
+    more = confirmed(pairs_with_outsiders(open_rows().join(points, "id"), percent))
     if more.take(1):
         found = components(links.union(more))
     members = labelled(classes.select(F.col("rep").alias("id"), *digest)).select(*digest, "component")

@@ -19,13 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.cluster import checkpointed
-from millrace.llm.words import ALNUM, SLICE_BYTES, find_words, fingerprints, mix, signed, slices, text_buffers
+from millrace.llm.words import ALNUM, CODE, SLICE_BYTES, find_words, finished, mix, powers, signed, slices, text_buffers
 
 MAX_EXAMPLES = 20_000  # labelled rows the classifier is fitted on: those with the smallest hashed ids
 MIN_CHI2 = 20.0  # vocabulary: all terms in three or more examples whose chi-squared value is as large
 PREFIXES = (3, 4, 5, 6)  # bytes
 NEIGHBOURS = 25
 BLOCK = 32  # examples
+FULL = 8  # a term in every eighth block or more has a table of all blocks
+FILTER_BITS = 16
 LEADING = 4  # heaviest terms that order the examples
 ALLOWANCE = 1e-12  # half a unit of the twelfth digit, and the last bits of sums
 EVIDENCE = 5
@@ -39,15 +41,25 @@ _SCORED = (
 )
 
 
-def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and fingerprint of every term occurrence."""
+def _kinds(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row and fingerprint of the words, then of each length of prefix."""
     words = find_words(data, offsets, ALNUM)
-    rows, values = [words.row], [words.fp]
+    yield words.row, words.fp
+    row, start, length = words.row, words.start, words.end - words.start
+    power, _ = powers(max(PREFIXES))
+    running, done = np.zeros(len(row), _U), 0
     for n in PREFIXES:
-        long = np.flatnonzero(words.end - words.start > n)
-        prefix = fingerprints(words.data, words.start[long], words.start[long] + n)
-        rows.append(words.row[long])
-        values.append(mix(prefix + _U(n)))
+        long = np.flatnonzero(length > n)
+        row, start, length, running = row[long], start[long], length[long], running[long]
+        for j in range(done, n):
+            running += CODE[words.data[start + j]] * power[j]
+        done = n
+        yield row, mix(finished(running, np.full(len(row), n)) + _U(n))
+
+
+def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and fingerprint of every term occurrence."""
+    rows, values = zip(*_kinds(data, offsets), strict=True)
     return np.concatenate(rows), np.concatenate(values)
 
 
@@ -91,12 +103,19 @@ def _holders(vocabulary: np.ndarray):
 
 def _numbered(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row and number of every occurrence of a term of the vocabulary."""
-    row, term = terms(data, offsets)
     if not len(vocabulary):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    number = np.minimum(np.searchsorted(vocabulary, term), len(vocabulary) - 1)
-    known = vocabulary[number] == term
-    return row[known], number[known]
+    held = np.zeros(1 << FILTER_BITS, bool)  # most terms are none of the vocabulary: their first bits tell
+    shift = _U(64 - FILTER_BITS)
+    held[vocabulary >> shift] = True
+    rows, numbers = [], []
+    for row, term in _kinds(data, offsets):
+        maybe = np.flatnonzero(held[term >> shift])
+        number = np.minimum(np.searchsorted(vocabulary, term[maybe]), len(vocabulary) - 1)
+        known = vocabulary[number] == term[maybe]
+        rows.append(row[maybe[known]])
+        numbers.append(number[known])
+    return np.concatenate(rows), np.concatenate(numbers)
 
 
 @dataclass
@@ -144,6 +163,8 @@ class Index:
     Examples are ordered so that like ones share a block of ``BLOCK``. The postings of a term are parted by block, and
     each part states the largest weight in it. The sum of a query's weights times these maxima bounds every cosine in a
     block, so blocks are opened from the highest bound down, and those that cannot hold one of the k nearest stay closed.
+    Terms found in many blocks have their parts and maxima in tables by block, so that bounds are a product of a vector
+    and rows of a matrix, and the parts of opened blocks are looked up; the tables hold at most ``FULL`` cells a part.
     """
 
     def __init__(self, vocabulary: np.ndarray, idf: np.ndarray, examples: Vectors, toxic: np.ndarray, k: int):
@@ -156,13 +177,23 @@ class Index:
         self.first = np.minimum.reduceat(self.number, np.arange(0, n, BLOCK)) if n else np.zeros(0, np.int64)
         at = np.repeat(place, np.diff(examples.at))
         by = np.lexsort((at, examples.term))
-        self.place, self.weight, term = at[by], examples.weight[by], examples.term[by]
-        part = term * max(self.blocks, 1) + self.place // BLOCK
+        at, self.weight, term = at[by], examples.weight[by], examples.term[by]
+        self.within = (at % BLOCK).astype(np.int32)  # place in its block
+        part = term * max(self.blocks, 1) + at // BLOCK
         begin = np.flatnonzero(np.diff(part, prepend=-1))  # where a part of a term's postings starts
         self.part_at, self.part_size = begin, np.diff(np.append(begin, len(part)))
-        self.part_block = self.place[begin] // BLOCK
+        self.part_block = at[begin] // BLOCK
         self.part_max = np.maximum.reduceat(self.weight, begin) if len(begin) else np.zeros(0)
         self.parts_of = np.searchsorted(term[begin], np.arange(len(vocabulary) + 1))
+        full = np.flatnonzero(np.diff(self.parts_of) * FULL >= max(self.blocks, 1))
+        self.table = np.full(len(vocabulary), -1)  # row of a term in the tables
+        self.table[full] = np.arange(len(full))
+        self.full_part = np.full((len(full), self.blocks), -1, np.int32)
+        self.full_max = np.zeros((len(full), self.blocks))
+        of = np.repeat(self.table, np.diff(self.parts_of))
+        own = np.flatnonzero(of >= 0)
+        self.full_part[of[own], self.part_block[own]] = own
+        self.full_max[of[own], self.part_block[own]] = self.part_max[own]
         self.empty = np.flatnonzero(np.diff(examples.at) == 0)
         self.base = float(self.toxic.mean()) if n else 0.0
         self.curve: tuple[np.ndarray, np.ndarray] | None = None
@@ -176,32 +207,37 @@ class Index:
         Cosines are compared by twelve digits, and bounds with an allowance for the last bits of sums. A block at the k-th
         cosine itself opens only if it has a smaller number than the k-th example.
         """
-        size = self.parts_of[term + 1] - self.parts_of[term]
-        part = _spread(self.parts_of[term], size)  # of the query's terms
-        factor = np.repeat(weight, size)
-        block = self.part_block[part]
-        bound = np.bincount(block, weights=factor * self.part_max[part], minlength=self.blocks)
-        order = np.lexsort((self.first, -bound))
-        order = order[: np.count_nonzero(bound > 0)]
+        row = self.table[term]
+        full, rare = np.flatnonzero(row >= 0), np.flatnonzero(row < 0)
+        row = row[full]
+        bound = weight[full] @ self.full_max[row]
+        size = self.parts_of[term[rare] + 1] - self.parts_of[term[rare]]
+        rare_part = _spread(self.parts_of[term[rare]], size)
+        rare_factor, rare_block = np.repeat(weight[rare], size), self.part_block[rare_part]
+        if len(rare):
+            bound += np.bincount(rare_block, weights=rare_factor * self.part_max[rare_part], minlength=self.blocks)
+        order = np.argsort(-bound, kind="stable")[: np.count_nonzero(bound > 0)]
         found, cosine = np.zeros(0, np.int64), np.zeros(0)
+        slot = np.full(self.blocks, -1)
         batch = 1 + -(-self.k // BLOCK)
         while len(order):
             opened, order = order[:batch], order[batch:]
-            batch *= 2
+            batch *= 4
             self.opened += len(opened)
-            is_open = np.zeros(self.blocks, bool)
-            is_open[opened] = True
-            use = np.flatnonzero(is_open[block])
-            posting = _spread(self.part_at[part[use]], self.part_size[part[use]])
-            slot = np.empty(self.blocks, np.int64)
+            slot[:] = -1
             slot[opened] = np.arange(len(opened)) * BLOCK
-            place = self.place[posting]
+            looked = self.full_part[row[:, None], opened]
+            which, column = np.nonzero(looked >= 0)
+            use = np.flatnonzero(slot[rare_block] >= 0)
+            part = np.append(looked[which, column], rare_part[use])
+            size = self.part_size[part]
+            posting = _spread(self.part_at[part], size)
             score = np.bincount(
-                slot[place // BLOCK] + place % BLOCK,
-                weights=self.weight[posting] * np.repeat(factor[use], self.part_size[part[use]]),
+                np.repeat(np.append(slot[opened[column]], slot[rare_block[use]]), size) + self.within[posting],
+                weights=self.weight[posting] * np.repeat(np.append(weight[full][which], rare_factor[use]), size),
                 minlength=len(opened) * BLOCK,
             )
-            near = np.flatnonzero(score > 0)
+            near = np.flatnonzero(score > (cosine[-1] - 2 * ALLOWANCE if len(found) == self.k else 0))
             number = self.number[opened[near // BLOCK] * BLOCK + near % BLOCK]
             near, number = near[number != without], number[number != without]
             found = np.append(found, number)

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from llm_cases import EDGES, documents, prose
 
-from millrace.llm import toxicity
+from millrace.llm import toxicity, words
 
 SF = "/root/testdata/sf0.01"
 
@@ -56,6 +56,37 @@ def test_most_blocks_stay_closed():
     assert index.blocks == 125 and index.opened < 0.2 * index.blocks * len(queries)
 
 
+def test_terms_in_many_blocks_have_tables_of_bounded_size():
+    rng = np.random.default_rng(8)
+    n, terms = 3000, 300
+    share = np.where(np.arange(terms) < 10, 0.3, 0.001)  # a few terms in all blocks, the others in a few
+    dense = (rng.random((n, terms)) + 0.1) * (rng.random((n, terms)) < share)
+    norm = np.linalg.norm(dense, axis=1, keepdims=True)
+    dense = np.divide(dense, norm, out=np.zeros_like(dense), where=norm > 0)
+    row, term = np.nonzero(dense)
+    vectors = toxicity.Vectors(np.searchsorted(row, np.arange(n + 1)), term, dense[row, term])
+    index = toxicity.Index(np.arange(terms, dtype=np.uint64), np.ones(terms), vectors, np.zeros(n, int), 9)
+    assert 10 <= len(index.full_max) < 50 and index.full_part.size <= toxicity.FULL * len(index.part_at)
+    for i in range(0, n, 61):
+        a, b = vectors.at[i], vectors.at[i + 1]
+        cosine = np.round(dense @ dense[i], 12)
+        want = [j for j in np.lexsort((np.arange(n), -cosine)) if cosine[j] > 0][:9]
+        assert index.nearest(vectors.term[a:b], vectors.weight[a:b])[0].tolist() == want
+
+
+def test_prefixes_are_fingerprints_of_first_bytes():
+    data = np.frombuffer("Wordless ab \u00e9t\u00e9s x".encode(), np.uint8)
+    row, value = toxicity.terms(data, np.array([0, 12, len(data)]))
+    held = (b"wordless", "\u00e9t\u00e9s".encode())
+    short = [w[:n] for n in toxicity.PREFIXES for w in held if len(w) > n]
+    at = np.cumsum([0, *map(len, short)])
+    joined = np.frombuffer(b"".join(short), np.uint8)
+    size = np.diff(at).astype(np.uint64)
+    want = toxicity.mix(words.fingerprints(joined, at[:-1], at[1:]) + size)
+    assert len(value) == 4 + len(want) and (value[4:] == want).all()
+    assert row.tolist() == [0, 0, 1, 1, 0, 1, 0, 1, 0, 1, 0]
+
+
 def test_equal_examples_do_not_open_all_blocks():
     n = 3200
     vectors = toxicity.Vectors(np.arange(n + 1), np.zeros(n, np.int64), np.ones(n))

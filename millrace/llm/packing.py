@@ -19,22 +19,47 @@ CAPACITY = 2048
 OPEN_BINS = 256
 MERGED_TASKS = 64  # tasks whose last open bins are packed together
 MEMO = 400_000  # word pieces whose ids a worker remembers
+JOINED = 64  # words encoded as one text
 SPECIAL = "<|endoftext|>"
 
 # The byte-level splitting rule, for characters on which this spelling and the original agree.
 _SPLIT = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 _APART = ((0x1C, 0x1F), (0xB2, 0xB3), (0xB9, 0xB9), (0xBC, 0xBE), (0x250, 0x200F), (0x2028, 0x202F), (0x2060, 0x10FFFF))
+_CONTROLS = "\x1c\x1d\x1e\x1f"  # those of them in ASCII
 _OTHER = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _APART) + "]")
 
+SPACE = "\u0120"  # a space, as the names of tokens spell it
+# How they spell each byte: printable ones by themselves, others by the characters from 256 on.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_SPELLED = np.zeros(256, "<u2")
+_SPELLED[_PRINTED] = _PRINTED
+_SPELLED[[b for b in range(256) if b not in _PRINTED]] = 256 + np.arange(256 - len(_PRINTED))
+_BYTE = {chr(c): b for b, c in enumerate(_SPELLED.tolist())}
+
+
+def spelled_out(name: str) -> str:
+    """The text of a token; bytes that are no whole character become a mark, which is no white space."""
+    return bytes(_BYTE.get(c, 0xFF) for c in name).decode("utf-8", "replace")
+
 
 class Encoder:
-    """Ids of texts as little-endian 32-bit bytes. Splits texts into pieces and asks the tokenizer once per piece."""
+    """Ids of texts as little-endian 32-bit bytes. Splits texts into pieces and asks the tokenizer once per piece.
+
+    New words go to the tokenizer's model many at once, as one text: no token reaches from a word over the space into
+    the next one, which is looked up in the vocabulary.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = Tokenizer(self.tokenizer.model)  # without the splitting rule
+        names = self.tokenizer.get_vocab()
+        self.size = np.zeros(max(names.values(), default=0) + 1, np.int64)  # bytes of a token: its name spells them one by one
+        for name, number in names.items():
+            self.size[number] = len(name)
+        self.apart = not any(SPACE in n.lstrip(SPACE) and re.search(r"\S ", spelled_out(n)) for n in names)
         self.memo: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -42,14 +67,40 @@ class Encoder:
             np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         ]
 
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of each of some words, a space and letters, from one text of them all.
+
+        Tokens are dealt to the words by their bytes. If a word's end is not the end of a token, each is asked for alone.
+        """
+        joined = "".join(words)
+        data = joined.encode()
+        spelled = _SPELLED[np.frombuffer(data, np.uint8)].tobytes().decode("utf-16-le")
+        ids = np.array(self.model.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.cumsum([len(w) for w in (words if joined.isascii() else [w.encode() for w in words])])
+        reached = np.cumsum(self.size[ids])
+        last = np.searchsorted(reached, ends)
+        if not self.apart or not len(ids) or reached[-1] != ends[-1] or (reached[last] != ends).any():
+            return self.whole(words)
+        blob = ids.tobytes()
+        at = [0, *(4 * (last + 1)).tolist()]
+        return [blob[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+    def learn(self, new: set[str]) -> None:
+        """Put pieces into the memo."""
+        words = [p for p in new if p[0] == " " and p[1:].isalpha()]
+        for begin in range(0, len(words), JOINED):
+            part = words[begin : begin + JOINED]
+            self.memo.update(zip(part, self.words(part), strict=True))
+        rest = list(new.difference(words))
+        self.memo.update(zip(rest, self.whole(rest), strict=True))
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        plain = [_OTHER.search(t) is None and SPECIAL not in t for t in texts]
+        plain = [(t.isascii() and not any(c in t for c in _CONTROLS) or _OTHER.search(t) is None) and SPECIAL not in t for t in texts]
         pieces = [_SPLIT.findall(t) if p else [] for t, p in zip(texts, plain, strict=True)]
         memo = self.memo
         if len(memo) > MEMO:
             memo.clear()
-        new = list(set().union(*pieces).difference(memo))
-        memo.update(zip(new, self.whole(new), strict=True))
+        self.learn(set().union(*pieces).difference(memo))
         ids = [b"".join(map(memo.__getitem__, p)) for p in pieces]
         odd = [i for i, p in enumerate(plain) if not p]
         for i, whole in zip(odd, self.whole([texts[i] for i in odd]), strict=True):

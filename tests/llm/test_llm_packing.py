@@ -40,6 +40,19 @@ def test_pieces_and_sequences(spark):
     assert len(places) <= 1.1 * least + 1
 
 
+def test_new_words_are_encoded_together(monkeypatch):
+    encode = packing.Encoder(PATH)
+    texts = [f"{prose(i, 300)} \u00c0 la\u00a0 na\u00efve fa\u00e7ade\u00a0 w{i}\n  end" for i in range(20)]
+    want = encode.whole(texts)
+    alone: list[str] = []
+    monkeypatch.setattr(encode, "whole", lambda own, whole=encode.whole: alone.extend(own) or whole(own))
+    assert encode.apart and encode(texts) == want
+    assert len(encode.memo) > 20 and not any(p[0] == " " and p[1:].isalpha() for p in alone)
+    encode.apart = False  # a vocabulary whose tokens reach over the end of a word
+    encode.memo.clear()
+    assert encode(texts) == want and " fa\u00e7ade" in alone
+
+
 def test_best_fit_and_closing():
     bins = packing.OpenBins(10, 2, 0)
     assert bins.place(6) == (0, 0) and bins.place(7) == (1, 0)

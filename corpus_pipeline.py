@@ -25,10 +25,11 @@ def aside(docs: DataFrame) -> DataFrame:
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted as toxic go; the classifier learns as the query of the operator does.
 
-    A null or empty text has the rate of examples without terms, so it stays; the other columns do not matter.
+    A null or empty text has the rate of examples without terms, so it stays; the other columns do not matter. The result
+    is written here, in batches of bounded size.
     """
     index = fit(docs, table(spark, sf_dir, "labels").where(fold() != 0))
-    return docs.where(toxicity_rate(spark, index) < 0.5)
+    return checkpointed(docs.where(toxicity_rate(spark, index) < 0.5))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,10 +51,10 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold benchmark passages go."""
+    """Documents that hold benchmark passages go. The result is written here, in batches of bounded size."""
     rows = aside(docs)
     found = contamination(rows, table(spark, sf_dir, "benchmark"), carry=rows.columns)
-    return found.where("NOT contaminated").select(*rows.columns).toDF(*docs.columns)
+    return checkpointed(found.where("NOT contaminated").select(*rows.columns).toDF(*docs.columns))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,6 +70,9 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("best-fit packing", best_fit_packing),
 ]
 
+# Their results are written tables already.
+WRITTEN = (toxicity, benchmark_decontamination)
+
 # Neither the nearest labelled examples nor the packing can be stated in SQL.
 ORACLE_SQL: str | None = None
 
@@ -76,5 +80,6 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = checkpointed(stage(spark, docs, sf_dir))
+        kept = stage(spark, docs, sf_dir)
+        docs = kept if stage in WRITTEN else checkpointed(kept)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,10 +3,13 @@
 import os
 
 import duckdb
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
+from millrace import cluster
 from millrace.cluster import checkpointed
 from millrace.llm.decontaminate import contamination
 from millrace.llm.near_dup import near_duplicates
@@ -59,3 +62,14 @@ def test_pipeline_stages_take_effect(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect()
     assert {r.doc_id for r in packed} == kept
     assert {(r.doc_id, r.piece) for r in corpus_pipeline.run(spark, SF_DIR).collect()} == {(r.doc_id, r.piece) for r in packed}
+
+
+def test_batches_for_python_are_bounded_by_bytes(spark):
+    def sizes(source):
+        for batch in source:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    wide = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+    before = spark.conf.get(cluster.ARROW_BYTES, None)
+    most = cluster.checkpointed(wide.mapInArrow(sizes, "n long")).agg(F.max("n")).first()[0]
+    assert most < 2 * cluster.BATCH_BYTES and spark.conf.get(cluster.ARROW_BYTES, None) == before

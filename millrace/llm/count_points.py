@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.cluster import checkpointed
+from millrace.cluster import checkpointed, narrowed
 
 GROUPS = 64  # of the trees' points; a larger set is also counted in more, for a closer bound on a pair
 MOST_GROUPS = 4_096
@@ -225,8 +225,11 @@ def _closer_batches(percent: int):
 
 
 def closer_pairs(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs(a, b)`` that the closer bound allows, by ``points(id, n_shingles, fine)``; others without ``fine`` stay."""
-    large = points.where("fine IS NOT NULL")
+    """Those of ``pairs(a, b)`` that the closer bound allows, by ``points(id, n_shingles, fine)``; others without ``fine`` stay.
+
+    ``pairs`` is a written table.
+    """
+    large = narrowed(points.where("fine IS NOT NULL"), "id", pairs.select("a").union(pairs.select("b")))
     x = large.select(F.col("id").alias("a"), F.col("n_shingles").alias("n"), F.col("fine").alias("x"))
     y = large.select(F.col("id").alias("b"), F.col("n_shingles").alias("m"), F.col("fine").alias("y"))
     return pairs.join(x, "a", "left").join(y, "b", "left").mapInArrow(_closer_batches(percent), "a long, b long")

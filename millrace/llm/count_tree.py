@@ -19,13 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.cluster import checkpointed, small_side
+from millrace.cluster import checkpointed, narrowed, small_side
 from millrace.llm.count_points import PAGE, Tree, closer_pairs, grouped, pack, pack_fine, pairs_with_outsiders, sorted_points, surviving
 from millrace.llm.graph import compact, components, name_rows
-from millrace.llm.near_dup import PAIRS_PER_TASK, _confirm_batches, _set_batches, shingle_sets
+from millrace.llm.near_dup import _set_batches, confirmed_pairs, shingle_sets
 from millrace.llm.words import mix, signed
 
 CELL_BITS = 18  # cells in which shingles are counted, to put rare ones first
@@ -163,17 +163,19 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85, page: int =
     heads = compact(heads, rows, 5_000)  # written once: every turn below reads them
 
     keyed = heads.select(F.col("doc_id").alias("id"), F.explode("keys").alias("key"))
-    several = checkpointed(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-    shared = compact(keyed.join(several, "key"), 20 * rows, 200_000)
-    # Members are told apart by two exclusive sums of hashed ids, so shards with equal members become one.
-    members = shared.groupBy("key", "n").agg(F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+    # Keys move once, ids are hashed after that. Two exclusive sums of the hashes tell members apart, so shards with equal ones become one.
+    shard = Window.partitionBy("key")
+    sums = (F.bit_xor(F.xxhash64("id", *salt)).over(shard).alias(c) for c, salt in (("x", ()), ("y", (F.lit(1),))))
+    members = keyed.repartition("key").select("key", "id", F.count("*").over(shard).alias("n"), *sums).where("n > 1")
+    members = compact(members, 20 * rows, 200_000)
     shards = checkpointed(members.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key"))
-    shared = compact(shared.join(shards, "key", "left_semi"), 20 * rows, 200_000)
-    look = heads.select(F.col("doc_id").alias("id"), "n_shingles", "counts")
-    finer = heads.select(F.col("doc_id").alias("id"), "n_shingles", "fine")
+    shared = compact(members.select("key", "id", "n").join(shards, "key", "left_semi"), 20 * rows, 200_000)
+    points_of = heads.select(F.col("doc_id").alias("id"), "n_shingles", "counts", "fine")
+    look, finer = points_of.drop("fine"), points_of.drop("counts")
 
     def laid(rows_of: DataFrame, whole: bool = False) -> DataFrame:
-        return sorted_points(rows_of.join(look, "id"), whole)
+        """``rows_of``: a written table."""
+        return sorted_points(rows_of.join(narrowed(look, "id", rows_of.select("id")), "id"), whole)
 
     alone = F.col("id").alias("component")
     small, large = shared.where(F.col("n") <= page), checkpointed(shared.where(F.col("n") > page))
@@ -184,26 +186,19 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85, page: int =
     if large.take(1):
         most = laid(large.select("key", "id", alone)).mapInArrow(_meet_batches(percent, page, many), pairs_type)
         first = first.union(most.where("NOT later").select("a", "b"))  # the pages of large shards meet once more below
-    found_pairs = checkpointed(closer_pairs(first.distinct(), finer, percent))
+    found_pairs = checkpointed(closer_pairs(checkpointed(first.distinct()), finer, percent))
     held = large.select("key", "id")
     narrow = found_pairs.union(later)
     ids = narrow.select(F.col("a").alias("doc_id")).union(narrow.select("b")).union(held.select("id")).distinct()
     texts = docs.where("doc_id IS NOT NULL").join(checkpointed(ids), "doc_id", "left_semi")
     sets = compact(texts.mapInArrow(_set_batches(size), "doc_id long, shingles binary"), rows, 2_000)
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        tasks = max(1, -(-pairs.count() // PAIRS_PER_TASK))
-        x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-        y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-        both = pairs.join(x, "a").join(y, "b").coalesce(tasks)
-        return checkpointed(both.mapInArrow(_confirm_batches(percent), "a long, b long"))
-
-    links = confirmed(found_pairs)
+    links = confirmed_pairs(found_pairs, sets, percent)
     found = components(links)
     seen = found_pairs
 
     def fresh(pairs: DataFrame) -> DataFrame:
-        return checkpointed(closer_pairs(pairs.distinct().join(seen, ["a", "b"], "left_anti"), finer, percent))
+        return checkpointed(closer_pairs(checkpointed(pairs.distinct().join(seen, ["a", "b"], "left_anti")), finer, percent))
 
     if large.take(1):
 
@@ -217,17 +212,20 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85, page: int =
             centre = F.max_by("id", F.struct("degree", -F.col("id"))).alias("id")
             centres = checkpointed(ranked.groupBy("key", "component").agg(centre).select("key", "id", "component"))
             several = centres.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-            open_ = laid(centres.join(checkpointed(several), "key", "left_semi"))
+            open_ = laid(checkpointed(centres.join(checkpointed(several), "key", "left_semi")))
             near = open_.mapInArrow(_meet_batches(percent, page, many), pairs_type).where("NOT later").select("a", "b")
             near = fresh(near)
-            more = confirmed(near)
+            more = confirmed_pairs(near, sets, percent)
             seen = seen.union(near)
             if not more.take(1):
                 break
             links = links.union(more)
             found = components(links)
-        near = fresh(pairs_with_outsiders(placed().join(look.join(finer.drop("n_shingles"), "id"), "id"), percent, page))
-        more = confirmed(near)
+        named = placed()
+        several = named.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
+        open_ = checkpointed(named.join(checkpointed(several.select("key")), "key", "left_semi"))
+        near = fresh(pairs_with_outsiders(open_.join(narrowed(points_of, "id", open_.select("id")), "id"), percent, page))
+        more = confirmed_pairs(near, sets, percent)
         seen = seen.union(near)
         if more.take(1):
             links = links.union(more)
@@ -235,7 +233,7 @@ def similar_sets(docs: DataFrame, size: int = 4, percent: int = 85, page: int =
     x, y = (found.select(F.col("node").alias(c), F.col("component").alias(f"in_{c}")) for c in ("a", "b"))
     apart = later.join(x, "a", "left").join(y, "b", "left")
     apart = apart.where(F.coalesce("in_a", "a") != F.coalesce("in_b", "b")).select("a", "b")
-    more = confirmed(fresh(apart))
+    more = confirmed_pairs(fresh(apart), sets, percent)
     if more.take(1):
         found = components(links.union(more))
     members_of = classes.select(F.col("rep").alias("id"), *digest).join(found.withColumnRenamed("node", "id"), "id", "left")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.cluster import checkpointed
+from millrace.cluster import checkpointed, narrowed
 from millrace.llm.count_points import pack, pack_fine, pairs_with_outsiders
 from millrace.llm.graph import compact, components, name_rows
 from millrace.llm.words import SPACED, find_words, grams, mix, signed, slices, text_buffers
@@ -176,6 +176,16 @@ def _confirm_batches(percent: int):
     return batches
 
 
+def confirmed_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs(a, b)``, a written table, that overlap by ``percent``; by ``sets(doc_id, shingles)``. Runs jobs."""
+    tasks = max(1, -(-pairs.count() // PAIRS_PER_TASK))
+    sets = narrowed(sets, "doc_id", pairs.select("a").union(pairs.select("b")))
+    x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
+    y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
+    both = pairs.join(x, "a").join(y, "b").coalesce(tasks)
+    return checkpointed(both.mapInArrow(_confirm_batches(percent), "a long, b long"))
+
+
 def _alike(x: str, y: str, percent: int, flips: int) -> Column:
     """Sizes that allow the similarity, and sketches that differ little enough."""
     differing = sum((F.bit_count(F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}"))) for s in _SKETCH), F.lit(0))
@@ -233,12 +243,7 @@ def near_duplicates(
     sets = compact(with_heads, size_of, 2_000)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        pairs = compact(pairs, n_shared)
-        tasks = max(1, -(-pairs.count() // PAIRS_PER_TASK))
-        x = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-        y = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-        both = pairs.join(x, "a").join(y, "b").coalesce(tasks)
-        return checkpointed(both.mapInArrow(_confirm_batches(percent), "a long, b long"))
+        return confirmed_pairs(compact(pairs, n_shared), sets, percent)
 
     def with_centres(rows_of: DataFrame, masks: Sequence[int]) -> DataFrame:
         """Pairs of a row and, for each mask, one centre of all its buckets."""

@@ -4,9 +4,11 @@ import numpy as np
 from llm_cases import EDGES, documents, prose
 from test_llm_near_dup import brute, edited, result
 
+from millrace.cluster import checkpointed, narrowed
 from millrace.llm import count_tree
-from millrace.llm.count_points import Tree, groups_of, least_overlap, pack, pack_fine, surviving, unpack
+from millrace.llm.count_points import Tree, closer_pairs, groups_of, least_overlap, pack, pack_fine, surviving, unpack
 from millrace.llm.count_tree import first_shingles, similar_sets
+from millrace.llm.near_dup import confirmed_pairs
 
 
 def test_components_match_brute_force(spark):
@@ -78,3 +80,33 @@ def test_points_of_sets_are_written_before_they_are_used(spark, monkeypatch):
     heads = [plan for columns, plan in plans if "keys" in columns]
     assert len(heads) == 1 and "LeftAnti" in heads[0]
     assert not any("LeftAnti" in plan for columns, plan in plans if "key" in columns)
+
+
+def test_keys_move_once_to_find_shards(spark, monkeypatch):
+    plans = []
+    compact = count_tree.compact
+
+    def seen(df, *sizes):
+        plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString()))
+        return compact(df, *sizes)
+
+    monkeypatch.setattr(count_tree, "compact", seen)
+    texts = ["a b c d e", "a b c d e f", "a b c d", "v w x y z", "v w x y", "m"]
+    docs = spark.createDataFrame([*enumerate(texts), (1, "v w x y z u"), (None, "m")], "doc_id long, text string")
+    assert len({r.component_id for r in count_tree.similar_sets(docs, percent=40).where("doc_id < 5").collect()}) == 1
+    members = [plan for columns, plan in plans if {"key", "x", "y"} <= {*columns}]
+    assert len(members) == 1 and members[0].count("Exchange") == 1 and "Join" not in members[0]
+    assert "xxhash64" in members[0][: members[0].index("Exchange")] and "xxhash64" not in members[0][members[0].index("Exchange") :]
+
+
+def test_only_rows_of_the_pairs_move(spark):
+    pairs = checkpointed(spark.createDataFrame([(1, 2), (2, 3)], "a long, b long"))
+    points = checkpointed(spark.createDataFrame([(i, 900, pack_fine(np.arange(900) + 10 * i)) for i in range(50)], "id long, n_shingles long, fine binary"))
+    closer = closer_pairs(pairs, points, 85)
+    assert closer._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 2
+    assert sorted(closer.collect()) == [(1, 2), (2, 3)]
+    sets = [(i, np.arange(i, i + 20).astype(np.uint64).tobytes()) for i in (1, 2, 3, 3, 4)]
+    sets = checkpointed(spark.createDataFrame(sets, "doc_id long, shingles binary"))
+    assert sorted(r.doc_id for r in narrowed(sets, "doc_id", pairs.select("b")).collect()) == [2, 3, 3]
+    assert sorted(confirmed_pairs(pairs, sets, 85).distinct().collect()) == [(1, 2), (2, 3)]
+    assert confirmed_pairs(pairs.where("a = 0"), sets, 85).count() == 0

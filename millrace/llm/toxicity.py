@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.cluster import checkpointed
+from millrace.cluster import checkpointed, collected
 from millrace.llm.words import ALNUM, CODE, SLICE_BYTES, find_words, finished, mix, powers, signed, slices, text_buffers
 
 MAX_EXAMPLES = 20_000  # labelled rows the classifier is fitted on: those with the smallest hashed ids
@@ -344,15 +344,13 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES, k: int =
     c = F.col
     top = c("n") * (n - c("n")) * float(bad * (n - bad))
     chi2 = float(n) * F.pow(c("bad") * float(n) - c("n") * float(bad), 2) / top
-    chosen = (
-        counted.where((c("n") >= 3) & (top > 0)).where(chi2 >= MIN_CHI2).select("term").collect()  # of bounded examples
-    )
+    chosen = collected(counted.where((c("n") >= 3) & (top > 0)).where(chi2 >= MIN_CHI2).select("term"))  # of bounded examples
     vocabulary = np.array([r["term"] for r in chosen], np.int64).view(_U)
     vocabulary = np.sort(vocabulary)
     idf = np.zeros(0)
     if len(vocabulary):
         held = docs.select("text").mapInArrow(_holders(vocabulary), "number long, n long").groupBy("number").agg(F.sum("n").alias("n"))
-        count = dict(held.collect())  # a row per term
+        count = dict(collected(held))  # a row per term
         frequency = np.array([count.get(i, 0) for i in range(len(vocabulary))], float)
         idf = np.log((1 + count.get(-1, 0)) / (1 + frequency)) + 1
 
@@ -374,7 +372,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES, k: int =
 
     kind = dict(examples.dtypes)["doc_id"]
     rows = examples.mapInArrow(vectorised, f"doc_id {kind}, toxic int, term array<bigint>, weight array<double>")
-    rows = rows.orderBy("doc_id").collect()  # at most ``limit`` short vectors
+    rows = collected(rows.orderBy("doc_id"))  # at most ``limit`` short vectors
     at = np.cumsum([0, *(len(r["term"]) for r in rows)])
     ex = Vectors(
         at,

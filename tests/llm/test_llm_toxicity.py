@@ -1,10 +1,13 @@
 import os
 import random
+import tempfile
+import tracemalloc
 
 import numpy as np
 import pytest
 from llm_cases import EDGES, documents, prose
 
+from millrace.cluster import BATCH_BYTES
 from millrace.llm import toxicity, words
 
 SF = "/root/testdata/sf0.01"
@@ -87,6 +90,37 @@ def test_prefixes_are_fingerprints_of_first_bytes():
     assert row.tolist() == [0, 0, 1, 1, 0, 1, 0, 1, 0, 1, 0]
 
 
+def test_fingerprints_do_not_hold_the_text_several_times():
+    word = "caf\u00e9".encode() + b" "
+    data = np.frombuffer(b"x" * (words.RUN_BYTES + 9) + b" " + word * (3 << 18), np.uint8)  # a word longer than a run, 4.5 MB
+    tracemalloc.start()
+    found = words.find_words(data, np.array([0, len(data)]), words.ALNUM)
+    tracemalloc.reset_peak()
+    value = words.fingerprints(found.data, found.start, found.end)
+    held = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held[1] - held[0] < 5 * len(data) and sum(p.nbytes for p in words._powers) < len(data) + (1 << 20)
+    alone = words.fingerprints(data[found.start[-1] : found.end[-1]], np.array([0]), np.array([len(word) - 1]))
+    assert len(value) == 1 + (3 << 18) and (value[1:] == alone).all() and value[0] != alone
+    assert value[0] == words.fingerprints(data[: found.end[0]], np.array([0]), found.end[:1])[0]
+
+
+def test_fit_reads_texts_in_batches_bounded_by_bytes(spark, monkeypatch):
+    rows = [(i, "x" * 100_000 + (" vile" if i % 4 == 0 else "")) for i in range(200)]
+    docs = documents(spark, rows).coalesce(1)
+    folder = tempfile.mkdtemp()
+    whole = words.text_buffers
+
+    def noted(column):
+        if column.nbytes > 2 * BATCH_BYTES:
+            open(f"{folder}/{os.getpid()}-{column.nbytes}", "w").close()
+        return whole(column)
+
+    monkeypatch.setattr(toxicity, "text_buffers", noted)
+    toxicity.fit(docs, labelled(spark, [(i, 1, int(i % 4 == 0)) for i, _ in rows]))
+    assert os.listdir(folder) == []
+
+
 def test_equal_examples_do_not_open_all_blocks():
     n = 3200
     vectors = toxicity.Vectors(np.arange(n + 1), np.zeros(n, np.int64), np.ones(n))

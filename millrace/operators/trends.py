@@ -39,12 +39,15 @@ def _merge() -> list[Column]:
     ]
 
 
+def interval_micros(spark: SparkSession, *intervals: str) -> list[int]:
+    zero = "timestamp '1970-01-01 00:00:00 UTC'"
+    micros = [F.expr(f"unix_micros({zero} + interval {d}) - unix_micros({zero})").alias(f"i{n}") for n, d in enumerate(intervals)]
+    return list(spark.range(1).select(*micros).first())
+
+
 def pane_width(spark: SparkSession, window: str, slide: str) -> str:
     """The longest interval that both the window and the slide are whole multiples of."""
-    zero = "timestamp '1970-01-01 00:00:00 UTC'"
-    micros = [F.expr(f"unix_micros({zero} + interval {d}) - unix_micros({zero})").alias(n) for d, n in ((window, "w"), (slide, "s"))]
-    w, s = spark.range(1).select(*micros).first()
-    return f"{math.gcd(w, s)} microseconds"
+    return f"{math.gcd(*interval_micros(spark, window, slide))} microseconds"
 
 
 def pane_counts(sightings: DataFrame, window: str, slide: str) -> DataFrame:
@@ -52,12 +55,13 @@ def pane_counts(sightings: DataFrame, window: str, slide: str) -> DataFrame:
 
     Windows then expand each post-and-pane row instead of every status. A pane lies
     wholly inside or outside any window, since both its width and the slide's are multiples of the pane's.
+    ``ts`` becomes the start of the pane; ``newest`` is the time of the last sighting.
     """
     width = pane_width(sightings.sparkSession, window, slide)
     return (
         sightings.groupBy(F.window("ts", width).alias("pane"), "id")
-        .agg(*_merge())
-        .select(F.col("pane.start").alias("ts"), "id", "max_count", "min_count", "first_seen")
+        .agg(*_merge(), F.max("ts").alias("newest"))
+        .select(F.col("pane.start").alias("ts"), "id", "max_count", "min_count", "first_seen", "newest")
     )
 
 

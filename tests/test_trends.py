@@ -207,3 +207,44 @@ def test_log_survives_restart(spark, tmp_path, stream_folder):
     ]
     assert lines.count(LOG_HEADER) == 1
     assert sorted(line for line in lines if line != LOG_HEADER) == sorted(want)
+
+
+def test_stream_keeps_one_row_per_pane_and_post(spark, tmp_path, stream_folder):
+    """Windows are twelve times as many as panes, so the state must not hold windows; closed panes leave it."""
+    items, folder = stream_folder
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    job = retweet_stream(open_statuses(spark, folder), out, state, "60 seconds", "5 seconds", "5 seconds", {"availableNow": True})
+    job.awaitTermination()
+    assert sum(s["numRowsTotal"] for p in job.recentProgress for s in p["stateOperators"]) == 0
+    last = max(int(p.name) for p in (tmp_path / "state" / "panes").iterdir())
+    closed = max(s for s, *rest in items if rest[0]) - 5
+    needed = {(s // 5 * 5, post) for s, retweet, post, *_ in items if retweet and s // 5 * 5 + 60 > closed}
+    assert spark.read.parquet(f"{state}/panes/{last}/open").count() == len(needed)
+
+
+@pytest.mark.parametrize("job, close", [(retweet_stream, close_stream), (retweet_stream_log, close_stream_log)])
+def test_late_rows_count_in_open_windows_and_a_repeated_batch_changes_nothing(spark, tmp_path, job, close):
+    first = [(100, True, 1, 5, "en", "a"), (170, True, 2, 7, "en", "b")]
+    late = [(130, True, 1, 9, "en", "a"), (171, True, 2, 9, "en", "b")]
+    folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for part in (first, late):
+        statuses(spark, part).coalesce(1).write.mode("append").parquet(folder)
+    run = lambda: job(open_statuses(spark, folder), out, state, "60 seconds", "5 seconds", "5 seconds", {"availableNow": True}).awaitTermination()
+
+    def written():
+        rows = spark.read.text(f"{out}/log") if job is retweet_stream_log else spark.read.parquet(out).drop("batch")
+        return sorted(tuple(r) for r in rows.drop("batch").collect())
+
+    run()
+    close(spark, out, state)
+    before = written()
+    if job is retweet_stream:
+        highest = {(r[1] - T0).total_seconds(): r[6] for r in before if r[5] == 1}
+        # Windows that ended 5 s before the newest row, at 170 s, were written without the late row.
+        assert highest == {end: 5 if end <= 165 else 9 for end in range(105, 191, 5) if end != 165}
+    (tmp_path / "state" / "commits" / "1").unlink()
+    for crc in (tmp_path / "state" / "commits").glob(".1.crc"):
+        crc.unlink()
+    run()
+    close(spark, out, state)
+    assert written() == before
